@@ -41,7 +41,7 @@ def _sliced(df: DataFrame, order: str) -> DataFrame:
     slices = max(2, min(MAX_SLICES, 2 * shuffle_width(df.sparkSession)))
     marks = [i / slices for i in range(1, slices)]
     cuts = df.agg(F.percentile_approx("_position", marks).alias("cuts")).first()["cuts"] or []
-    edges = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    edges = [float("-inf"), *sorted(set(cuts) or {0.0}), float("inf")]
     cutter = Bucketizer(splits=edges, inputCol="_position", outputCol="_slice", handleInvalid="keep")
     return cutter.transform(df).drop("_position")
 
