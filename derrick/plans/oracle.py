@@ -85,6 +85,13 @@ DAILY_AVG = (
     )
     + " FROM pwell GROUP BY pwell.DAYTIME)"
 )
+FIELD_AVG = (
+    "field_avg AS (SELECT NPD_FIELD_CODE, CAST(epoch(DAYTIME) AS BIGINT) AS DAYTIME, "
+    + ", ".join(
+        [fixed_mean(f"BORE_{t}", 3, t) for t in TARGETS] + [fixed_mean(c, 2, c) for c in READINGS]
+    )
+    + " FROM pwell GROUP BY NPD_FIELD_CODE, pwell.DAYTIME)"
+)
 DAILY_SUM = (
     "daily_sum AS (SELECT DAYTIME, "
     + ", ".join([fixed_sum(f"BORE_{t}", 3, t) for t in TARGETS])
@@ -117,6 +124,7 @@ _STEPS = {
     "clean": (["well_raw"], CLEAN),
     "pwell": (["well_raw", "clean"], PWELL),
     "daily_avg": (["well_raw", "clean", "pwell"], DAILY_AVG),
+    "field_avg": (["well_raw", "clean", "pwell"], FIELD_AVG),
     "daily_sum": (["well_raw", "clean", "pwell"], DAILY_SUM),
     "well_days": (["well_raw", "clean", "pwell"], WELL_DAYS),
     "model_ai": (["well_raw", "clean", "pwell", "daily_sum"], MODEL_AI),
