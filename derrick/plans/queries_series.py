@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from derrick.functions.scalars import shift_append
+from derrick.operators import encode, scale, split
 from derrick.operators.aggregate import daily_avg, daily_sum
+from derrick.operators.forecast import recent_frame, roll_linear
 from derrick.operators.impute import knn_impute, knn_pairs
-from derrick.operators.window import k_nearest
-from derrick.plans.oracle import over
+from derrick.operators.window import k_nearest, lagged, lookback
+from derrick.plans.oracle import exact_sum, over
 from derrick.plans.registry import query
-from derrick.plans.wells import production
+from derrick.plans.wells import production, read_table
 from derrick.schema import KEY, NUMERICS, READINGS, TARGETS
 
 DAY_COLUMNS = ["DAYTIME", *TARGETS, *READINGS]
@@ -96,3 +99,308 @@ def m1_rows(spark, folder):
     """Every stored row against every stored row; brute force is only feasible on
     the small fixture of the tests."""
     return knn_impute(production(spark, folder).select(*KEY, *NUMERICS), NUMERICS, KEY)
+
+
+# ---------------------------------------------------------------- scaling
+
+def sums(spark, folder):
+    return daily_sum(production(spark, folder))
+
+
+def _mean(c, scale=6):
+    return f"{exact_sum(c, scale)} / CAST(COUNT({c}) AS DOUBLE)"
+
+
+def _std(c):
+    mean = f"({_mean(c)})"
+    return f"SQRT(GREATEST({exact_sum(f'{c} * {c}')} / CAST(COUNT({c}) AS DOUBLE) - {mean} * {mean}, 0e0))"
+
+
+STANDARD = ", ".join(f"{_mean(c)} AS {c}_mean, {_std(c)} AS {c}_std" for c in TARGETS)
+MINMAX = ", ".join(f"MIN({c}) AS {c}_min, MAX({c}) AS {c}_max" for c in TARGETS)
+
+
+def _shift(c, lo, spread):
+    return f"({c} - s.{lo}) / CASE WHEN {spread} = 0 THEN 1e0 ELSE {spread} END"
+
+
+_standardised = ", ".join(f"{_shift('d.' + c, c + '_mean', f's.{c}_std')} AS {c}" for c in TARGETS)
+_minmaxed = ", ".join(f"{_shift('d.' + c, c + '_min', f'(s.{c}_max - s.{c}_min)')} AS {c}" for c in TARGETS)
+
+
+NUMBERS = [c for c in NUMERICS if c != "BORE_WI_VOL"]
+
+
+@query("a4_standard_stats", over("pwell", body="SELECT " + ", ".join(f"{_mean(c)} AS {c}_mean, {_std(c)} AS {c}_std" for c in NUMBERS) + " FROM pwell"))
+def a4(spark, folder):
+    return scale.standard_stats(production(spark, folder), NUMBERS)
+
+
+@query(
+    "a4_standard_stats_by_well",
+    over("well_days", body=f"SELECT WELL_BORE_CODE, {STANDARD} FROM well_days GROUP BY WELL_BORE_CODE"),
+)
+def a4_by_well(spark, folder):
+    daily = daily_sum(production(spark, folder), ["WELL_BORE_CODE"])
+    return scale.standard_stats(daily, TARGETS, ["WELL_BORE_CODE"])
+
+
+@query("a5_minmax_stats", over("daily_sum", body=f"SELECT {MINMAX} FROM daily_sum"))
+def a5(spark, folder):
+    return scale.minmax_stats(sums(spark, folder), TARGETS)
+
+
+@query("m2_standardise", over("daily_sum", body=f"SELECT d.DAYTIME, {_standardised} FROM daily_sum d, (SELECT {STANDARD} FROM daily_sum) s"))
+def m2(spark, folder):
+    scaled, _ = scale.normalize(sums(spark, folder))
+    return scaled
+
+
+@query("j5_apply_stats", over("daily_sum", body=f"SELECT d.*, s.* FROM daily_sum d, (SELECT {MINMAX} FROM daily_sum) s"))
+def j5(spark, folder):
+    daily = sums(spark, folder)
+    stats = scale.minmax_stats(daily, TARGETS)
+    return scale.with_stats(daily, stats, stats.columns)
+
+
+@query(
+    "m2_standardise_by_well",
+    over(
+        "well_days",
+        body=f"SELECT d.WELL_BORE_CODE, d.DAYTIME, {_standardised} FROM well_days d JOIN "
+        f"(SELECT WELL_BORE_CODE, {STANDARD} FROM well_days GROUP BY WELL_BORE_CODE) s ON s.WELL_BORE_CODE = d.WELL_BORE_CODE",
+    ),
+)
+def m2_by_well(spark, folder):
+    keys = ["WELL_BORE_CODE"]
+    scaled, _ = scale.normalize(daily_sum(production(spark, folder), keys), TARGETS, keys)
+    return scaled
+
+
+_inverse_std = ", ".join(
+    f"z.{c} * CASE WHEN s.{c}_std = 0 THEN 1e0 ELSE s.{c}_std END + s.{c}_mean AS {c}" for c in TARGETS
+)
+
+
+@query(
+    "m3_inverse_scale",
+    over(
+        "daily_sum",
+        body=f"SELECT z.DAYTIME, {_inverse_std} FROM (SELECT d.DAYTIME, {_standardised} FROM daily_sum d, "
+        f"(SELECT {STANDARD} FROM daily_sum) s) z, (SELECT {STANDARD} FROM daily_sum) s",
+    ),
+)
+def m3(spark, folder):
+    scaled, stats = scale.normalize(sums(spark, folder))
+    return scale.invert_standard(scaled, stats, TARGETS)
+
+
+_inverse_minmax = ", ".join(
+    f"z.{c} * CASE WHEN (s.{c}_max - s.{c}_min) = 0 THEN 1e0 ELSE (s.{c}_max - s.{c}_min) END + s.{c}_min AS {c}" for c in TARGETS
+)
+
+
+@query(
+    "m3_inverse_minmax",
+    over(
+        "daily_sum",
+        body=f"SELECT z.DAYTIME, {_inverse_minmax} FROM (SELECT d.DAYTIME, {_minmaxed} FROM daily_sum d, "
+        f"(SELECT {MINMAX} FROM daily_sum) s) z, (SELECT {MINMAX} FROM daily_sum) s",
+    ),
+)
+def m3_minmax(spark, folder):
+    daily = sums(spark, folder)
+    stats = scale.minmax_stats(daily, TARGETS)
+    return scale.invert_minmax(scale.apply_minmax(daily, stats, TARGETS), stats, TARGETS)
+
+
+@query("m4_minmax", over("daily_sum", body=f"SELECT d.DAYTIME, {_minmaxed} FROM daily_sum d, (SELECT {MINMAX} FROM daily_sum) s"))
+def m4(spark, folder):
+    daily = sums(spark, folder)
+    return scale.apply_minmax(daily, scale.minmax_stats(daily, TARGETS), TARGETS)
+
+
+# ---------------------------------------------------------------- target encoding
+
+_events = "SELECT event_id, event_type, value FROM events"
+_prior = f"(SELECT {exact_sum('value')} / COUNT(value) FROM events)"
+_before = "OVER (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+ORDERED = (
+    f"SELECT event_id, event_type, value, CAST(COALESCE(SUM(CAST(value AS DECIMAL(28,6))) {_before}, 0) AS DOUBLE) AS run_sum, "
+    f"CAST(COALESCE(COUNT(value) {_before}, 0) AS BIGINT) AS run_count FROM events"
+)
+
+
+def event_values(spark, folder):
+    return read_table(spark, folder, "events").select("event_id", "event_type", "value")
+
+
+@query("w3_ordered_stat", ORDERED)
+def w3(spark, folder):
+    return encode.ordered_stat(event_values(spark, folder), "event_type", "value", "event_id")
+
+
+@query(
+    "a11_category_stats",
+    f"SELECT event_type, {exact_sum('value')} AS cat_sum, COUNT(value) AS cat_count, {_prior} AS prior FROM events GROUP BY event_type",
+)
+def a11(spark, folder):
+    events = event_values(spark, folder)
+    prior = encode.prior_mean(events, "value").scalar()
+    return encode.category_stats(events, "event_type", "value").withColumn("prior", prior)
+
+
+@query("m5_target_encode", f"SELECT event_id, value, (run_sum + {_prior}) / (run_count + 1) AS event_type FROM ({ORDERED}) z")
+def m5(spark, folder):
+    return encode.encode_fit(event_values(spark, folder), ["event_type"], "value", "event_id")
+
+
+_train = "event_type <> 'error' OR event_id < 5"
+_train_prior = f"(SELECT {exact_sum('value')} / COUNT(value) FROM events WHERE {_train})"
+
+
+@query(
+    "m5_target_encode_apply",
+    f"SELECT e.event_id, e.value, CASE WHEN s.n > 1 THEN (s.total + {_train_prior}) / (s.n + 1) ELSE {_train_prior} END AS event_type "
+    f"FROM events e LEFT JOIN (SELECT event_type, {exact_sum('value')} AS total, COUNT(value) AS n FROM events WHERE {_train} "
+    "GROUP BY event_type) s ON s.event_type = e.event_type",
+)
+def m5_apply(spark, folder):
+    events = event_values(spark, folder)
+    training = events.filter((F.col("event_type") != "error") | (F.col("event_id") < 5))
+    return encode.encode_apply(events, training, ["event_type"], "value")
+
+
+# ---------------------------------------------------------------- splits and folds
+
+_indexed = "SELECT *, ROW_NUMBER() OVER (ORDER BY DAYTIME) AS rn, COUNT(*) OVER () AS n FROM daily_sum"
+
+
+@query(
+    "m6_split_by_share",
+    over("daily_sum", body=f"SELECT DAYTIME, OIL_VOL, rn, rn > n - CAST(CEIL(n * 0.2e0) AS BIGINT) AS is_test FROM ({_indexed}) z"),
+)
+def m6(spark, folder):
+    return split.split_by_share(sums(spark, folder)).select("DAYTIME", "OIL_VOL", "rn", "is_test")
+
+
+_framed = f"SELECT *, ROW_NUMBER() OVER (ORDER BY DAYTIME) AS pos, n - 20 AS m FROM ({_indexed}) y WHERE rn > 20"
+
+
+@query(
+    "m7_split_by_head",
+    over("daily_sum", body=f"SELECT DAYTIME, OIL_VOL, pos AS rn, pos > CAST(FLOOR(m * 0.8e0) AS BIGINT) AS is_test FROM ({_framed}) z"),
+)
+def m7(spark, folder):
+    frames = lookback(sums(spark, folder), TARGETS, 20)
+    return split.split_by_head(frames).select("DAYTIME", "OIL_VOL", "rn", "is_test")
+
+
+_folded = (
+    "SELECT DAYTIME, rn, CASE WHEN rn - 1 >= n - 3 * (n // 4) THEN (rn - 1 - (n - 3 * (n // 4))) // (n // 4) END AS test_fold "
+    f"FROM ({_indexed}) z"
+)
+
+
+@query("m8_time_folds", over("daily_sum", body=_folded))
+def m8(spark, folder):
+    return split.with_folds(sums(spark, folder)).select("DAYTIME", "rn", "test_fold")
+
+
+@query(
+    "w5_fold_sizes",
+    over(
+        "daily_sum",
+        body=f"SELECT f.fold, SUM(CASE WHEN COALESCE(test_fold, -1) < f.fold THEN 1 ELSE 0 END)::BIGINT AS train_rows, "
+        f"SUM(CASE WHEN test_fold = f.fold THEN 1 ELSE 0 END)::BIGINT AS test_rows FROM ({_folded}) z, range(3) f(fold) GROUP BY f.fold",
+    ),
+)
+def w5(spark, folder):
+    return split.fold_sizes(split.with_folds(sums(spark, folder)))
+
+
+# ---------------------------------------------------------------- sequences
+
+
+@query(
+    "w1_lookback20",
+    over(
+        "daily_sum",
+        body=f"SELECT a.DAYTIME, CAST(20 - (a.rn - b.rn) AS BIGINT) AS step, b.OIL_VOL, b.GAS_VOL, b.WAT_VOL FROM ({_indexed}) a "
+        f"JOIN ({_indexed}) b ON b.rn BETWEEN a.rn - 20 AND a.rn - 1 WHERE a.rn > 20",
+    ),
+)
+def w1(spark, folder):
+    frames = lookback(sums(spark, folder), TARGETS, 20)
+    steps = frames.select("DAYTIME", F.posexplode("frame").alias("step", "v"))
+    return steps.select("DAYTIME", F.col("step").cast("bigint").alias("step"), *[F.get("v", F.lit(i)).alias(t) for i, t in enumerate(TARGETS)])
+
+
+@query(
+    "w2_next_step_label",
+    over("daily_sum", body=f"SELECT DAYTIME, OIL_VOL, GAS_VOL, WAT_VOL FROM ({_indexed}) z WHERE rn > 30"),
+)
+def w2(spark, folder):
+    return lookback(sums(spark, folder), TARGETS, 30).select("DAYTIME", *TARGETS)
+
+
+_lags = ", ".join(
+    f"LAG({t}, {i}) OVER (PARTITION BY WELL_BORE_CODE ORDER BY DAYTIME) AS {t}_lag{i}" for i in range(20, 0, -1) for t in TARGETS
+)
+
+
+@query(
+    "m14_sequences_by_well",
+    over(
+        "well_days",
+        body=f"SELECT * EXCLUDE (rn) FROM (SELECT *, {_lags}, ROW_NUMBER() OVER (PARTITION BY WELL_BORE_CODE ORDER BY DAYTIME) AS rn "
+        "FROM well_days) z WHERE rn > 20",
+    ),
+)
+def m14(spark, folder):
+    keys = ["WELL_BORE_CODE"]
+    return lagged(daily_sum(production(spark, folder), keys), TARGETS, 20, series_cols=keys)
+
+
+# ---------------------------------------------------------------- forecasts
+
+# Weights of the linear model of the roll-forward check, newest day last.
+WEIGHTS = (0.1, 0.3, 0.5)
+
+
+@query(
+    "m16_recursive_forecast",
+    over(
+        "daily_sum",
+        recursive=True,
+        extra=f"""last3 AS (SELECT *, ROW_NUMBER() OVER (ORDER BY DAYTIME DESC) AS back FROM daily_sum),
+walk AS (
+  SELECT 0 AS step, (SELECT MAX(DAYTIME) FROM daily_sum) AS day, {", ".join(
+            f"(SELECT {t} FROM last3 WHERE back = {b}) AS {t}_{b}" for t in TARGETS for b in (3, 2, 1))}
+  UNION ALL
+  SELECT step + 1, day + 1, {", ".join(
+            f"{t}_2, {t}_1, 0e0 + {t}_3 * 0.1e0 + {t}_2 * 0.3e0 + {t}_1 * 0.5e0" for t in TARGETS)}
+  FROM walk WHERE step < 90)""",
+        body="SELECT CAST(day AS DATE) AS DAYTIME, OIL_VOL_1 AS OIL_VOL, GAS_VOL_1 AS GAS_VOL, WAT_VOL_1 AS WAT_VOL FROM walk WHERE step > 0",
+    ),
+)
+def m16(spark, folder):
+    width = len(TARGETS)
+    weights = [[w if i % width == j else 0.0 for i, w in enumerate(w for w in WEIGHTS for _ in TARGETS)] for j in range(width)]
+    recent = recent_frame(sums(spark, folder), len(WEIGHTS))
+    return roll_linear(recent, weights, [0.0] * width, 90)
+
+
+@query(
+    "f13_shift_append",
+    over(
+        "daily_sum",
+        body=f"SELECT a.DAYTIME, CAST(19 - (a.rn - b.rn) AS BIGINT) AS step, b.OIL_VOL FROM ({_indexed}) a "
+        f"JOIN ({_indexed}) b ON b.rn BETWEEN a.rn - 19 AND a.rn WHERE a.rn > 20",
+    ),
+)
+def f13(spark, folder):
+    frames = lookback(sums(spark, folder).select("DAYTIME", "OIL_VOL"), ["OIL_VOL"], 20)
+    shifted = frames.select("DAYTIME", shift_append(F.flatten("frame"), F.col("OIL_VOL")).alias("frame"))
+    steps = shifted.select("DAYTIME", F.posexplode("frame").alias("step", "OIL_VOL"))
+    return steps.withColumn("step", F.col("step").cast("bigint"))
