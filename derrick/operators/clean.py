@@ -72,9 +72,11 @@ def drop_all_null(df: DataFrame) -> DataFrame:
     return df.drop(*all_null_columns(df))
 
 
-def conform(df: DataFrame, schema: T.StructType, required: list[str]) -> DataFrame:
-    """Exactly the columns of ``schema``: a required one that is missing is an
-    error naming it, an optional one is filled with nulls."""
+def conform(
+    df: DataFrame, schema: T.StructType, required: list[str], keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """The columns of ``schema`` (and those to ``keep``): a required one that is
+    missing is an error naming it, an optional one is filled with nulls."""
     missing = [c for c in required if c not in df.columns]
     if missing:
         raise ValueError(f"required columns missing: {', '.join(missing)}")
@@ -82,7 +84,8 @@ def conform(df: DataFrame, schema: T.StructType, required: list[str]) -> DataFra
         *[
             (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in schema.fields
-        ]
+        ],
+        *keep,
     )
 
 

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 from operator import add
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from derrick.functions.scalars import following_days
 from derrick.operators.window import tail
-from derrick.schema import MODEL_AI, TARGETS
+from derrick.schema import MODEL_AI, MODEL_PF, TARGETS
+from derrick.session import cut_lineage
 
 
 def persistence(
@@ -79,3 +83,70 @@ def roll_linear(
         "DAYTIME",
         *[F.get("values", F.col("step") * width + size + j).alias(c) for j, c in enumerate(cols)],
     )
+
+
+def raw_weights(pipeline: PipelineModel, params: dict[str, str], targets: list[str] = TARGETS):
+    """Weights and intercepts of a saved linear look-back model on the original
+    scale, for ``roll_linear``; None if the model is of another kind."""
+    models = [s for s in pipeline.stages if isinstance(s, LinearRegressionModel)]
+    if len(models) != len(targets):
+        return None
+    scaler = json.loads(params["scaler"])
+    bases = [f.rsplit("_lag", 1)[0] for f in json.loads(params["features"])]
+    weights, intercepts = [], []
+    for target, model in zip(targets, models):
+        offset, spread = scaler[target]
+        slopes = [c * spread / scaler[b][1] for c, b in zip(model.coefficients, bases)]
+        weights.append(slopes)
+        intercepts.append(offset + spread * model.intercept - sum(s * scaler[b][0] for s, b in zip(slopes, bases)))
+    return weights, intercepts
+
+
+def roll_model(
+    recent: DataFrame,
+    pipeline: PipelineModel,
+    length: int,
+    n_days: int,
+    targets: list[str] = TARGETS,
+    series_cols: list[str] | None = None,
+    cut_every: int = 10,
+) -> DataFrame:
+    """Roll any look-back model forward: each step predicts one day for all
+    series at once. The lineage is cut now and then, or it would grow by a
+    model per day."""
+    keys = list(series_cols or [])
+    width = len(targets)
+    names = [f"{t}_lag{i}" for i in range(length, 0, -1) for t in targets]
+    state = recent.select(*keys, "last_day", "frame", F.expr("CAST(array() AS array<double>)").alias("values"))
+    for day in range(1, n_days + 1):
+        lags = state.withColumns({n: F.get("frame", F.lit(i)) for i, n in enumerate(names)})
+        lags = lags.withColumns({t: F.lit(0.0) for t in targets})  # the scaling stage names the targets too
+        outputs = F.array(*[F.col(f"{t}_pred") for t in targets])
+        state = pipeline.transform(lags).select(
+            *keys,
+            "last_day",
+            F.concat(F.slice("frame", width + 1, (length - 1) * width), outputs).alias("frame"),
+            F.concat("values", outputs).alias("values"),
+        )
+        if day % cut_every == 0 and day < n_days:
+            state = cut_lineage(state)
+    rows = state.select(
+        *keys, "values", F.posexplode(following_days(F.col("last_day"), n_days)).alias("step", "DAYTIME")
+    )
+    return rows.select(
+        *keys, "DAYTIME", *[F.get("values", F.col("step") * width + j).alias(t) for j, t in enumerate(targets)]
+    )
+
+
+def forecast_saved(
+    pipeline: PipelineModel, id_model: str, params: dict[str, str], sums: DataFrame, n_days: int
+) -> DataFrame:
+    """Forecast ``n_days`` days after the daily sums with a saved look-back model."""
+    length = int(params["look_back"])
+    if not length:
+        raise ValueError(f"model {id_model} needs the readings of the day and cannot be rolled forward")
+    recent = recent_frame(sums, length)
+    linear = raw_weights(pipeline, params)
+    rows = roll_linear(recent, *linear, n_days) if linear else roll_model(recent, pipeline, length, n_days)
+    tagged = rows.withColumns({"id_model": F.lit(id_model), "model_type": F.lit(params["model_type"] + "_FORECAST")})
+    return tagged.select(*MODEL_PF.fieldNames())

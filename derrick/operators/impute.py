@@ -159,12 +159,15 @@ def _best_of_blocks(meetings: DataFrame, cols: list[str], keys: list[T.StructFie
     return meetings.select("recv", "donors").mapInArrow(nearest, shape)
 
 
-def _neighbours(df: DataFrame, cols: list[str], k: int, keys: list[str], profile: dict) -> DataFrame:
+def _neighbours(
+    df: DataFrame, known: DataFrame, cols: list[str], k: int, keys: list[str], profile: dict
+) -> DataFrame:
     """``_p_<c>.., column, rank, dist, donor_<key>.., value`` for every distinct
-    incomplete point, ``_p_<c>`` being its coordinates."""
+    incomplete point of ``df``, ``_p_<c>`` being its coordinates; the donors are
+    the rows of ``known``."""
     spark = df.sparkSession
     key_fields = [df.schema[c] for c in keys]
-    donors = cut_lineage(_reduced_donors(df, cols, k, keys)).withColumn("_pattern", _pattern(cols))
+    donors = cut_lineage(_reduced_donors(known, cols, k, keys)).withColumn("_pattern", _pattern(cols))
     receivers = (
         df.filter(_missing(cols) & ~_missing(cols, all)).select(*cols).distinct().withColumn("_pattern", _pattern(cols))
     )
@@ -213,11 +216,13 @@ def _neighbours(df: DataFrame, cols: list[str], k: int, keys: list[str], profile
     return k_nearest(best, by, ["dist", *[f"donor_{c}" for c in keys]], k)
 
 
-def _prepared(df: DataFrame, cols: list[str]) -> tuple[DataFrame, list[str], dict]:
-    """Columns as doubles, those that hold any value, and their profile."""
+def _prepared(df: DataFrame, cols: list[str], donors: Column | None = None):
+    """Columns as doubles, the donor rows, the columns that hold any value, and
+    the profile of the donors."""
     points = df.withColumns({c: F.col(c).cast("double") for c in cols})
-    profile = _profile(points, cols)
-    return points, [c for c in cols if profile[f"n_{c}"]], profile
+    known = points if donors is None else points.filter(donors)
+    profile = _profile(known, cols)
+    return points, known, [c for c in cols if profile[f"n_{c}"]], profile
 
 
 def _same_point(cols: list[str]) -> Column:
@@ -227,43 +232,49 @@ def _same_point(cols: list[str]) -> Column:
 def knn_pairs(df: DataFrame, cols: list[str], k: int, keys: list[str]) -> DataFrame:
     """``<keys>, column, rank, dist, donor_<keys>, value``: the k nearest donors
     of every missing cell. Ties in distance go to the smaller donor key."""
-    points, usable, profile = _prepared(df, cols)
+    points, known, usable, profile = _prepared(df, cols)
     if all(profile[f"n_{c}"] == profile["rows"] for c in usable):
         donor_keys = [F.col(c).alias(f"donor_{c}") for c in keys]
         return points.limit(0).select(
             *keys, F.lit("").alias("column"), F.lit(0).alias("rank"), F.lit(0.0).alias("dist"), *donor_keys, F.lit(0.0).alias("value")
         )
-    found = _neighbours(points.select(*keys, *usable), usable, k, keys, profile)
+    plain = points.select(*keys, *usable)
+    found = _neighbours(plain, plain, usable, k, keys, profile)
     rows = points.filter(_missing(usable)).select(*keys, *usable)
     return rows.join(found, _same_point(usable)).select(
         *keys, "column", "rank", "dist", *[f"donor_{c}" for c in keys], "value"
     )
 
 
-def knn_impute(df: DataFrame, cols: list[str], keys: list[str], k: int = 5) -> DataFrame:
+def knn_impute(
+    df: DataFrame, cols: list[str], keys: list[str], k: int = 5, donors: Column | None = None
+) -> DataFrame:
     """Fill missing values of ``cols`` by the mean of the k nearest donors.
 
     A cell without any comparable donor gets the column mean; a column that is
     empty throughout stays empty. ``keys`` identify a row. Columns are not scaled.
+    ``donors`` restricts the donors (and the means) to rows that meet a condition.
     """
-    points, usable, profile = _prepared(df, cols)
-    gaps = [c for c in usable if profile[f"n_{c}"] < profile["rows"]]
+    points, known, usable, profile = _prepared(df, cols, donors)
+    filled = profile if donors is None else _profile(points, cols)
+    gaps = [c for c in usable if filled[f"n_{c}"] < filled["rows"]]
     if not gaps:
         return points.select(*df.columns)
-    found = _neighbours(points.select(*keys, *usable), usable, k, keys, profile)
+    narrow = [*keys, *usable]
+    found = _neighbours(points.select(*narrow), known.select(*narrow), usable, k, keys, profile)
     point = [f"_p_{c}" for c in usable]
     # Added in rank order, so the mean has the same bits on every run.
     ordered = F.sort_array(F.collect_list(F.struct("rank", "value")))
     means = found.groupBy(*point, "column").agg(
         (F.aggregate(ordered, F.lit(0.0), lambda s, v: s + v["value"]) / F.count("value")).alias("mean")
     )
-    filled = means.groupBy(*point).agg(
+    repairs = means.groupBy(*point).agg(
         *[F.max(F.when(F.col("column") == c, F.col("mean"))).alias(f"_f_{c}") for c in gaps]
     )
     complete = points.filter(~_missing(usable))
     repaired = (
         points.filter(_missing(usable))
-        .join(filled, _same_point(usable), "left")
+        .join(repairs, _same_point(usable), "left")
         .withColumns({c: F.coalesce(c, f"_f_{c}", F.lit(profile[f"m_{c}"])) for c in gaps})
     )
     return complete.select(*df.columns).unionByName(repaired.select(*df.columns))
