@@ -64,7 +64,7 @@ def _json_shape(spark: SparkSession, path: str) -> tuple[str, list[str]]:
     whole = spark.read.text(path, wholetext=True)
     first = F.substring(F.trim("value"), 1, 1)
     keys = F.when(first == "{", F.json_object_keys("value"))
-    member = F.get_json_object("value", F.concat(F.lit("$."), F.get("keys", F.lit(0))))
+    member = F.expr("""get_json_object(value, concat("$['", get(keys, 0), "']"))""")
     rows = (
         whole.select("value", first.alias("first"), keys.alias("keys"))
         .select("first", "keys", F.substring(member, 1, 1).alias("inner"))
