@@ -6,17 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss")
-
-
 def parse_date(
-    df: DataFrame, source: str, target: str = "DAYTIME", formats: tuple[str, ...] = DATE_FORMATS
+    df: DataFrame, source: str, target: str = "DAYTIME", formats: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Date of the first format that fits; text that fits none becomes null."""
+    """The date part of ISO text, or of the first given format that fits; text
+    that fits none becomes null."""
+    column = F.col(source)
     if isinstance(df.schema[source].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return df.withColumn(target, F.to_date(source))
-    parsed = F.coalesce(*[F.to_date(F.try_to_timestamp(F.col(source), F.lit(f))) for f in formats])
-    return df.withColumn(target, parsed)
+        return df.withColumn(target, F.to_date(column))
+    parsed = [F.to_date(F.try_to_timestamp(column, F.lit(f))) for f in formats]
+    return df.withColumn(target, F.coalesce(*parsed) if parsed else column.try_cast("date"))
 
 
 def drop_null(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -254,6 +254,7 @@ def knn_impute(
     A cell without any comparable donor gets the column mean; a column that is
     empty throughout stays empty. ``keys`` identify a row. Columns are not scaled.
     ``donors`` restricts the donors (and the means) to rows that meet a condition.
+    The frame is read several times: give a stored one, or cut its lineage.
     """
     points, known, usable, profile = _prepared(df, cols, donors)
     filled = profile if donors is None else _profile(points, cols)

@@ -251,7 +251,7 @@ def train_daily(
     daily: DataFrame, spec: ModelSpec, draws: int = SEARCH_DRAWS, fit_on: str = "train", grid=None
 ) -> Fitted:
     """Train on the daily means: gaps filled, the day and the readings as features."""
-    split = split_by_share(daily)
+    split = cut_lineage(split_by_share(daily))  # a row per day, read many times below
     known = None if fit_on == "all" else ~F.col("is_test")
     filled = knn_impute(split, ["DAYTIME", *TARGETS, *READINGS], ["rn"], donors=known)
     named = filled.withColumns(

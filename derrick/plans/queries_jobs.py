@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +16,7 @@ from derrick.plans.queries_tables import STORED, as_doubles
 from derrick.plans.registry import query
 from derrick.plans.wells import SEQUENCE, clean_wells, production, raw_view, read_table
 from derrick.schema import NUMERICS, RAW_WELL, TARGETS
+from derrick.session import shared_folder
 from derrick.sinks.export import land_csv
 from derrick.sinks.runs import param_rows
 from derrick.sinks.upsert import read_table as stored_table
@@ -27,8 +26,7 @@ from derrick.streaming.files import file_stream, stream_daily, stream_upsert, wr
 
 def scratch(spark: SparkSession) -> str:
     """A new folder in the shared checkpoint folder of the session."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="derrick-")
-    return f"{shared}/derrick-{new_id()}"
+    return f"{shared_folder(spark)}/derrick-{new_id()}"
 
 
 def land_raw(spark: SparkSession, folder: str, target: str) -> str:

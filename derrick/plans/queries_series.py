@@ -14,6 +14,7 @@ from derrick.plans.oracle import exact_sum, over
 from derrick.plans.registry import query
 from derrick.plans.wells import production, read_table
 from derrick.schema import KEY, NUMERICS, READINGS, TARGETS
+from derrick.session import cut_lineage
 
 DAY_COLUMNS = ["DAYTIME", *TARGETS, *READINGS]
 
@@ -21,13 +22,9 @@ DAY_COLUMNS = ["DAYTIME", *TARGETS, *READINGS]
 SERIES = ["NPD_FIELD_CODE"]
 
 
-def averages(spark, folder):
-    return daily_avg(production(spark, folder))
-
-
 def field_averages(spark, folder):
     """Daily means per field: fields that report nothing on a day leave gaps."""
-    return daily_avg(production(spark, folder), SERIES)
+    return cut_lineage(daily_avg(production(spark, folder), SERIES))
 
 
 # ---------------------------------------------------------------- nearest neighbours
@@ -98,7 +95,7 @@ def m1(spark, folder):
 def m1_rows(spark, folder):
     """Every stored row against every stored row; brute force is only feasible on
     the small fixture of the tests."""
-    return knn_impute(production(spark, folder).select(*KEY, *NUMERICS), NUMERICS, KEY)
+    return knn_impute(cut_lineage(production(spark, folder).select(*KEY, *NUMERICS)), NUMERICS, KEY)
 
 
 # ---------------------------------------------------------------- scaling

@@ -67,11 +67,18 @@ def raw_wells(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(*[value.alias(name) for name, value in columns.items()], *SEQUENCE)
 
 
+def dated_wells(raw: DataFrame) -> DataFrame:
+    """Dates parsed, unusable rows dropped, texts as texts."""
+    return text_cast(drop_null(parse_date(raw, "DATEPRD"), ["DAYTIME"]), TEXTS)
+
+
+def typed_wells(df: DataFrame) -> DataFrame:
+    """Numbers in their stored types."""
+    return quantise(df, {c: READING_TYPE for c in READINGS} | {c: VOLUME_TYPE for c in VOLUMES})
+
+
 def clean_wells(raw: DataFrame) -> DataFrame:
-    """Dates parsed, unusable rows dropped, texts and numbers in their stored types."""
-    dated = drop_null(parse_date(raw, "DATEPRD"), ["DAYTIME"])
-    types = {c: READING_TYPE for c in READINGS} | {c: VOLUME_TYPE for c in VOLUMES}
-    return quantise(text_cast(dated, TEXTS), types)
+    return typed_wells(dated_wells(raw))
 
 
 def raw_view(spark: SparkSession, folder: str) -> DataFrame:
@@ -79,5 +86,6 @@ def raw_view(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def production(spark: SparkSession, folder: str) -> DataFrame:
-    """``pwell_data``: the last version of each day and well."""
-    return latest_per_key(clean_wells(raw_view(spark, folder)), KEY, SEQUENCE)
+    """``pwell_data``: the last version of each day and well. Numbers are cast
+    after the older versions are gone."""
+    return typed_wells(latest_per_key(dated_wells(raw_view(spark, folder)), KEY, SEQUENCE))

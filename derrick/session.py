@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,18 +14,26 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors see. The session names it; only a session that
+    names none (a test) gets a private one."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None:
+        named = tempfile.mkdtemp(prefix="derrick-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named.rstrip("/")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the cluster's shared checkpoint folder.
+    """Write ``df`` once and go on from the written table.
 
-    The folder comes from the session; only a session that names none (a test)
-    gets a private one.
+    A parquet table rather than a row checkpoint, so that later steps read only
+    the columns they need. It lives in the shared folder and survives the loss
+    of executors.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="derrick-checkpoint-"))
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/derrick-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shuffle_width(spark: SparkSession) -> int:
