@@ -86,7 +86,7 @@ def _reduced_donors(df: DataFrame, cols: list[str], k: int, keys: list[str]) ->
     return filled.withColumn("_copy", F.row_number().over(same)).filter(F.col("_copy") <= k).drop("_copy")
 
 
-def _blocks(receivers: DataFrame, cols: list[str], index: CellIndex, labels, chunks, tasks: int) -> DataFrame:
+def _blocks(receivers: DataFrame, cols: list[str], index: tuple, labels, chunks, tasks: int) -> DataFrame:
     """``_cell, _chunk, recv``: the receivers that visit a chunk, in blocks.
 
     Near receivers are put together, so that a block visits few cells. The
@@ -97,7 +97,8 @@ def _blocks(receivers: DataFrame, cols: list[str], index: CellIndex, labels, chu
     shape = pa.schema([("_cell", pa.string()), ("_chunk", pa.int32()), ("recv", pa.list_(point))])
 
     def assign(batches):
-        cells, names, counts = shared.value
+        parts, names, counts = shared.value
+        cells = CellIndex(*parts)
         for batch in batches:
             for start in range(0, batch.num_rows, BLOCK_ROWS):
                 part = batch.slice(start, BLOCK_ROWS)
@@ -164,10 +165,11 @@ def _neighbours(
 ) -> DataFrame:
     """``_p_<c>.., column, rank, dist, donor_<key>.., value`` for every distinct
     incomplete point of ``df``, ``_p_<c>`` being its coordinates; the donors are
-    the rows of ``known``."""
+    the rows of ``known``. Keys are given as ``_k_<key>``."""
     spark = df.sparkSession
-    key_fields = [df.schema[c] for c in keys]
-    donors = cut_lineage(_reduced_donors(known, cols, k, keys)).withColumn("_pattern", _pattern(cols))
+    held = [f"_k_{c}" for c in keys]
+    key_fields = [T.StructField(c, df.schema[f"_k_{c}"].dataType) for c in keys]
+    donors = cut_lineage(_reduced_donors(known, cols, k, held)).withColumn("_pattern", _pattern(cols))
     receivers = (
         df.filter(_missing(cols) & ~_missing(cols, all)).select(*cols).distinct().withColumn("_pattern", _pattern(cols))
     )
@@ -182,7 +184,7 @@ def _neighbours(
     )
     summary = boxes.collect()  # at most MAX_CELLS + 1 rows
     landmarks = (
-        donors.select(*cols).orderBy(F.xxhash64(*cols), *keys).limit(LANDMARKS).toArrow().columns
+        donors.orderBy(F.xxhash64(*cols), *held).limit(LANDMARKS).select(*cols).toArrow().columns
     )
     nan = float("nan")
 
@@ -192,7 +194,7 @@ def _neighbours(
     centre = np.array([profile[f"m_{c}"] for c in cols])
     labels = [r["_cell"] for r in summary]
     chunks = np.array([-(-r["n"] // CHUNK_ROWS) for r in summary], dtype="int64")
-    index = CellIndex(
+    index = (
         side("l"),
         side("h"),
         np.array([label == "open" for label in labels]),
@@ -201,10 +203,10 @@ def _neighbours(
         k,
     )
     counts = spark.createDataFrame(list(zip(labels, chunks.tolist())), "_cell string, _chunks bigint")
-    record = F.struct(*[F.col(c).alias(f"_k_{c}") for c in keys], *[F.col(c).alias(f"_v_{c}") for c in cols])
+    record = F.struct(*held, *[F.col(c).alias(f"_v_{c}") for c in cols])
     chunked = (
         placed.join(F.broadcast(counts), "_cell")  # at most MAX_CELLS + 1 rows
-        .withColumn("_chunk", F.pmod(F.xxhash64(*cols, *keys), F.col("_chunks")).cast("int"))
+        .withColumn("_chunk", F.pmod(F.xxhash64(*cols, *held), F.col("_chunks")).cast("int"))
         .groupBy("_cell", "_chunk")
         .agg(F.sort_array(F.collect_list(record)).alias("donors"))
     )
@@ -216,10 +218,11 @@ def _neighbours(
     return k_nearest(best, by, ["dist", *[f"donor_{c}" for c in keys]], k)
 
 
-def _prepared(df: DataFrame, cols: list[str], donors: Column | None = None):
-    """Columns as doubles, the donor rows, the columns that hold any value, and
-    the profile of the donors."""
-    points = df.withColumns({c: F.col(c).cast("double") for c in cols})
+def _prepared(df: DataFrame, cols: list[str], keys: list[str], donors: Column | None = None):
+    """Columns as doubles beside untouched keys (a key may be a column too), the
+    donor rows, the columns that hold any value, and the profile of the donors."""
+    held = {f"_k_{c}": F.col(c) for c in keys}
+    points = df.withColumns(held | {c: F.col(c).cast("double") for c in cols})
     known = points if donors is None else points.filter(donors)
     profile = _profile(known, cols)
     return points, known, [c for c in cols if profile[f"n_{c}"]], profile
@@ -232,17 +235,18 @@ def _same_point(cols: list[str]) -> Column:
 def knn_pairs(df: DataFrame, cols: list[str], k: int, keys: list[str]) -> DataFrame:
     """``<keys>, column, rank, dist, donor_<keys>, value``: the k nearest donors
     of every missing cell. Ties in distance go to the smaller donor key."""
-    points, known, usable, profile = _prepared(df, cols)
+    points, known, usable, profile = _prepared(df, cols, keys)
+    own = [F.col(f"_k_{c}").alias(c) for c in keys]
     if all(profile[f"n_{c}"] == profile["rows"] for c in usable):
-        donor_keys = [F.col(c).alias(f"donor_{c}") for c in keys]
+        theirs = [F.col(f"_k_{c}").alias(f"donor_{c}") for c in keys]
         return points.limit(0).select(
-            *keys, F.lit("").alias("column"), F.lit(0).alias("rank"), F.lit(0.0).alias("dist"), *donor_keys, F.lit(0.0).alias("value")
+            *own, F.lit("").alias("column"), F.lit(0).alias("rank"), F.lit(0.0).alias("dist"), *theirs, F.lit(0.0).alias("value")
         )
-    plain = points.select(*keys, *usable)
+    plain = points.select(*[f"_k_{c}" for c in keys], *usable)
     found = _neighbours(plain, plain, usable, k, keys, profile)
-    rows = points.filter(_missing(usable)).select(*keys, *usable)
+    rows = plain.filter(_missing(usable))
     return rows.join(found, _same_point(usable)).select(
-        *keys, "column", "rank", "dist", *[f"donor_{c}" for c in keys], "value"
+        *own, "column", "rank", "dist", *[f"donor_{c}" for c in keys], "value"
     )
 
 
@@ -256,12 +260,12 @@ def knn_impute(
     ``donors`` restricts the donors (and the means) to rows that meet a condition.
     The frame is read several times: give a stored one, or cut its lineage.
     """
-    points, known, usable, profile = _prepared(df, cols, donors)
+    points, known, usable, profile = _prepared(df, cols, keys, donors)
     filled = profile if donors is None else _profile(points, cols)
     gaps = [c for c in usable if filled[f"n_{c}"] < filled["rows"]]
     if not gaps:
         return points.select(*df.columns)
-    narrow = [*keys, *usable]
+    narrow = [*[f"_k_{c}" for c in keys], *usable]
     found = _neighbours(points.select(*narrow), known.select(*narrow), usable, k, keys, profile)
     point = [f"_p_{c}" for c in usable]
     # Added in rank order, so the mean has the same bits on every run.

@@ -17,9 +17,12 @@ def join_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def rows_if_absent(base: DataFrame, new: DataFrame, keys: list[str], sequence: list[str]) -> DataFrame:
-    """Rows of ``new`` whose key ``base`` lacks, the first writer of each key."""
-    fresh = new.join(base.select(*keys).distinct(), keys, "left_anti")
-    return latest_per_key(fresh, keys, sequence, first=True)
+    """Rows of ``new`` whose key ``base`` lacks, the first writer of each key.
+
+    Duplicates go before the join, so a hot key is a single row in it.
+    """
+    first = latest_per_key(new, keys, sequence, first=True)
+    return first.join(base.select(*keys), keys, "left_anti")
 
 
 def insert_if_absent(base: DataFrame, new: DataFrame, keys: list[str], sequence: list[str]) -> DataFrame:
