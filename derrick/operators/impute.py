@@ -1,7 +1,7 @@
 """Exact k-nearest-neighbour imputation without comparing all rows.
 
-Donors are grouped into cells: same missing columns, neighbouring values in the
-columns that spread most. A receiver visits only cells whose bounding box can
+Donors are grouped into cells: same missing columns, then split again and again
+along the column that spreads most within a cell, until cells are small. A receiver visits only cells whose bounding box can
 hold one of its k nearest donors; the bound comes from the distance to a few
 real donors, so the result is that of the full comparison. Receivers and donors
 meet by an equi-join on cell and chunk, block against block, and only the k best
@@ -12,7 +12,7 @@ k times, so copies cost nothing. Chunks bound what one task holds.
 from __future__ import annotations
 
 from functools import reduce
-from operator import add, or_
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +32,8 @@ TASK_RECEIVERS = 20_000
 MAX_CELLS = 16_384
 MAX_PATTERNS = 256
 LANDMARKS = 2048
-SPLIT_COLUMNS = 3
-QUANTILES = 32
+FAN_OUT = 8
+MAX_LEVELS = 8
 
 
 def _missing(columns: list[str], test=any) -> Column:
@@ -41,41 +41,78 @@ def _missing(columns: list[str], test=any) -> Column:
     return reduce(combine, [F.col(c).isNull() for c in columns])
 
 
-def _profile(points: DataFrame, cols: list[str]):
-    """Count, mean, spread and quantiles of every column, in one pass."""
-    marks = [i / QUANTILES for i in range(1, QUANTILES)]
+def _profile(points: DataFrame, cols: list[str]) -> dict:
+    """Rows, filled values and mean of every column, in one pass."""
     row = points.agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.count(c).alias(f"n_{c}") for c in cols],
         *[exact_mean(c).alias(f"m_{c}") for c in cols],
-        *[F.var_pop(c).alias(f"v_{c}") for c in cols],
-        *[F.percentile_approx(c, marks).alias(f"q_{c}") for c in cols],
     ).first()
     return row.asDict()
 
 
-def _box(column: str, cuts: list[float]) -> Column:
-    """Number of the value's interval; missing values share one."""
-    above = reduce(add, [(F.col(column) >= F.lit(c)).cast("int") for c in cuts], F.lit(0))
-    return F.when(F.col(column).isNull(), F.lit(-1)).otherwise(above)
-
-
 def _pattern(cols: list[str]) -> Column:
     return F.concat(*[F.when(F.col(c).isNull(), F.lit("0")).otherwise(F.lit("1")) for c in cols])
 
 
-def _cell(cols: list[str], profile: dict, donors: int, patterns: list[str]) -> Column:
-    """Cell label: missing pattern and box. Rare patterns share an open cell."""
-    wanted = max(1, min(MAX_CELLS // max(1, len(patterns)), donors // CELL_ROWS))
-    spread = sorted(cols, key=lambda c: -(profile[f"v_{c}"] or 0.0))[:SPLIT_COLUMNS]
-    per_column = min(QUANTILES, int(wanted ** (1 / len(spread))))
-    parts = []
-    for c in spread:
-        marks = profile[f"q_{c}"] or []
-        picked = sorted({marks[i * QUANTILES // per_column - 1] for i in range(1, per_column)}) if marks else []
-        parts.append(_box(c, picked).cast("string"))
-    label = F.concat_ws("/", F.col("_pattern"), *parts)
-    return F.when(F.col("_pattern").isin(patterns), label).otherwise(F.lit("open"))
+def _splits(placed: DataFrame, cols: list[str], target: int, leaf: set[str]) -> list[tuple]:
+    """``(cell, column, cut points)`` for the cells that are still too large.
+    Cells without cut points are added to ``leaf``. At most MAX_CELLS rows come
+    to the driver."""
+    spreads = placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"), *[F.var_pop(c).alias(f"v_{c}") for c in cols])
+    cells = spreads.collect()
+    room = MAX_CELLS - len(cells)
+    chosen = []
+    for r in sorted(cells, key=lambda r: -r["n"]):
+        parts = min(FAN_OUT, -(-r["n"] // target))
+        widest = max(cols, key=lambda c: r[f"v_{c}"] or 0.0)
+        if r["n"] <= 2 * target or r["_cell"] in leaf or not r[f"v_{widest}"] or room < parts:
+            continue
+        room -= parts - 1
+        chosen.append((r["_cell"], widest, parts))
+    if not chosen:
+        return []
+    spark = placed.sparkSession
+    picked = spark.createDataFrame([c[:2] for c in chosen], "_cell string, _column string")
+    marks = [i / FAN_OUT for i in range(1, FAN_OUT)]
+    rows = (
+        placed.join(F.broadcast(picked), "_cell")  # at most MAX_CELLS rows
+        .groupBy("_cell")
+        .agg(F.percentile_approx(_value_of_column(cols), marks).alias("cuts"))
+        .collect()
+    )
+    quantiles = {r["_cell"]: r["cuts"] for r in rows}
+    found = []
+    for cell, column, parts in chosen:
+        cuts = sorted({quantiles[cell][i * FAN_OUT // parts - 1] for i in range(1, parts)})
+        leaf.update([] if cuts else [cell])
+        found += [(cell, column, cuts)] if cuts else []
+    return found
+
+
+def _value_of_column(cols: list[str]) -> Column:
+    return F.coalesce(*[F.when(F.col("_column") == c, F.col(c)) for c in cols])
+
+
+def _in_cells(donors: DataFrame, cols: list[str], patterns: list[str], total: int) -> DataFrame:
+    """Add ``_cell``. Rare patterns share an open cell, which is not split."""
+    start = F.when(F.col("_pattern").isin(patterns), F.col("_pattern")).otherwise(F.lit("open"))
+    placed = donors.withColumn("_cell", start)
+    target = max(CELL_ROWS, -(-2 * total // MAX_CELLS))
+    leaf = {"open"}
+    for _ in range(MAX_LEVELS if total > 2 * target else 0):
+        splits = _splits(placed, cols, target, leaf)
+        if not splits:
+            break
+        table = donors.sparkSession.createDataFrame(splits, "_cell string, _column string, _cuts array<double>")
+        below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_value")))
+        placed = (
+            placed.join(F.broadcast(table), "_cell", "left")  # at most MAX_CELLS rows
+            .withColumn("_value", _value_of_column(cols))
+            .withColumn("_cell", F.when(F.col("_cuts").isNull(), F.col("_cell")).otherwise(F.concat_ws("/", "_cell", below)))
+            .select(*donors.columns, "_cell")
+        )
+    return placed
 
 
 def _reduced_donors(df: DataFrame, cols: list[str], k: int, keys: list[str]) -> DataFrame:
@@ -176,13 +213,12 @@ def _neighbours(
     counted = donors.groupBy("_pattern").agg(F.count(F.lit(1)).alias("n"))
     common = counted.orderBy(F.desc("n"), "_pattern").limit(MAX_PATTERNS).collect()
     patterns = [r["_pattern"] for r in common]
-    cell = _cell(cols, profile, sum(r["n"] for r in common), patterns)
-    placed = donors.withColumn("_cell", cell)
+    placed = _in_cells(donors, cols, patterns, sum(r["n"] for r in common))
 
     boxes = placed.groupBy("_cell").agg(
         F.count(F.lit(1)).alias("n"), *[F.min(c).alias(f"l_{c}") for c in cols], *[F.max(c).alias(f"h_{c}") for c in cols]
     )
-    summary = boxes.collect()  # at most MAX_CELLS + 1 rows
+    summary = boxes.collect()  # at most MAX_CELLS rows
     landmarks = (
         donors.orderBy(F.xxhash64(*cols), *held).limit(LANDMARKS).select(*cols).toArrow().columns
     )
@@ -205,7 +241,7 @@ def _neighbours(
     counts = spark.createDataFrame(list(zip(labels, chunks.tolist())), "_cell string, _chunks bigint")
     record = F.struct(*held, *[F.col(c).alias(f"_v_{c}") for c in cols])
     chunked = (
-        placed.join(F.broadcast(counts), "_cell")  # at most MAX_CELLS + 1 rows
+        placed.join(F.broadcast(counts), "_cell")  # at most MAX_CELLS rows
         .withColumn("_chunk", F.pmod(F.xxhash64(*cols, *held), F.col("_chunks")).cast("int"))
         .groupBy("_cell", "_chunk")
         .agg(F.sort_array(F.collect_list(record)).alias("donors"))
