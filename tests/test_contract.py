@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as contract
 from check_oracles import compare
+from derrick.plans import catalog
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -28,7 +29,7 @@ def test_every_oracle_belongs_to_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", [n for n in contract.queries() if not n.startswith(HEAVY)])
+@pytest.mark.parametrize("name", [n for n in catalog.queries() if not n.startswith(HEAVY)])
 def test_query_matches_sql(spark, sql, name):
     line = compare(spark, sql, name, FOLDER)
     assert line.startswith(("ok", "rows")), line
