@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import public_tokenizers
+
 import corpus_pipeline
-from derrick.llm import quality_gam, quality_trees
+from derrick.llm import byte_bpe, language_bits, quality_gam, quality_trees
 from derrick.llm.common import table
 from derrick.session import pin_utc
 
@@ -38,6 +40,17 @@ def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_gam.classify(docs, quality_gam.train(docs, table(spark, folder, "labels")))
 
 
+@_query
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return language_bits.identify(docs, language_bits.learn(docs))
+
+
+@_query
+def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_bpe.round_trip(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 @_query
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
