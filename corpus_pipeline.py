@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from derrick.llm import quality_gam, quality_trees
+from derrick.llm import packing, quality_gam, quality_trees
 from derrick.llm.common import table
 from derrick.session import cut_lineage, pin_utc
 
@@ -26,9 +27,14 @@ def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_trees.keep_passing(docs, quality_trees.train(docs, table(spark, sf_dir, "labels")))
 
 
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_classifier", classify_quality),
     ("quality_rules", apply_rules),
+    ("best_fit_packing", pack_sequences),
 ]
 
 

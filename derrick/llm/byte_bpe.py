@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import json
 import sys
 import unicodedata
 from collections.abc import Iterable, Iterator
@@ -302,11 +303,29 @@ class Encoded:
     bounds: np.ndarray
 
 
+def _line_ranks(path: str) -> dict[bytes, int]:
+    """A file of lines: token in base64, rank."""
+    with open(path, "rb") as lines:
+        pairs = [line.split() for line in lines if line.strip()]
+    return {base64.b64decode(token): int(rank) for token, rank in pairs}
+
+
+def _json_ranks(path: str) -> dict[bytes, int]:
+    """A tokenizer file whose vocabulary writes bytes as characters: printable ones as themselves, the others from U+0100 on.
+
+    Ids grow with the merges, so they serve as ranks. Added special tokens are left out.
+    """
+    with open(path, encoding="utf-8") as file:
+        vocabulary = json.load(file)["model"]["vocab"]
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    byte_of = {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(others)}
+    return {bytes(map(byte_of.__getitem__, token)): rank for token, rank in vocabulary.items()}
+
+
 class ByteBpe:
     def __init__(self, path: str):
-        with open(path, "rb") as lines:
-            pairs = [line.split() for line in lines if line.strip()]
-        self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
+        self.ranks = _json_ranks(path) if path.endswith(".json") else _line_ranks(path)
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.sizes = np.zeros(max(self.tokens) + 1, np.int64)
         self.sizes[list(self.tokens)] = [len(t) for t in self.tokens.values()]

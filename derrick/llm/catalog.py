@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-
 import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from derrick.llm import byte_bpe, language_bits, quality_gam, quality_trees
+from derrick.llm import byte_bpe, language_bits, packing, quality_gam, quality_trees
 from derrick.llm.common import table
 from derrick.session import pin_utc
 
@@ -57,6 +56,11 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_trees.verdicts(docs, quality_trees.train(docs, table(spark, folder, "labels")))
 
 
+@_query
+def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @_query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
