@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from derrick.llm import packing, quality_gam, quality_trees
+from derrick.llm import jaccard_forest, packing, quality_gam, quality_trees
 from derrick.llm.common import table
 from derrick.session import cut_lineage, pin_utc
 
@@ -27,6 +27,10 @@ def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_trees.keep_passing(docs, quality_trees.train(docs, table(spark, sf_dir, "labels")))
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard_forest.keep_first(docs)
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -34,6 +38,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_classifier", classify_quality),
     ("quality_rules", apply_rules),
+    ("jaccard_join", drop_near_duplicates),
     ("best_fit_packing", pack_sequences),
 ]
 

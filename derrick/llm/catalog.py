@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from derrick.llm import byte_bpe, language_bits, packing, quality_gam, quality_trees
+from derrick.llm import byte_bpe, jaccard_forest, language_bits, packing, quality_gam, quality_trees
 from derrick.llm.common import table
 from derrick.session import pin_utc
 
@@ -45,6 +45,11 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_bits.identify(docs, language_bits.learn(docs))
 
 
+@_query
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_forest.near_duplicates(table(spark, folder, "documents")).drop("text_hash")
+
+
 @_query
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
