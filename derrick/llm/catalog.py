@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from derrick.llm import byte_bpe, jaccard_forest, language_bits, packing, quality_gam, quality_trees
+from derrick.llm import byte_bpe, jaccard_forest, language_bits, packing, quality_gam, quality_trees, topk_search
 from derrick.llm.common import table
 from derrick.session import pin_utc
 
@@ -55,6 +55,14 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+@_query
+def op5_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    return topk_search.search(table(spark, folder, "embeddings"))
+
+
+ORACLES["op5_topk_search"] = topk_search.SQL
+
+
 @_query
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
