@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from derrick.llm import byte_bpe, html_blocks, jaccard_forest, language_bits, packing, quality_gam, quality_trees, topk_search
+from derrick.llm import byte_bpe, html_blocks, jaccard_forest, language_bits, license_rules, packing, quality_gam, quality_trees, topk_search
 from derrick.llm.common import table
 from derrick.session import pin_utc
 
@@ -79,6 +79,11 @@ def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_blocks.extracted(table(spark, folder, "pages"))
 
 
+@_query
+def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_rules.scan(table(spark, folder, "documents"))
+
+
 @_query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
