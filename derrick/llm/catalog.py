@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from derrick.llm import byte_bpe, html_blocks, jaccard_forest, language_bits, license_rules, packing, quality_gam, quality_trees, topk_search
+from derrick.llm import byte_bpe, html_blocks, jaccard_forest, language_bits, license_rules, masked_lm, packing, quality_gam, quality_trees, topk_search
 from derrick.llm.common import table
 from derrick.session import pin_utc
 
@@ -63,6 +63,11 @@ def op5_topk_search(spark: SparkSession, folder: str) -> DataFrame:
 ORACLES["op5_topk_search"] = topk_search.SQL
 
 
+@_query
+def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return masked_lm.pseudo_likelihood(table(spark, folder, "documents"))
+
+
 @_query
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
