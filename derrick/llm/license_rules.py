@@ -32,7 +32,7 @@ BASE = [("cc by", "cc-by"), ("general public license", "gpl"), ("all rights rese
 BASE_SCORE = 0.6
 
 # One of these stands in every text that a rule or a base phrase can match.
-GATES = ["licen", "gpl", "creative", "cc", "copyright", "reserved", "domain", "redistribution", "warrant", "proprietary", "mpl", "eupl", "cddl", "spdx"]
+GATES = ["licen", "gpl", "creative", "cc", "copyright", "reserved", "domain", "redistribution", "warrant", "proprietary", "permission", "mpl", "eupl", "cddl", "apache", "bsd", "wtfpl", "ncsa"]
 
 LICENSE = "licen[sc]e"
 
