@@ -1,11 +1,8 @@
-"""Sums and means whose bits do not depend on row order.
+"""Sums and means that are right at any magnitude.
 
-A plain double sum changes in its last bits with the partitioning, with a
-retried task or with another engine. Two exact forms are used instead:
-
-* ``fixed_sum`` for columns with a declared scale: whole units are added in a
-  double, which is exact up to 2^53 units and stays in fast primitive code;
-* ``exact_sum`` for derived doubles: a decimal sum, exact at any size, slower.
+A column is added in its own type: decimals (all stored columns) stay exact up to
+38 digits and don't depend on the partitioning; doubles keep their full
+relative precision, and only their last bits may vary with the order of the rows.
 """
 
 from __future__ import annotations
@@ -14,20 +11,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def fixed_sum(column: Column | str, scale: int) -> Column:
-    column = F.col(column) if isinstance(column, str) else column
-    unit = float(10**scale)
-    return F.sum(F.rint(column.cast("double") * unit)) / F.lit(unit)
+def total(column: Column | str) -> Column:
+    return F.sum(column).cast("double")
 
 
-def fixed_mean(column: Column | str, scale: int) -> Column:
-    return fixed_sum(column, scale) / F.count(column)
+def mean(column: Column | str) -> Column:
+    return total(column) / F.count(column)
 
 
-def exact_sum(column: Column | str, scale: int = 6) -> Column:
+def significant(column: Column | str, digits: int = 7) -> Column:
+    """A double rounded to ``digits`` significant digits."""
     column = F.col(column) if isinstance(column, str) else column
-    return F.sum(column.cast(f"decimal(28,{scale})")).cast("double")
-
-
-def exact_mean(column: Column | str, scale: int = 6) -> Column:
-    return exact_sum(column, scale) / F.count(column)
+    return F.when(column.isNotNull(), F.format_string(f"%.{digits - 1}e", column.cast("double")).cast("double"))

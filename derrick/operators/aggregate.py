@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from derrick.functions.exact import fixed_mean, fixed_sum
+from derrick.functions.exact import mean, total
 from derrick.functions.scalars import epoch_of_day
-from derrick.schema import FLUIDS, READING_SCALE, READINGS, VOLUME_SCALE
+from derrick.schema import FLUIDS, READINGS
 
 
 def daily_avg(df: DataFrame, series_cols: list[str] | None = None) -> DataFrame:
     """Mean volumes and readings per day; the day is given in epoch seconds."""
     keys = list(series_cols or [])
-    volumes = [fixed_mean(column, VOLUME_SCALE).alias(f"{fluid}_VOL") for fluid, column in FLUIDS.items()]
-    readings = [fixed_mean(column, READING_SCALE).alias(column) for column in READINGS]
+    volumes = [mean(column).alias(f"{fluid}_VOL") for fluid, column in FLUIDS.items()]
+    readings = [mean(column).alias(column) for column in READINGS]
     daily = df.groupBy(*keys, "DAYTIME").agg(*volumes, *readings)
     return daily.withColumn("DAYTIME", epoch_of_day("DAYTIME"))
 
@@ -23,7 +23,7 @@ def daily_sum(df: DataFrame, series_cols: list[str] | None = None) -> DataFrame:
     """Total volumes per day."""
     keys = list(series_cols or [])
     return df.groupBy(*keys, "DAYTIME").agg(
-        *[fixed_sum(column, VOLUME_SCALE).alias(f"{fluid}_VOL") for fluid, column in FLUIDS.items()]
+        *[total(column).alias(f"{fluid}_VOL") for fluid, column in FLUIDS.items()]
     )
 
 

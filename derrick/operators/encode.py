@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from derrick.functions.exact import exact_mean
+from derrick.functions.exact import mean
 from derrick.session import shuffle_width
 
 MAX_SLICES = 10_000
@@ -17,15 +17,11 @@ MAX_SLICES = 10_000
 
 def category_stats(df: DataFrame, cat: str, target: str) -> DataFrame:
     """Sum and count of the target per category."""
-    return df.groupBy(cat).agg(_decimal_sum(target).cast("double").alias("cat_sum"), F.count(target).alias("cat_count"))
-
-
-def _decimal_sum(target: str):
-    return F.sum(F.col(target).cast("decimal(28,6)"))
+    return df.groupBy(cat).agg(F.sum(target).cast("double").alias("cat_sum"), F.count(target).alias("cat_count"))
 
 
 def prior_mean(df: DataFrame, target: str) -> DataFrame:
-    return df.agg(exact_mean(target).alias("prior"))
+    return df.agg(mean(target).alias("prior"))
 
 
 def _sliced(df: DataFrame, order: str) -> DataFrame:
@@ -56,7 +52,7 @@ def ordered_stat(df: DataFrame, cat: str, target: str, order: str) -> DataFrame:
     """
     sliced = _sliced(df, order)
     totals = sliced.groupBy(cat, "_slice").agg(
-        _decimal_sum(target).alias("_sum"), F.count(target).alias("_count")
+        F.sum(target).alias("_sum"), F.count(target).alias("_count")
     )
     earlier = Window.partitionBy(cat).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(
@@ -69,10 +65,8 @@ def ordered_stat(df: DataFrame, cat: str, target: str, order: str) -> DataFrame:
         carried, F.col(cat).eqNullSafe(F.col("_cat")) & (F.col("_slice") == F.col("_cat_slice")), "left"
     )
     within = Window.partitionBy(cat, "_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("decimal(38,6)")
-    run_sum = F.coalesce(F.col("_carried_sum").cast("decimal(38,6)"), zero) + F.coalesce(
-        F.sum(F.col(target).cast("decimal(28,6)")).over(within), zero
-    )
+    zero = F.lit(0)
+    run_sum = F.coalesce("_carried_sum", zero) + F.coalesce(F.sum(target).over(within), zero)
     run_count = F.coalesce(F.col("_carried_count"), F.lit(0)) + F.count(target).over(within)
     return joined.withColumns({"run_sum": run_sum.cast("double"), "run_count": run_count.cast("bigint")}).select(
         *df.columns, "run_sum", "run_count"

@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from derrick.functions.exact import exact_mean
 from derrick.functions.nearest import CellIndex, block_nearest, matrix_of
 from derrick.operators.window import k_nearest
 from derrick.session import cut_lineage, shuffle_width
@@ -46,7 +45,7 @@ def _profile(points: DataFrame, cols: list[str]) -> dict:
     row = points.agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.count(c).alias(f"n_{c}") for c in cols],
-        *[exact_mean(c).alias(f"m_{c}") for c in cols],
+        *[F.avg(c).alias(f"m_{c}") for c in cols],
     ).first()
     return row.asDict()
 

@@ -12,7 +12,6 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from derrick.functions.exact import exact_sum
 from derrick.schema import TARGETS
 
 Pairs = dict[str, tuple[str, str]]
@@ -29,10 +28,9 @@ def _moments(target: str, actual: str, predicted: str) -> list[Column]:
     error = y - p
     return [
         F.count(error).cast("double").alias(f"_n_{target}"),
-        exact_sum(error * error).alias(f"_sse_{target}"),
-        exact_sum(F.abs(error)).alias(f"_sae_{target}"),
-        exact_sum(both).alias(f"_s_{target}"),
-        exact_sum(both * both).alias(f"_q_{target}"),
+        F.sum(error * error).alias(f"_sse_{target}"),
+        F.sum(F.abs(error)).alias(f"_sae_{target}"),
+        F.var_pop(both).alias(f"_var_{target}"),
     ]
 
 
@@ -44,8 +42,7 @@ def _metric(name: str, target: str) -> Column:
         return F.sqrt(sse / n)
     if name == "mae":
         return F.col(f"_sae_{target}") / n
-    total = F.col(f"_s_{target}")
-    return F.lit(1.0) - sse / F.nullif(F.col(f"_q_{target}") - total * total / n, F.lit(0.0))
+    return F.lit(1.0) - sse / n / F.nullif(F.col(f"_var_{target}"), F.lit(0.0))
 
 
 def evaluate(

@@ -74,8 +74,8 @@ def fixed_sum(column: str, scale: int, alias: str) -> str:
     return f"SUM(ROUND({column} * 1e{scale})) / 1e{scale} AS {alias}"
 
 
-def exact_sum(expression: str, scale: int = 6) -> str:
-    return f"CAST(SUM(CAST({expression} AS DECIMAL(28,{scale}))) AS DOUBLE)"
+def significant(expression: str, digits: int = 7) -> str:
+    return f"CAST(format('{{:.{digits - 1}e}}', CAST({expression} AS DOUBLE)) AS DOUBLE)"
 
 
 DAILY_AVG = (

@@ -10,7 +10,7 @@ from derrick.functions.scalars import new_id
 from derrick.operators import models
 from derrick.operators.aggregate import daily_sum
 from derrick.operators.forecast import forecast_saved
-from derrick.plans import jobs, oracle
+from derrick.plans import jobs
 from derrick.plans.oracle import over
 from derrick.plans.queries_tables import STORED, as_doubles
 from derrick.plans.registry import query
@@ -21,7 +21,7 @@ from derrick.sinks.export import land_csv
 from derrick.sinks.runs import param_rows
 from derrick.sinks.upsert import read_table as stored_table
 from derrick.sinks.upsert import upsert
-from derrick.streaming.files import file_stream, stream_daily, stream_upsert, write_daily
+from derrick.streaming.files import file_stream, read_daily, stream_daily, stream_upsert, write_daily
 
 
 def scratch(spark: SparkSession) -> str:
@@ -177,7 +177,7 @@ def t2(spark, folder):
 @query(
     "t3_stream_daily",
     "SELECT CAST(ts AS DATE) AS DAYTIME, event_type, COUNT(value) AS row_count, "
-    f"{oracle.fixed_sum('value', 3, 'total')}, {oracle.fixed_mean('value', 3, 'mean')} FROM events GROUP BY 1, 2",
+    "ROUND(SUM(value), 6) AS total, ROUND(SUM(value) / COUNT(value), 6) AS mean FROM events GROUP BY 1, 2",
 )
 def t3(spark, folder):
     base = scratch(spark)
@@ -185,4 +185,5 @@ def t3(spark, folder):
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
     daily = stream_daily(stream, "value", "ts", ["event_type"], "1 day")
     write_daily(daily, f"{base}/daily", f"{base}/state").awaitTermination()
-    return spark.read.parquet(f"{base}/daily")
+    daily = read_daily(spark, f"{base}/daily", ["event_type"])
+    return daily.withColumns({c: F.round(c, 6) for c in ("total", "mean")})

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from derrick.functions import exact
 from derrick.functions.scalars import shift_append
 from derrick.operators import encode, scale, split
 from derrick.operators.aggregate import daily_avg, daily_sum
 from derrick.operators.forecast import recent_frame, roll_linear
 from derrick.operators.impute import knn_impute, knn_pairs
 from derrick.operators.window import k_nearest, lagged, lookback
-from derrick.plans.oracle import exact_sum, over
+from derrick.plans.oracle import over, significant
 from derrick.plans.registry import query
 from derrick.plans.wells import production, read_table
 from derrick.schema import KEY, NUMERICS, READINGS, TARGETS
@@ -104,16 +105,8 @@ def sums(spark, folder):
     return daily_sum(production(spark, folder))
 
 
-def _mean(c, scale=6):
-    return f"{exact_sum(c, scale)} / CAST(COUNT({c}) AS DOUBLE)"
-
-
-def _std(c):
-    mean = f"({_mean(c)})"
-    return f"SQRT(GREATEST({exact_sum(f'{c} * {c}')} / CAST(COUNT({c}) AS DOUBLE) - {mean} * {mean}, 0e0))"
-
-
-STANDARD = ", ".join(f"{_mean(c)} AS {c}_mean, {_std(c)} AS {c}_std" for c in TARGETS)
+STANDARD = ", ".join(f"AVG({c}) AS {c}_mean, STDDEV_POP({c}) AS {c}_std" for c in TARGETS)
+SIGNIFICANT = ", ".join(f"{significant(f'AVG({c})')} AS {c}_mean, {significant(f'STDDEV_POP({c})')} AS {c}_std" for c in TARGETS)
 MINMAX = ", ".join(f"MIN({c}) AS {c}_min, MAX({c}) AS {c}_max" for c in TARGETS)
 
 
@@ -121,25 +114,43 @@ def _shift(c, lo, spread):
     return f"({c} - s.{lo}) / CASE WHEN {spread} = 0 THEN 1e0 ELSE {spread} END"
 
 
-_standardised = ", ".join(f"{_shift('d.' + c, c + '_mean', f's.{c}_std')} AS {c}" for c in TARGETS)
+_standardised = ", ".join(f"ROUND({_shift('d.' + c, c + '_mean', f's.{c}_std')}, 6) AS {c}" for c in TARGETS)
+_scaled = ", ".join(f"{_shift('d.' + c, c + '_mean', f's.{c}_std')} AS {c}" for c in TARGETS)
 _minmaxed = ", ".join(f"{_shift('d.' + c, c + '_min', f'(s.{c}_max - s.{c}_min)')} AS {c}" for c in TARGETS)
 
 
 NUMBERS = [c for c in NUMERICS if c != "BORE_WI_VOL"]
 
 
-@query("a4_standard_stats", over("pwell", body="SELECT " + ", ".join(f"{_mean(c)} AS {c}_mean, {_std(c)} AS {c}_std" for c in NUMBERS) + " FROM pwell"))
+def stats_at_7(stats):
+    """Means and deviations to 7 significant digits: the last bits of double sums follow the order of the rows."""
+    return stats.withColumns({c: exact.significant(c) for c in stats.columns if c.endswith(("_mean", "_std"))})
+
+
+def at_6(df, columns=TARGETS):
+    return df.withColumns({c: F.round(c, 6) for c in columns})
+
+
+@query(
+    "a4_standard_stats",
+    over(
+        "pwell",
+        body="SELECT "
+        + ", ".join(f"{significant(f'AVG({c})')} AS {c}_mean, {significant(f'STDDEV_POP({c})')} AS {c}_std" for c in NUMBERS)
+        + " FROM pwell",
+    ),
+)
 def a4(spark, folder):
-    return scale.standard_stats(production(spark, folder), NUMBERS)
+    return stats_at_7(scale.standard_stats(production(spark, folder), NUMBERS))
 
 
 @query(
     "a4_standard_stats_by_well",
-    over("well_days", body=f"SELECT WELL_BORE_CODE, {STANDARD} FROM well_days GROUP BY WELL_BORE_CODE"),
+    over("well_days", body=f"SELECT WELL_BORE_CODE, {SIGNIFICANT} FROM well_days GROUP BY WELL_BORE_CODE"),
 )
 def a4_by_well(spark, folder):
     daily = daily_sum(production(spark, folder), ["WELL_BORE_CODE"])
-    return scale.standard_stats(daily, TARGETS, ["WELL_BORE_CODE"])
+    return stats_at_7(scale.standard_stats(daily, TARGETS, ["WELL_BORE_CODE"]))
 
 
 @query("a5_minmax_stats", over("daily_sum", body=f"SELECT {MINMAX} FROM daily_sum"))
@@ -150,7 +161,7 @@ def a5(spark, folder):
 @query("m2_standardise", over("daily_sum", body=f"SELECT d.DAYTIME, {_standardised} FROM daily_sum d, (SELECT {STANDARD} FROM daily_sum) s"))
 def m2(spark, folder):
     scaled, _ = scale.normalize(sums(spark, folder))
-    return scaled
+    return at_6(scaled)
 
 
 @query("j5_apply_stats", over("daily_sum", body=f"SELECT d.*, s.* FROM daily_sum d, (SELECT {MINMAX} FROM daily_sum) s"))
@@ -171,11 +182,11 @@ def j5(spark, folder):
 def m2_by_well(spark, folder):
     keys = ["WELL_BORE_CODE"]
     scaled, _ = scale.normalize(daily_sum(production(spark, folder), keys), TARGETS, keys)
-    return scaled
+    return at_6(scaled)
 
 
 _inverse_std = ", ".join(
-    f"z.{c} * CASE WHEN s.{c}_std = 0 THEN 1e0 ELSE s.{c}_std END + s.{c}_mean AS {c}" for c in TARGETS
+    f"ROUND(z.{c} * CASE WHEN s.{c}_std = 0 THEN 1e0 ELSE s.{c}_std END + s.{c}_mean, 6) AS {c}" for c in TARGETS
 )
 
 
@@ -183,13 +194,13 @@ _inverse_std = ", ".join(
     "m3_inverse_scale",
     over(
         "daily_sum",
-        body=f"SELECT z.DAYTIME, {_inverse_std} FROM (SELECT d.DAYTIME, {_standardised} FROM daily_sum d, "
+        body=f"SELECT z.DAYTIME, {_inverse_std} FROM (SELECT d.DAYTIME, {_scaled} FROM daily_sum d, "
         f"(SELECT {STANDARD} FROM daily_sum) s) z, (SELECT {STANDARD} FROM daily_sum) s",
     ),
 )
 def m3(spark, folder):
     scaled, stats = scale.normalize(sums(spark, folder))
-    return scale.invert_standard(scaled, stats, TARGETS)
+    return at_6(scale.invert_standard(scaled, stats, TARGETS))
 
 
 _inverse_minmax = ", ".join(
@@ -220,10 +231,10 @@ def m4(spark, folder):
 # ---------------------------------------------------------------- target encoding
 
 _events = "SELECT event_id, event_type, value FROM events"
-_prior = f"(SELECT {exact_sum('value')} / COUNT(value) FROM events)"
+_prior = "(SELECT SUM(value) / COUNT(value) FROM events)"
 _before = "OVER (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
 ORDERED = (
-    f"SELECT event_id, event_type, value, CAST(COALESCE(SUM(CAST(value AS DECIMAL(28,6))) {_before}, 0) AS DOUBLE) AS run_sum, "
+    f"SELECT event_id, event_type, value, ROUND(CAST(COALESCE(SUM(value) {_before}, 0) AS DOUBLE), 6) AS run_sum, "
     f"CAST(COALESCE(COUNT(value) {_before}, 0) AS BIGINT) AS run_count FROM events"
 )
 
@@ -234,38 +245,47 @@ def event_values(spark, folder):
 
 @query("w3_ordered_stat", ORDERED)
 def w3(spark, folder):
-    return encode.ordered_stat(event_values(spark, folder), "event_type", "value", "event_id")
+    return at_6(encode.ordered_stat(event_values(spark, folder), "event_type", "value", "event_id"), ["run_sum"])
 
 
 @query(
     "a11_category_stats",
-    f"SELECT event_type, {exact_sum('value')} AS cat_sum, COUNT(value) AS cat_count, {_prior} AS prior FROM events GROUP BY event_type",
+    f"SELECT event_type, ROUND(SUM(value), 6) AS cat_sum, COUNT(value) AS cat_count, ROUND({_prior}, 6) AS prior FROM events GROUP BY event_type",
 )
 def a11(spark, folder):
     events = event_values(spark, folder)
     prior = encode.prior_mean(events, "value").scalar()
-    return encode.category_stats(events, "event_type", "value").withColumn("prior", prior)
+    return at_6(encode.category_stats(events, "event_type", "value").withColumn("prior", prior), ["cat_sum", "prior"])
 
 
-@query("m5_target_encode", f"SELECT event_id, value, (run_sum + {_prior}) / (run_count + 1) AS event_type FROM ({ORDERED}) z")
+_total = "CAST(SUM(CAST(value AS DECIMAL(18,4))) {} AS DOUBLE)"
+
+
+@query(
+    "m5_target_encode",
+    f"SELECT event_id, value, (COALESCE({_total.format(_before)}, 0) + (SELECT {_total.format('')} / COUNT(value) FROM events)) / "
+    f"(COALESCE(COUNT(value) {_before}, 0) + 1) AS event_type FROM events",
+)
 def m5(spark, folder):
-    return encode.encode_fit(event_values(spark, folder), ["event_type"], "value", "event_id")
+    """The values enter as decimals, so that sums and codes are the same to the last bit."""
+    events = event_values(spark, folder).withColumn("value", F.col("value").cast("decimal(18,4)"))
+    return encode.encode_fit(events, ["event_type"], "value", "event_id").withColumn("value", F.col("value").cast("double"))
 
 
 _train = "event_type <> 'error' OR event_id < 5"
-_train_prior = f"(SELECT {exact_sum('value')} / COUNT(value) FROM events WHERE {_train})"
+_train_prior = f"(SELECT SUM(value) / COUNT(value) FROM events WHERE {_train})"
 
 
 @query(
     "m5_target_encode_apply",
-    f"SELECT e.event_id, e.value, CASE WHEN s.n > 1 THEN (s.total + {_train_prior}) / (s.n + 1) ELSE {_train_prior} END AS event_type "
-    f"FROM events e LEFT JOIN (SELECT event_type, {exact_sum('value')} AS total, COUNT(value) AS n FROM events WHERE {_train} "
+    f"SELECT e.event_id, e.value, ROUND(CASE WHEN s.n > 1 THEN (s.total + {_train_prior}) / (s.n + 1) ELSE {_train_prior} END, 6) AS event_type "
+    f"FROM events e LEFT JOIN (SELECT event_type, SUM(value) AS total, COUNT(value) AS n FROM events WHERE {_train} "
     "GROUP BY event_type) s ON s.event_type = e.event_type",
 )
 def m5_apply(spark, folder):
     events = event_values(spark, folder)
     training = events.filter((F.col("event_type") != "error") | (F.col("event_id") < 5))
-    return encode.encode_apply(events, training, ["event_type"], "value")
+    return at_6(encode.encode_apply(events, training, ["event_type"], "value"), ["event_type"])
 
 
 # ---------------------------------------------------------------- splits and folds

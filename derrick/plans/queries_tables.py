@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from derrick.functions import scalars
-from derrick.functions.exact import exact_mean, exact_sum
+from derrick.functions.exact import significant, total
 from derrick.operators import clean, metrics, relate, report
 from derrick.operators.aggregate import daily_avg, daily_sum, last_date
 from derrick.operators.forecast import persistence
@@ -131,14 +131,14 @@ def text_cast(spark, folder):
 @query(
     "p7_nan_to_null",
     "SELECT event_type, COUNT(*) AS row_count, COUNT(CASE WHEN event_id % 10 = 0 THEN NULL ELSE value END) AS filled, "
-    f"{oracle.exact_sum('CASE WHEN event_id % 10 = 0 THEN NULL ELSE value END')} AS total FROM events GROUP BY 1",
+    f"ROUND(SUM(CASE WHEN event_id % 10 = 0 THEN NULL ELSE value END), 6) AS total FROM events GROUP BY 1",
 )
 def nan_to_null(spark, folder):
     events = read_table(spark, folder, "events")
     gaps = events.withColumn("value", F.when(F.col("event_id") % 10 == 0, F.lit(float("nan"))).otherwise(F.col("value")))
     filled = clean.nan_to_null(gaps, ["value"])
     return filled.groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("row_count"), F.count("value").alias("filled"), exact_sum("value").alias("total")
+        F.count(F.lit(1)).alias("row_count"), F.count("value").alias("filled"), F.round(total("value"), 6).alias("total")
     )
 
 
@@ -232,8 +232,13 @@ def a2_by_well(spark, folder):
     return daily_sum(production(spark, folder), ["WELL_BORE_CODE"])
 
 
+def at_7(df, columns=None):
+    """Derived doubles to 7 significant digits: the last bits follow the order of the rows."""
+    return df.withColumns({c: significant(c) for c in columns or df.columns})
+
+
 def _sse(t):
-    return oracle.exact_sum(f"({t}_VOL_test - {t}_VOL_pred) * ({t}_VOL_test - {t}_VOL_pred)")
+    return f"SUM(({t}_VOL_test - {t}_VOL_pred) * ({t}_VOL_test - {t}_VOL_pred))"
 
 
 def _mse_sql(t):
@@ -241,42 +246,40 @@ def _mse_sql(t):
 
 
 def _r2_sql(t):
-    y = f"{t}_VOL_test"
-    total = f"({oracle.exact_sum(f'{y} * {y}')} - {oracle.exact_sum(y)} * {oracle.exact_sum(y)} / COUNT(*))"
-    return f"(CAST(1 AS DOUBLE) - {_sse(t)} / {total})"
+    return f"(1e0 - {_mse_sql(t)} / VAR_POP({t}_VOL_test))"
 
 
 FLUIDS = ("OIL", "GAS", "WAT")
 
 
-@query("a6_mse", over("model_ai", body="SELECT " + ", ".join(f"{_mse_sql(t)} AS mse_{t}" for t in FLUIDS) + " FROM model_ai"))
+@query("a6_mse", over("model_ai", body="SELECT " + ", ".join(f"{oracle.significant(_mse_sql(t))} AS mse_{t}" for t in FLUIDS) + " FROM model_ai"))
 def a6(spark, folder):
-    return metrics.mse(predictions(spark, folder))
+    return at_7(metrics.mse(predictions(spark, folder)))
 
 
 @query(
     "a7_mse_global",
-    over("model_ai", body=f"SELECT ({_mse_sql('OIL')} + {_mse_sql('GAS')} + {_mse_sql('WAT')}) / 3e0 AS mse_global FROM model_ai"),
+    over("model_ai", body=f"SELECT {oracle.significant('(' + ' + '.join(map(_mse_sql, FLUIDS)) + ') / 3e0')} AS mse_global FROM model_ai"),
 )
 def a7(spark, folder):
-    return metrics.mse_global(predictions(spark, folder))
+    return at_7(metrics.mse_global(predictions(spark, folder)))
 
 
-@query("a8_r2", over("model_ai", body="SELECT " + ", ".join(f"{_r2_sql(t)} AS r2_{t}" for t in FLUIDS) + " FROM model_ai"))
+@query("a8_r2", over("model_ai", body="SELECT " + ", ".join(f"{oracle.significant(_r2_sql(t))} AS r2_{t}" for t in FLUIDS) + " FROM model_ai"))
 def a8(spark, folder):
-    return metrics.r2(predictions(spark, folder))
+    return at_7(metrics.r2(predictions(spark, folder)))
 
 
 @query(
     "a9_r2_global",
-    over("model_ai", body=f"SELECT ({_r2_sql('OIL')} + {_r2_sql('GAS')} + {_r2_sql('WAT')}) / 3e0 AS r2_global FROM model_ai"),
+    over("model_ai", body=f"SELECT {oracle.significant('(' + ' + '.join(map(_r2_sql, FLUIDS)) + ') / 3e0')} AS r2_global FROM model_ai"),
 )
 def a9(spark, folder):
-    return metrics.r2_global(predictions(spark, folder))
+    return at_7(metrics.r2_global(predictions(spark, folder)))
 
 
 def _mae_sql(t):
-    return f"{oracle.exact_sum(f'ABS({t}_VOL_test - {t}_VOL_pred)')} / COUNT(*)"
+    return f"AVG(ABS({t}_VOL_test - {t}_VOL_pred))"
 
 
 @query(
@@ -284,12 +287,12 @@ def _mae_sql(t):
     over(
         "model_ai",
         body="SELECT "
-        + ", ".join([f"SQRT({_mse_sql(t)}) AS rmse_{t}" for t in FLUIDS] + [f"{_mae_sql(t)} AS mae_{t}" for t in FLUIDS])
+        + ", ".join([f"{oracle.significant(f'SQRT({_mse_sql(t)})')} AS rmse_{t}" for t in FLUIDS] + [f"{oracle.significant(_mae_sql(t))} AS mae_{t}" for t in FLUIDS])
         + " FROM model_ai",
     ),
 )
 def a10(spark, folder):
-    return metrics.rmse_mae(predictions(spark, folder))
+    return at_7(metrics.rmse_mae(predictions(spark, folder)))
 
 
 @query(
@@ -297,7 +300,7 @@ def a10(spark, folder):
     over(
         "model_ai",
         body=" UNION ALL ".join(
-            f"SELECT 'run-1' AS run_id, '{t}' AS target, SQRT({_mse_sql(t)}) AS rmse, {_mae_sql(t)} AS mae, {_r2_sql(t)} AS r2 FROM model_ai"
+            f"SELECT 'run-1' AS run_id, '{t}' AS target, {oracle.significant(f'SQRT({_mse_sql(t)})')} AS rmse, {oracle.significant(_mae_sql(t))} AS mae, {oracle.significant(_r2_sql(t))} AS r2 FROM model_ai"
             for t in FLUIDS
         ),
     ),
@@ -305,7 +308,7 @@ def a10(spark, folder):
 def k8(spark, folder):
     from derrick.sinks.runs import metric_rows
 
-    return metric_rows("run-1", predictions(spark, folder))
+    return at_7(metric_rows("run-1", predictions(spark, folder)), ["rmse", "mae", "r2"])
 
 
 @query(
