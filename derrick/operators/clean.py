@@ -117,8 +117,9 @@ def tag_rows(df: DataFrame, **literals: str) -> DataFrame:
 
 
 def resolve_alias(df: DataFrame, candidates: list[str]) -> str | None:
-    """First column of the frame that is among the candidates."""
-    return next((c for c in df.columns if c in candidates), None)
+    """The first candidate that is a column of the frame."""
+    found = present(df, candidates)
+    return found[0] if found else None
 
 
 def stage_count(df: DataFrame, stage: str) -> DataFrame:

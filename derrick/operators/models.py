@@ -105,7 +105,7 @@ class Fitted:
     trials: list[dict] = field(default_factory=list)
 
     def params_row(self, spark: SparkSession, model_path: str | None) -> DataFrame:
-        row = (self.id_model, self.spec.algo, dt.datetime.now(), self.params, self.metrics, model_path)
+        row = (self.id_model, self.spec.algo, dt.datetime.now(dt.UTC).replace(tzinfo=None), self.params, self.metrics, model_path)
         return spark.createDataFrame([row], MODEL_PARAMS)
 
 
@@ -184,12 +184,13 @@ def cv_scores(
         return list(pool.map(score, tasks))
 
 
-def best_candidate(spark: SparkSession, trials: list[dict]) -> tuple[int, float]:
-    """Candidate with the smallest mean error over the folds."""
-    scores = spark.createDataFrame(trials, "candidate int, fold int, mse double")
-    means = scores.groupBy("candidate").agg(F.avg("mse").alias("mse"))
-    row = means.agg(F.min_by("candidate", F.struct("mse", "candidate")).alias("c"), F.min("mse").alias("mse")).first()
-    return row["c"], row["mse"]
+def best_candidate(trials: list[dict]) -> tuple[int, float]:
+    """Candidate with the smallest mean error over the folds; the first of equals."""
+    errors: dict[int, list[float]] = {}
+    for trial in trials:
+        errors.setdefault(trial["candidate"], []).append(trial["mse"])
+    mean, chosen = min((sum(e) / len(e), candidate) for candidate, e in errors.items())
+    return chosen, mean
 
 
 def train_frame(
@@ -218,7 +219,7 @@ def train_frame(
     folds = folds.persist()
     candidates = draw_params(grid or spec.grid, draws)
     trials = cv_scores(spec, folds, candidates, targets)
-    chosen, error = best_candidate(spark, trials)
+    chosen, error = best_candidate(trials)
     models = fit_targets(spec, candidates[chosen], folds, targets)
     pipeline = PipelineModel([scale, assemble, *models, _inverse_stage(targets, stats)])
     scored = cut_lineage(
@@ -258,6 +259,9 @@ def train_daily(
         {"EPOCH": F.col("DAYTIME").cast("double"), "DAYTIME": date_part(from_epoch(F.col("DAYTIME").cast("bigint")))}
     )
     features = feature_columns(named, TARGETS, ("DAYTIME", "rn", "n", "is_test"))
+    # A reading that is empty throughout has nothing to scale or to learn from.
+    filled_in = named.agg(*[F.count(c).alias(c) for c in features]).first()
+    features = [c for c in features if filled_in[c]]
     return train_frame(spec, named, {f: f for f in features}, TARGETS, draws, fit_on, grid)
 
 
@@ -274,10 +278,28 @@ def train_lookback(
     return train_frame(spec, frames, lag_names(spec.lookback), TARGETS, draws, fit_on, grid)
 
 
+@dataclass(frozen=True)
+class DaySeries:
+    """The daily means and sums that all families train on."""
+
+    means: DataFrame
+    sums: DataFrame
+
+    @classmethod
+    def of(cls, production: DataFrame) -> DaySeries:
+        """Both series written once, to be shared by several families."""
+        return cls(cut_lineage(daily_avg(production)), cut_lineage(daily_sum(production)))
+
+
 def train(
-    production: DataFrame, spec: ModelSpec, draws: int = SEARCH_DRAWS, fit_on: str = "train", grid=None
+    production: DataFrame | DaySeries,
+    spec: ModelSpec,
+    draws: int = SEARCH_DRAWS,
+    fit_on: str = "train",
+    grid=None,
 ) -> Fitted:
-    """Train a model family on the production table."""
+    """Train a model family on the production table or on its daily series."""
+    days = production if isinstance(production, DaySeries) else DaySeries(daily_avg(production), daily_sum(production))
     if spec.lookback:
-        return train_lookback(daily_sum(production), spec, draws, fit_on, grid)
-    return train_daily(daily_avg(production), spec, draws, fit_on, grid)
+        return train_lookback(days.sums, spec, draws, fit_on, grid)
+    return train_daily(days.means, spec, draws, fit_on, grid)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from derrick.functions.scalars import pseudonym
 from derrick.operators.window import latest_per_key
@@ -31,7 +32,7 @@ def insert_if_absent(base: DataFrame, new: DataFrame, keys: list[str], sequence:
 
 def semi_match(df: DataFrame, registry: DataFrame, key: str, secret: str, hashed: str) -> DataFrame:
     """Rows whose key and hashed secret stand in the registry together."""
-    known = registry.select(key, hashed).distinct()
+    known = registry.select(key, hashed)
     probe = df.withColumn(hashed, pseudonym(secret))
     return probe.join(known, [key, hashed], "left_semi")
 
@@ -42,20 +43,27 @@ def stack_predictions(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [f.select(*names) for f in frames])
 
 
+def _one_per_key(updates: DataFrame, keys: list[str]) -> DataFrame:
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    several = F.raise_error(F.lit(f"several updates of one {', '.join(keys)} need a sequence")).cast("boolean")
+    return updates.withColumn("_n", n).filter(F.when(F.col("_n") == 1, F.lit(True)).otherwise(several)).drop("_n")
+
+
 def merge_latest(
     base: DataFrame, updates: DataFrame, keys: list[str], sequence: list[str] | None = None
 ) -> DataFrame:
     """Upsert as one set operation: every update row replaces the whole base row
     of its key (nulls included); of several updates the last one wins.
 
-    ``sequence`` orders the updates; it need not be a column of the base. The
+    ``sequence`` orders the updates; it need not be a column of the base. Without
+    one no update could be the last, so a second update of a key is an error. The
     base holds one row per key already, so only the updates are ranked, and the
     base is only filtered: no sort of the base.
     """
     if sequence:
         updates = latest_per_key(updates, keys, sequence)
     else:
-        updates = updates.dropDuplicates(keys)
+        updates = _one_per_key(updates, keys)
     kept = base.join(updates.select(*keys), keys, "left_anti")
     incoming = updates.drop(*[c for c in sequence or [] if c not in base.columns])
     return kept.unionByName(incoming, allowMissingColumns=True).select(*base.columns)

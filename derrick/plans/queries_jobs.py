@@ -98,8 +98,7 @@ def m17(spark, folder):
 @query("k6_k9_model_params")
 def k9(spark, folder):
     fitted = models.train(production(spark, folder), models.MODELS["linear"])
-    rows = param_rows(spark, "run-1", {t: fitted.params for t in TARGETS})
-    return rows.filter(F.col("param").isin("fitIntercept", "seed", "scaling", "model_type"))
+    return param_rows(spark, "run-1", {t: fitted.params for t in TARGETS})
 
 
 # ---------------------------------------------------------------- loads
@@ -125,11 +124,23 @@ def x2(spark, folder):
     return as_doubles(stored_table(spark, f"{base}/tables", "pwell_data").select(*STORED), NUMERICS)
 
 
+@query("x2_load_parts", over("pwell", body=f"SELECT {', '.join(STORED)} FROM pwell"))
+def x2_parts(spark, folder):
+    """The load without imputation: six part files, whose order says which line is the last."""
+    base = scratch(spark)
+    raw = raw_view(spark, folder).repartitionByRange(6, *SEQUENCE).sortWithinPartitions(*SEQUENCE)
+    land_csv(raw.select(*RAW_WELL.fieldNames()), f"{base}/drop")
+    result = jobs.run_etl(spark, f"{base}/drop/*.csv", f"{base}/tables", impute=False)
+    if not result.ok:
+        raise RuntimeError(result.error)
+    return as_doubles(stored_table(spark, f"{base}/tables", "pwell_data").select(*STORED), NUMERICS)
+
+
 @query("x3_x4_tick")
 def x3(spark, folder):
-    """Pick the newest dropped file, load it, train two families, export."""
+    """Pick the newest drop with all its part files, load it, train two families, export."""
     base = scratch(spark)
-    land_raw(spark, folder, f"{base}/drop")
+    land_raw(spark, folder, f"{base}/drop/lineitem")
     tick = jobs.run_once(spark, f"{base}/drop", f"{base}/tables", f"{base}/out", ["linear", "lookback20"])
     failed = [r.error for r in tick.models if not r.ok] + ([tick.etl.error] if not tick.etl.ok else [])
     if failed:

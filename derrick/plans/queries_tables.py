@@ -333,10 +333,10 @@ MERGE_ORDER = oracle.ORDER
 
 
 def _split_updates(spark, folder):
-    """Rows of even orders form the table, rows of orders divisible by 3 the update."""
+    """Rows of even orders form the table, those of odd orders and of orders divisible by 3 the update."""
     cleaned = clean_wells(raw_view(spark, folder))
     base = latest_per_key(cleaned.filter(F.col("l_orderkey") % 2 == 0), KEY, SEQUENCE)
-    return base, cleaned.filter(F.col("l_orderkey") % 3 == 0)
+    return base, cleaned.filter((F.col("l_orderkey") % 2 == 1) | (F.col("l_orderkey") % 3 == 0))
 
 
 def _merge_sql(columns: list[str]) -> str:
@@ -344,7 +344,7 @@ def _merge_sql(columns: list[str]) -> str:
         "clean",
         body=f"SELECT {', '.join(columns)} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY DAYTIME, WELL_BORE_CODE "
         f"ORDER BY side DESC, {MERGE_ORDER}) AS rn FROM (SELECT *, 0 AS side FROM clean WHERE l_orderkey % 2 = 0 "
-        "UNION ALL SELECT *, 1 AS side FROM clean WHERE l_orderkey % 3 = 0) u) z WHERE rn = 1",
+        "UNION ALL SELECT *, 1 AS side FROM clean WHERE l_orderkey % 2 = 1 OR l_orderkey % 3 = 0) u) z WHERE rn = 1",
     )
 
 
@@ -373,10 +373,12 @@ def k3(spark, folder):
 )
 def k4(spark, folder):
     base = predictions(spark, folder)
-    updates = base.filter(F.col("DAYTIME") >= F.lit(dt.date(2000, 1, 1))).withColumns(
-        {"OIL_VOL_pred": F.col("OIL_VOL_pred") * 2, "GAS_VOL_pred": F.lit(None).cast("double")}
-    )
-    return relate.merge_latest(base, updates, ["id_model", "DAYTIME"])
+    recent = base.filter(F.col("DAYTIME") >= F.lit(dt.date(2000, 1, 1)))
+    # Two updates of every key; the second one counts.
+    first = recent.withColumn("OIL_VOL_pred", F.col("OIL_VOL_pred") * 3)
+    second = recent.withColumns({"OIL_VOL_pred": F.col("OIL_VOL_pred") * 2, "GAS_VOL_pred": F.lit(None).cast("double")})
+    updates = second.withColumn("seq", F.lit(2)).unionByName(first.withColumn("seq", F.lit(1)))
+    return relate.merge_latest(base, updates, ["id_model", "DAYTIME"], ["seq"])
 
 
 @query(
@@ -391,9 +393,11 @@ def k4(spark, folder):
 )
 def k5(spark, folder):
     base = clean.tag_rows(daily_sums(spark, folder), id_model="f1", model_type="FORECAST")
-    updates = base.withColumn("DAYTIME", F.date_add("DAYTIME", 30))
     names = ["id_model", "model_type", "DAYTIME", *TARGETS]
-    return relate.merge_latest(base.select(*names), updates.select(*names), ["id_model", "DAYTIME"])
+    later = base.withColumn("DAYTIME", F.date_add("DAYTIME", 30)).select(*names)
+    # Two updates of every key; the second one counts.
+    updates = later.withColumn("seq", F.lit(2)).unionByName(later.withColumns({t: F.lit(0.0) for t in TARGETS} | {"seq": F.lit(1)}))
+    return relate.merge_latest(base.select(*names), updates, ["id_model", "DAYTIME"], ["seq"])
 
 
 # ---------------------------------------------------------------- joins and set operations
@@ -475,14 +479,14 @@ def u1(spark, folder):
     "u2_base_and_updates",
     over(
         "clean",
-        body="SELECT DAYTIME, SUM(CASE WHEN l_orderkey % 2 = 0 THEN 1 ELSE 0 END) + SUM(CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE 0 END) AS row_count, "
-        "SUM(CASE WHEN l_orderkey % 2 = 0 THEN 1 ELSE 0 END) AS flow_kinds FROM clean WHERE l_orderkey % 2 = 0 OR l_orderkey % 3 = 0 GROUP BY DAYTIME",
+        body="SELECT DAYTIME, SUM(CASE WHEN l_orderkey % 2 = 0 THEN 1 ELSE 0 END) + SUM(CASE WHEN l_orderkey % 2 = 1 OR l_orderkey % 3 = 0 THEN 1 ELSE 0 END) AS row_count, "
+        "SUM(CASE WHEN l_orderkey % 2 = 0 THEN 1 ELSE 0 END) AS flow_kinds FROM clean GROUP BY DAYTIME",
     ),
 )
 def u2(spark, folder):
     cleaned = clean_wells(raw_view(spark, folder))
     base = cleaned.filter(F.col("l_orderkey") % 2 == 0).select(*KEY, "FLOW_KIND")
-    updates = cleaned.filter(F.col("l_orderkey") % 3 == 0).select(*KEY)
+    updates = cleaned.filter((F.col("l_orderkey") % 2 == 1) | (F.col("l_orderkey") % 3 == 0)).select(*KEY)
     both = base.unionByName(updates, allowMissingColumns=True)
     return both.groupBy("DAYTIME").agg(F.count(F.lit(1)).alias("row_count"), F.count("FLOW_KIND").alias("flow_kinds"))
 

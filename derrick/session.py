@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -14,14 +17,24 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see. The session names it; only a session that
-    names none (a test) gets a private one."""
+    """The folder that all executors see, as the session names it in
+    ``spark.checkpoint.dir``. Only a local session, which has no other machine,
+    may leave it unnamed; its folder goes when the process ends."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
-        named = tempfile.mkdtemp(prefix="derrick-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+    if named:
+        return named.rstrip("/")
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _local_folders:
+        folder = tempfile.mkdtemp(prefix="derrick-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _local_folders[context.applicationId] = folder
+    return _local_folders[context.applicationId]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

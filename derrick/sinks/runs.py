@@ -19,7 +19,7 @@ def append(df: DataFrame, path: str) -> None:
 def create_run(spark: SparkSession, path: str, comment: str | None = None) -> str:
     """Append a run record; its id is made here, before any row is written."""
     run_id = new_id()
-    append(spark.createDataFrame([(run_id, dt.datetime.now(), comment)], ML_RUNS), path)
+    append(spark.createDataFrame([(run_id, dt.datetime.now(dt.UTC).replace(tzinfo=None), comment)], ML_RUNS), path)
     return run_id
 
 
@@ -57,5 +57,5 @@ def prediction_rows(
         F.lit(run_id).alias("run_id"),
         "r.*",
         F.lit(sample_type).alias("sample_type"),
-        F.lit(dt.datetime.now()).alias("created_at"),
+        F.lit(dt.datetime.now(dt.UTC).replace(tzinfo=None)).alias("created_at"),
     )

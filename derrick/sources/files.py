@@ -113,12 +113,15 @@ def read_workbook(spark: SparkSession, path: str, columns: list[str] | None = No
 
         def header(batches):
             for batch in batches:
-                for content in batch["content"]:
+                for path, content in zip(batch["path"], batch["content"], strict=True):
                     first = next(sheet_rows(content), {})
-                    yield pd.DataFrame({"names": [[first[i] for i in sorted(first)]]})
+                    titles = [first[i] for i in sorted(first)]
+                    yield pd.DataFrame({"path": path, "place": range(len(titles)), "name": titles})
 
-        found = files.select("content").limit(1).mapInPandas(header, "names array<string>").first()
-        columns = found["names"] if found else []
+        # The columns of all workbooks, in the order in which the first of them has each.
+        found = files.select("path", "content").mapInPandas(header, "path string, place int, name string")
+        first = found.groupBy("name").agg(F.min(F.struct("path", "place")).alias("first"))
+        columns = [r["name"] for r in first.orderBy("first").collect()]
     names = list(columns)
     if not names:
         raise ValueError(f"no columns in '{path}'")
@@ -186,8 +189,25 @@ def _listing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def newest_file(spark: SparkSession, folder: str) -> str | None:
-    """The supported file that changed last. Contents are not read."""
-    return _listing(spark, folder).agg(F.max_by("path", "modificationTime").alias("path")).first()["path"]
+    """The supported file that changed last; of several at one time, the last by name. Contents are not read."""
+    return _listing(spark, folder).agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path")).first()["path"]
+
+
+def newest_drop(spark: SparkSession, folder: str) -> str | None:
+    """The newest drop of a folder: a supported file, or all part files of a sub-folder as a pattern.
+
+    Part files of one writer are one drop, however many tasks wrote them.
+    """
+    root = storage.qualified(spark, folder)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    inner = F.expr(f"substring(path, {len(root) + 2})")
+    parts = files.filter(has_suffix(F.col("path"))).select("path", "modificationTime", inner.alias("inner"))
+    entry = F.when(F.instr("inner", "/") > 0, F.substring_index("inner", "/", 1))
+    suffix = F.concat(F.lit("."), F.substring_index("path", ".", -1))
+    drops = parts.select("path", "modificationTime", entry.alias("entry"), suffix.alias("suffix"))
+    pattern = F.when(F.col("entry").isNull(), F.col("path")).otherwise(F.concat(F.lit(f"{root}/"), "entry", F.lit("/*"), "suffix"))
+    newest = drops.select(pattern.alias("drop"), "modificationTime").groupBy("drop").agg(F.max("modificationTime").alias("at"))
+    return newest.agg(F.max_by("drop", F.struct("at", "drop")).alias("drop")).first()["drop"]
 
 
 def newest_files(spark: SparkSession, folder: str, n: int) -> DataFrame:

@@ -15,6 +15,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as Spark's file sources write it, with its scheme."""
+    system, target = _path(spark, path)
+    return system.makeQualified(target).toString().rstrip("/")
+
+
 def empty_files(spark: SparkSession, path: str) -> list[str]:
     """Names of the zero-byte files at a path or pattern. Spark's file sources
     pass over such files in silence, so they are looked for here."""
@@ -33,3 +39,27 @@ def remove_staging(spark: SparkSession, path: str) -> None:
     """Drop a staging folder the library has written itself."""
     system, target = _path(spark, path)
     system.delete(target, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders at a path; none if it doesn't exist."""
+    system, target = _path(spark, path)
+    if not system.exists(target):
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(target) if s.isDirectory())
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    system, target = _path(spark, path)
+    system.create(target, False).close()
+
+
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Move a staged folder into the place of a stored one."""
+    system, old = _path(spark, target)
+    _, new = _path(spark, source)
+    system.mkdirs(old.getParent())
+    system.delete(old, True)
+    if not system.rename(new, old):
+        raise OSError(f"cannot move '{source}' to '{target}'")

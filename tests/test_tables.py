@@ -105,3 +105,47 @@ def test_export_and_landing_refuse_to_overwrite(spark, tmp_path):
     assert spark.read.option("header", True).csv(path).count() == 1
     with pytest.raises(Exception, match="already exists"):
         export.export_predictions(spark, str(tmp_path), str(tmp_path / "out"), now)
+
+
+def test_several_updates_of_a_key_need_a_sequence(spark):
+    base = spark.createDataFrame([(1, "a")], "k int, v string")
+    updates = spark.createDataFrame([(1, "b", 1), (1, "c", 2), (2, "d", 1)], "k int, v string, seq int")
+    with pytest.raises(Exception, match="need a sequence"):
+        relate.merge_latest(base, updates.drop("seq"), ["k"]).collect()
+    merged = relate.merge_latest(base, updates, ["k"], ["seq"])
+    assert sorted(map(tuple, merged.collect())) == [(1, "c"), (2, "d")]
+
+
+def test_a_broken_publication_is_finished_by_the_next_load(spark, tmp_path, monkeypatch):
+    home = str(tmp_path)
+    rows = spark.createDataFrame([(DAY, "w")], "DAYTIME date, WELL_BORE_CODE string")
+    real, calls = upsert.publish, []
+
+    def broken(session, staged):
+        calls.append(staged.name)
+        if len(calls) == 2:
+            raise OSError("lost")
+        real(session, staged)
+
+    monkeypatch.setattr(upsert, "publish", broken)
+    with pytest.raises(OSError, match="lost"):
+        upsert.upsert_together(spark, home, {"objects": rows, "pwell_data": rows})
+    monkeypatch.setattr(upsert, "publish", real)
+    assert upsert.read_table(spark, home, "objects").count() == 1
+    assert upsert.read_table(spark, home, "pwell_data").count() == 0
+    assert len(upsert.recover(spark, home)) == 1 and upsert.recover(spark, home) == []
+    assert upsert.read_table(spark, home, "pwell_data").count() == 1
+
+
+def test_an_unnamed_folder_is_an_error_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from derrick.session import shared_folder
+
+    def session(master, named=None):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda _k, _d=None: named), sparkContext=SimpleNamespace(master=master, applicationId="a"))
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_folder(session(master))
+        assert shared_folder(session(master, "hdfs://x/y/")) == "hdfs://x/y"
