@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from derrick.plans import queries_jobs, queries_series, queries_tables  # noqa: F401
+from derrick.plans import queries_files, queries_jobs, queries_series, queries_tables  # noqa: F401
 from derrick.plans.registry import ORACLES, QUERIES
 
 
