@@ -88,7 +88,8 @@ class CellIndex:
 
     For a receiver, the k-th nearest of those donors bounds the distance of its
     k-th nearest donor overall, so only cells whose box comes that near can
-    matter. A cell without box (``open``) is never ruled out.
+    matter. The rows of an ``open`` cell may lack any of the box's columns: their mean
+    square gap is at least the smallest of the gaps to the box, whichever they have.
     """
 
     def __init__(self, low, high, opened, landmarks, centre, k):
@@ -115,6 +116,7 @@ class CellIndex:
         n, p = x.shape
         reach = self._reach(x)
         gaps = np.zeros((n, len(self.low)))
+        smallest = np.full((n, len(self.low)), np.inf)
         common = np.zeros((n, len(self.low)))
         for j in range(p):
             value = x[:, j : j + 1]
@@ -122,12 +124,12 @@ class CellIndex:
             gap = np.maximum(np.maximum(low - value, value - high), 0.0)
             both = ~np.isnan(gap)
             gaps += np.where(both, gap * gap, 0.0)
+            smallest = np.where(both, np.minimum(smallest, gap * gap), smallest)
             common += both
         with np.errstate(divide="ignore", invalid="ignore"):
-            nearest = np.where(common > 0, gaps * p / common, np.inf)
+            nearest = np.where(common > 0, np.where(self.opened, smallest * p, gaps * p / common), np.inf)
         farthest = np.column_stack(
             [np.where(pattern[None, :], reach, -np.inf).max(axis=1) for pattern in self.patterns]
         )
         allowed = farthest[:, self.pattern_of]
-        needed = (nearest <= allowed * (1 + 1e-9)) & np.isfinite(nearest)
-        return needed | self.opened[None, :]
+        return (nearest <= allowed * (1 + 1e-9)) & np.isfinite(nearest)

@@ -31,6 +31,7 @@ TASK_RECEIVERS = 20_000
 MAX_CELLS = 16_384
 MAX_PATTERNS = 256
 LANDMARKS = 2048
+COLUMN_FACTOR = 50  # landmarks per column and neighbour, where a column is rarely filled
 FAN_OUT = 8
 MAX_LEVELS = 8
 
@@ -94,11 +95,12 @@ def _value_of_column(cols: list[str]) -> Column:
 
 
 def _in_cells(donors: DataFrame, cols: list[str], patterns: list[str], total: int) -> DataFrame:
-    """Add ``_cell``. Rare patterns share an open cell, which is not split."""
+    """Add ``_cell``. Rare patterns start in one open cell; it is split as any other, and
+    a row without the column of a cut goes to its lowest part."""
     start = F.when(F.col("_pattern").isin(patterns), F.col("_pattern")).otherwise(F.lit("open"))
     placed = donors.withColumn("_cell", start)
     target = max(CELL_ROWS, -(-2 * total // MAX_CELLS))
-    leaf = {"open"}
+    leaf: set[str] = set()
     for _ in range(MAX_LEVELS if total > 2 * target else 0):
         splits = _splits(placed, cols, target, leaf)
         if not splits:
@@ -218,9 +220,7 @@ def _neighbours(
         F.count(F.lit(1)).alias("n"), *[F.min(c).alias(f"l_{c}") for c in cols], *[F.max(c).alias(f"h_{c}") for c in cols]
     )
     summary = boxes.collect()  # at most MAX_CELLS rows
-    landmarks = (
-        donors.orderBy(F.xxhash64(*cols), *held).limit(LANDMARKS).select(*cols).toArrow().columns
-    )
+    landmarks = _landmarks(donors, cols, held, k)
     nan = float("nan")
 
     def side(prefix: str) -> np.ndarray:
@@ -232,8 +232,8 @@ def _neighbours(
     index = (
         side("l"),
         side("h"),
-        np.array([label == "open" for label in labels]),
-        matrix_of([c.combine_chunks() for c in landmarks]),
+        np.array([label.split("/")[0] == "open" for label in labels]),
+        landmarks,
         centre,
         k,
     )
@@ -253,6 +253,23 @@ def _neighbours(
     return k_nearest(best, by, ["dist", *[f"donor_{c}" for c in keys]], k)
 
 
+def _landmarks(donors: DataFrame, cols: list[str], held: list[str], k: int) -> np.ndarray:
+    """Real donors, chosen by hash: some of all, and more of each column that the
+    first choice rarely fills, so that every column has a bound on its k-th nearest."""
+
+    def choice(rows: DataFrame, n: int) -> dict[tuple, tuple]:
+        chosen = rows.orderBy(F.xxhash64(*cols), *held).limit(n).select(*held, *cols).collect()
+        return {tuple(r[: len(held)]): tuple(r[len(held) :]) for r in chosen}
+
+    found = choice(donors, LANDMARKS)
+    for i, c in enumerate(cols):
+        filled = sum(values[i] is not None for values in found.values())
+        if filled < min(len(found), k * COLUMN_FACTOR):
+            # By key, as a donor that counts twice would make a bound too small.
+            found |= choice(donors.filter(F.col(c).isNotNull()), k * COLUMN_FACTOR)
+    return np.array([[np.nan if v is None else v for v in values] for values in found.values()], float).reshape(-1, len(cols))
+
+
 def _prepared(df: DataFrame, cols: list[str], keys: list[str], donors: Column | None = None):
     """Columns as doubles beside untouched keys (a key may be a column too), the
     donor rows, the columns that hold any value, and the profile of the donors."""

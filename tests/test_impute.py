@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from derrick.functions.nearest import CellIndex
 from derrick.operators import impute
 from derrick.operators.impute import knn_impute, knn_pairs
 
@@ -128,3 +129,39 @@ def test_same_points_get_the_same_value_and_no_pair_is_a_cross_join(spark):
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     first = [tuple(r[c] for c in COLS) for r in filled.filter("id < 30").collect()]
     assert len(set(first)) == 1
+
+
+def test_a_rarely_filled_column_has_its_own_landmarks(spark, monkeypatch):
+    monkeypatch.setattr(impute, "LANDMARKS", 64)
+    rows = [(i, float(i % 71), float(i * 37 % 101), float(i % 13) if i % 200 == 0 else None) for i in range(3000)]
+    donors = spark.createDataFrame(rows, "_k_id int, a double, b double, c double")
+    found = impute._landmarks(donors, ["a", "b", "c"], ["_k_id"], 3)
+    assert (~np.isnan(found[:, 2])).sum() == 15 and 64 <= len(found) <= 64 + 15
+    # With them a receiver is bounded and passes over the far cells.
+    low = np.array([[10.0 * k, 0.0, 0.0] for k in range(8)])
+    index = CellIndex(low, low + [10.0, 101.0, 13.0], np.zeros(8, bool), found, np.zeros(3), 3)
+    visits = index.visits(np.array([[5.0, 50.0, np.nan], [65.0, 10.0, np.nan]]))
+    assert visits.any(axis=1).all() and visits.mean() < 1
+
+
+def test_open_cells_are_passed_over_only_when_safe():
+    rng = np.random.default_rng(3)
+    donors = rng.random((400, 4)) * 10
+    donors[rng.random(donors.shape) < 0.4] = np.nan
+    donors = donors[~np.isnan(donors).all(axis=1)]
+    order = np.argsort(np.where(np.isnan(donors[:, 0]), -1, donors[:, 0]))
+    cells = np.array_split(donors[order], 20)
+    low, high = (np.array([f(c, axis=0) for c in cells]) for f in (np.nanmin, np.nanmax))
+    index = CellIndex(low, high, np.ones(len(cells), bool), donors[:100], np.zeros(4), 2)
+    receivers = rng.random((50, 4)) * 10
+    receivers[:, 1] = np.nan
+    visits = index.visits(receivers)
+    for r, seen in zip(receivers, visits, strict=True):
+        able = donors[~np.isnan(donors[:, 1])]
+        both = ~np.isnan(able) & ~np.isnan(r)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            distance = np.where(both.any(axis=1), 4 / both.sum(axis=1) * np.where(both, (able - r) ** 2, 0).sum(axis=1), np.inf)
+        nearest = able[np.argsort(distance, kind="stable")[:2]]
+        for point in nearest:
+            home = next(k for k, c in enumerate(cells) if any(np.array_equal(point, x, equal_nan=True) for x in c))
+            assert seen[home]
