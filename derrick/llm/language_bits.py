@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from derrick.llm.chunks import Chunk, chunks, mix, sums_between
 from derrick.llm.common import held_out
+from derrick.session import cut_lineage
 
 GRAM = 4
 SAMPLE = 4_000
@@ -147,8 +148,11 @@ def learn(docs: DataFrame, limit: int = SAMPLE) -> LanguageFilter:
     """Gram profiles of the languages from at most ``limit`` documents of each outside the held-out fold."""
     known = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "doc_id"))
-    ids = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("hash")).distinct().withColumn("rank", rank).where(F.col("rank") <= limit).select("doc_id", "lang")
-    counted = known.join(ids, ["doc_id", "lang"]).select("lang", "text").mapInArrow(_counted, "lang string, gram long, n long")
+    ranked = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("hash")).distinct().withColumn("rank", rank).where(F.col("rank") <= limit)
+    # The sample is what lies up to the last rank's hash: one small row per language instead of a join on ids.
+    last = cut_lineage(ranked.groupBy("lang").agg(F.max(F.struct("hash", "doc_id")).alias("last")))
+    sample = known.join(last, "lang").where(F.struct(F.xxhash64("doc_id").alias("hash"), "doc_id") <= F.col("last"))
+    counted = sample.select("lang", "text").mapInArrow(_counted, "lang string, gram long, n long")
     totals = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     per_lang = Window.partitionBy("lang")
     kept = totals.withColumn("total", F.sum("n").over(per_lang)).where((F.col("n") >= LEAST_COUNT) & (F.col("n") >= F.col("total") * LEAST_SHARE))
