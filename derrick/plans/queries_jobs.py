@@ -6,11 +6,13 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from derrick.functions.exact import significant
 from derrick.functions.scalars import new_id
 from derrick.operators import models
 from derrick.operators.aggregate import daily_sum
 from derrick.operators.forecast import forecast_saved
-from derrick.plans import jobs
+from derrick.operators.split import split_by_share
+from derrick.plans import jobs, oracle
 from derrick.plans.oracle import over
 from derrick.plans.queries_tables import STORED, as_doubles
 from derrick.plans.registry import query
@@ -198,3 +200,76 @@ def t3(spark, folder):
     write_daily(daily, f"{base}/daily", f"{base}/state").awaitTermination()
     daily = read_daily(spark, f"{base}/daily", ["event_type"])
     return daily.withColumns({c: F.round(c, 6) for c in ("total", "mean")})
+
+
+# ---------------------------------------------------------------- training against SQL
+#
+# One feature, the day: the fit of each target is then a regression line that SQL has too.
+
+_TREND_ROWS = (
+    "rows AS (SELECT *, ROW_NUMBER() OVER (ORDER BY DAYTIME) AS rn, COUNT(*) OVER () AS n, CAST(epoch(DAYTIME) AS DOUBLE) / 86400 AS x FROM daily_sum), "
+    "known AS (SELECT *, n - CAST(CEIL(n * 0.2e0) AS BIGINT) AS m FROM rows WHERE rn <= n - CAST(CEIL(n * 0.2e0) AS BIGINT)), "
+    "fold AS (SELECT *, CASE WHEN rn - 1 >= m - 3 * (m // 4) THEN (rn - 1 - (m - 3 * (m // 4))) // (m // 4) END AS f FROM known)"
+)
+
+
+def _trend(spark, folder, **grid):
+    frame = split_by_share(daily_sum(production(spark, folder))).withColumn("DAY", F.unix_date("DAYTIME").cast("double"))
+    return models.train_frame(models.MODELS["linear"], frame, {"DAY": "DAY"}, TARGETS, grid=grid)
+
+
+@query(
+    "m10_m11_trend_line",
+    over(
+        "daily_sum",
+        extra=_TREND_ROWS,
+        body="SELECT r.DAYTIME, "
+        + ", ".join(f"ANY_VALUE(r.{t}) AS {t}_test, ROUND(ANY_VALUE(l.{t}_a) + ANY_VALUE(l.{t}_b) * ANY_VALUE(r.x), 5) AS {t}_pred" for t in TARGETS)
+        + " FROM rows r, (SELECT "
+        + ", ".join(f"REGR_INTERCEPT({t}, x) AS {t}_a, REGR_SLOPE({t}, x) AS {t}_b" for t in TARGETS)
+        + " FROM known) l WHERE r.rn > r.n - CAST(CEIL(r.n * 0.2e0) AS BIGINT) GROUP BY r.DAYTIME",
+    ),
+)
+def m11_trend(spark, folder):
+    """Three targets on the day: fitted on the first four fifths, predicted for the rest."""
+    found = _trend(spark, folder, fitIntercept=[True]).predictions
+    return found.select("DAYTIME", *[f"{t}_test" for t in TARGETS], *[F.round(f"{t}_pred", 5).alias(f"{t}_pred") for t in TARGETS])
+
+
+_fold_error = " + ".join(
+    f"(SELECT AVG(POWER(e.{t} - (l.a + l.b * e.x), 2)) FROM fold e, (SELECT REGR_INTERCEPT({t}, x) AS a, REGR_SLOPE({t}, x) AS b "
+    f"FROM fold WHERE COALESCE(f, -1) < g.g) l WHERE e.f = g.g) / (SELECT VAR_POP({t}) FROM known)"
+    for t in TARGETS
+)
+
+
+@query(
+    "m9_a12_trend_scores",
+    over(
+        "daily_sum",
+        extra=_TREND_ROWS,
+        body=f"SELECT CAST(0 AS INTEGER) AS candidate, CAST(g.g AS INTEGER) AS fold, {oracle.significant(f'({_fold_error}) / 3e0', 6)} AS mse FROM range(3) g(g)",
+    ),
+)
+def m9_trend(spark, folder):
+    """Error of the trend line on each of the three time-ordered folds, in standardised units."""
+    trials = _trend(spark, folder, fitIntercept=[True]).trials
+    scores = spark.createDataFrame(trials, "candidate int, fold int, mse double")
+    return scores.withColumn("mse", significant("mse", 6))
+
+
+@query(
+    "m12_forest_in_range",
+    over(
+        "daily_sum",
+        extra=_TREND_ROWS,
+        body="SELECT DAYTIME, OIL_VOL AS OIL_VOL_test, TRUE AS in_range FROM rows WHERE rn > n - CAST(CEIL(n * 0.2e0) AS BIGINT)",
+    ),
+)
+def m12_range(spark, folder):
+    """A forest averages what it has seen: no prediction leaves the range of the training rows."""
+    frame = split_by_share(daily_sum(production(spark, folder))).withColumn("DAY", F.unix_date("DAYTIME").cast("double"))
+    found = models.train_frame(models.MODELS["forest"], frame, {"DAY": "DAY"}, TARGETS, grid=SMALL_FOREST).predictions
+    bounds = frame.filter(~F.col("is_test")).agg(F.min("OIL_VOL").alias("low"), F.max("OIL_VOL").alias("high"))
+    low, high = (bounds.select(c).scalar() for c in ("low", "high"))
+    return found.select("DAYTIME", "OIL_VOL_test", F.col("OIL_VOL_pred").between(low - 1e-6, high + 1e-6).alias("in_range"))
