@@ -50,6 +50,9 @@ def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_forest.near_duplicates(table(spark, folder, "documents")).drop("text_hash")
 
 
+ORACLES["op3_jaccard_join"] = jaccard_forest.SQL
+
+
 @_query
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))

@@ -288,3 +288,26 @@ def keep_first(docs: DataFrame) -> DataFrame:
     # Rows that repeat both id and text count once.
     repeated = named.join(picked.where("n > 1"), match, "left_semi").groupBy("id", "hash").agg(F.first("row").alias("row")).select("row.*")
     return single.unionAll(repeated)
+
+
+SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS g FROM d
+), c AS (
+  SELECT g, MIN(doc_id) AS copy_id FROM s GROUP BY g
+), e AS (
+  SELECT copy_id, UNNEST(g) AS x, len(g) AS n FROM c
+), p AS (
+  SELECT a.copy_id AS a, b.copy_id AS b FROM e AS a JOIN e AS b ON a.x = b.x AND a.copy_id <> b.copy_id
+  GROUP BY a.copy_id, b.copy_id, a.n, b.n HAVING 5 * COUNT(*) >= 4 * (a.n + b.n - COUNT(*))
+), r AS (
+  SELECT copy_id AS a, copy_id AS b FROM c UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a
+)
+SELECT s.doc_id, k.class_id, c.copy_id, COALESCE(l.n, 0) AS n_links
+FROM s JOIN c ON s.g = c.g
+JOIN (SELECT a, MIN(b) AS class_id FROM r GROUP BY a) AS k ON k.a = c.copy_id
+LEFT JOIN (SELECT a, COUNT(*) AS n FROM p GROUP BY a) AS l ON l.a = c.copy_id
+"""
