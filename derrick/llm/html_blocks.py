@@ -73,18 +73,19 @@ class Line:
     article: int = 0
 
     def text(self) -> str:
-        return SPACES.sub(" ", entities.unescape("".join(self.parts))).strip()
+        return SPACES.sub(" ", "".join(self.parts)).strip()
 
     def linked(self) -> int:
-        return len(SPACES.sub(" ", entities.unescape("".join(self.link_parts))).strip())
+        return len(SPACES.sub(" ", "".join(self.link_parts)).strip())
 
 
 def is_noise(tag: str, attributes: str, in_article: bool) -> bool:
     """Whether an element is boilerplate by its name, its class, id or role, or because it is hidden."""
     if tag in FURNITURE or (tag == "header" and not in_article):
         return True
-    if not attributes or tag in ("html", "body") or tag in ARTICLE:
+    if not attributes or tag in ("html", "body", "main"):
         return False
+    in_article = in_article or tag == "article"
     for match in MARKS.finditer(attributes):
         name, value = match[1].lower(), next((v for v in match.groups()[1:] if v is not None), "")
         if name == "hidden" and not value:
@@ -110,6 +111,8 @@ def lines(page: str) -> list[Line]:
 
     def put(text: str) -> None:
         if text and not hidden:
+            # Reference by reference within one run of text: tags between two runs don't make new ones.
+            text = entities.unescape(text) if "&" in text else text
             line.parts.append(text)
             if links:
                 line.link_parts.append(text)

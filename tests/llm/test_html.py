@@ -21,6 +21,10 @@ CASES = [
     (f"<body><p>{LONG}<br>more&nbsp;&eacute;&#8212;</p><script>var a='<p>x</p>'</script><style>p{{}}</style><form>name<input></form></body>", f"{LONG} more é—"),
     (f"<div class='cookieBanner'>{LONG}</div><p>{LONG} Two.</p><ul class=menu><li><a>x</a></ul>", f"{LONG} Two."),
     ("<article><p>tiny</p></article>", "tiny"),
+    (f"<main><article class='post'><p>{LONG}</p></article><article class='comment'><p>{LONG} Me too.</p></article></main>", LONG),
+    (f"<div>a &amp;<b>amp;</b> {LONG}</div>", f"a &amp; {LONG}"),
+    (f"<div class='entry-header'><h1>Head</h1></div><div id='main'><p>{LONG}</p><p>{LONG}</p><p>x</p></div>", f"{LONG}\n{LONG}\nx"),
+    (f"<article><div class='entry-header'><h1>Head</h1></div><p>{LONG}</p></article>", f"Head\n{LONG}"),
     (f"<table><tr><td>{LONG}<td>b</table>", f"{LONG}\nb"),
     (f"<!-- <p>no</p> --><p>{LONG}</p><noscript>turn on</noscript>", LONG),
 ]
