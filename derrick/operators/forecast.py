@@ -68,10 +68,10 @@ def roll_linear(
     size = len(weights[0])
 
     def step(state, _day):
-        frame = F.slice(state, F.size(state) - size + 1, size)
+        start = F.size(state) - size
         outputs = []
         for w, b in zip(weights, intercepts):
-            terms = [F.get(frame, F.lit(i)) * F.lit(float(c)) for i, c in enumerate(w) if c != 0.0]
+            terms = [F.get(state, start + i) * F.lit(float(c)) for i, c in enumerate(w) if c != 0.0]
             outputs.append(reduce(add, terms, F.lit(float(b))))
         return F.concat(state, F.array(*outputs))
 
