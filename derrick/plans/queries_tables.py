@@ -166,9 +166,8 @@ def drop_all_null(spark, folder):
     ),
 )
 def all_null_test(spark, folder):
-    counts = clean.filled_counts(clean_wells(raw_view(spark, folder)), NUMERICS)
-    long = counts.unpivot([], NUMERICS, "column_name", "filled")
-    return long.select("column_name", (F.col("filled") == 0).alias("all_null"))
+    empty = clean.all_null_columns(clean_wells(raw_view(spark, folder)), NUMERICS)
+    return spark.createDataFrame([(c, c in empty) for c in NUMERICS], "column_name string, all_null boolean")
 
 
 @query(
