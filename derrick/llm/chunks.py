@@ -58,6 +58,13 @@ def sums_between(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
+# Word characters for comparing texts: ASCII letters in lower case, digits, and every byte from 0x80.
+_PLAIN = np.full(256, 0x20, np.uint8)
+_PLAIN[0x30:0x3A] = np.arange(0x30, 0x3A)
+_PLAIN[0x41:0x5B] = _PLAIN[0x61:0x7B] = np.arange(0x61, 0x7B)
+_PLAIN[0x80:] = np.arange(0x80, 0x100)
+
+
 @dataclass
 class Chunk:
     """``data`` holds the bytes of the documents ``first`` .. ``first + n - 1`` of the batch."""
@@ -97,6 +104,16 @@ class Chunk:
         """Where each document's words begin in ``words``."""
         return np.searchsorted(self.words[0], self.bounds)
 
+    @cached_property
+    def plain(self) -> Chunk:
+        """The same documents without case (of ASCII and Latin-1 letters) and punctuation."""
+        folded = _PLAIN[self.data]
+        after_c3 = np.zeros(len(folded), bool)
+        after_c3[1:] = self.data[:-1] == 0xC3
+        capital = after_c3 & (self.data <= 0x9E) & (self.data >= 0x80) & (self.data != 0x97)
+        folded[capital] += 0x20
+        return Chunk(self.first, folded, self.bounds)
+
     @cached_property
     def is_point(self) -> np.ndarray:
         """The first byte of each code point."""

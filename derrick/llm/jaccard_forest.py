@@ -1,7 +1,8 @@
 """N-gram Jaccard join with a MinHash LSH forest.
 
-A text is the set of its windows of ``SHINGLE`` words (a shorter text is one
-window); two texts are linked when the Jaccard similarity of their sets is at least ``THRESHOLD``.
+Words are runs of letters, digits and other characters beyond ASCII, without case (a text of
+signs alone is split at white space instead). A text is the set of its windows of ``SHINGLE``
+words (a shorter text is one window); two texts are linked when the Jaccard similarity of their sets is at least ``THRESHOLD``.
 
 1. Texts with equal sets are one class; everything below works on classes.
 2. A class has ``TREES`` labels of ``DEPTH`` MinHash values. Sorting the labels of a tree
@@ -56,6 +57,16 @@ def prefix_depth(threshold: float = THRESHOLD[0] / THRESHOLD[1], target: float =
 
 def shingle_sets(chunk: Chunk) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each document of a chunk."""
+    out = _shingles(chunk.plain)
+    bare = np.flatnonzero((np.diff(chunk.plain.word_bounds) == 0) & (np.diff(chunk.word_bounds) > 0))
+    if len(bare):
+        whole = _shingles(chunk)
+        for doc in bare:
+            out[doc] = whole[doc]
+    return out
+
+
+def _shingles(chunk: Chunk) -> list[np.ndarray]:
     keys, at = chunk.windows(SHINGLE)
     bounds = chunk.word_bounds
     cuts = np.searchsorted(at, bounds)
@@ -292,7 +303,9 @@ def keep_first(docs: DataFrame) -> DataFrame:
 
 SQL = r"""
 WITH RECURSIVE d AS (
-  SELECT doc_id, regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+  SELECT doc_id, CASE WHEN len(plain) > 0 THEN plain ELSE whole END AS w FROM (
+    SELECT doc_id, regexp_extract_all(lower(COALESCE(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS plain,
+      regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS whole FROM documents) AS t
 ), s AS (
   SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
     ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS g FROM d

@@ -8,7 +8,7 @@ from tests.llm.cases import TEXTS, empty, frame, plain
 
 
 def shingles(text):
-    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").lower()) or re.findall(r"[^\x20\x09-\x0D]+", text or "")
     return frozenset(tuple(words[k : k + 5]) for k in range(len(words) - 4)) or frozenset([tuple(words)] if words else [])
 
 
@@ -76,6 +76,14 @@ def test_similarities_around_the_threshold(spark):
     assert sum(g != w for g, w in zip(got, want, strict=True)) <= len(rows) * (1 - jaccard_forest.TARGET_RECALL) + 1
 
 
+def test_case_and_punctuation_do_not_count(spark):
+    text = plain(50, 4)
+    rows = [(1, text), (2, text.upper() + "!"), (3, text.replace(" ", ", ")), (4, "Élan À ÿ × b c"), (5, "élan à ÿ × b c"), (6, "*** ###"), (7, "### ***"), (8, "***  ###")]
+    assert found(frame(spark, rows)) == brute(rows)
+    copies = {i: copy for i, _, copy, _ in brute(rows)}
+    assert copies == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 6, 7: 7, 8: 6}
+
+
 def test_prefix_reaches_the_target():
     depth = jaccard_forest.prefix_depth()
     assert 1 - (1 - 0.8**depth) ** jaccard_forest.TREES >= jaccard_forest.TARGET_RECALL
