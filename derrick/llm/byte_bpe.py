@@ -38,7 +38,7 @@ OTHER, SPACE, WHITE, APOSTROPHE, NUMBER, LETTER, ONE_TAIL, TWO_TAIL = range(8)
 # States: what the code points so far leave open for the next one.
 FREE, AFTER_SPACE, IN_LETTERS, IN_NUMBER, IN_OTHER, QUOTE, TAIL_DONE, TAIL_HALF = range(8)
 
-STORED_PIECES = 600_000
+STORED_PIECES = 300_000
 NO_PAIR = 1 << 60
 # Pieces of these byte lengths are merged together as rows of a matrix; longer ones use the heap.
 WIDTHS = [(0, 4), (4, 8), (8, 12), (12, 16), (16, 24), (24, 40)]

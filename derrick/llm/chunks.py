@@ -14,7 +14,7 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 # Word separators: space, and tab to carriage return.
 _SPACE = np.zeros(256, bool)
