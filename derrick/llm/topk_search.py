@@ -108,15 +108,15 @@ def _collected(k: int):
             for at in range(0, len(queries), ROWS_AT_ONCE):
                 some = queries.iloc[at : at + ROWS_AT_ONCE]
                 q = _matrix(some.comps)
-                cutoff = some.cutoff.fillna(-_LARGEST).to_numpy(np.int64)[:, None]
+                cutoff, all_suffice = some.cutoff.to_numpy(np.int64)[:, None], ~some.has_cutoff.to_numpy(bool)[:, None]
                 partials = _partials(q, c)
                 least = -(-cutoff // SLICES) - 1  # rounded to the safe side
-                sufficient = np.zeros(partials[0].shape, bool)
+                sufficient = np.repeat(all_suffice, len(ids), 1)
                 for p in partials:
                     sufficient |= p >= least
                 sufficient &= some.vec_id.to_numpy()[:, None] != ids[None, :]
                 total = _total(partials, q, c)
-                row, column = np.nonzero(sufficient & (total >= cutoff))
+                row, column = np.nonzero(sufficient & (all_suffice | (total >= cutoff)))
                 found = pd.DataFrame({"query_id": some.vec_id.to_numpy()[row], "dim": q.shape[1], "vec_id": ids[column], "score": total[row, column]})
                 found = found.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True], kind="stable")
                 parts.append(found.groupby("query_id").head(k))
@@ -149,7 +149,9 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
     # Fewer than k entries in all: no cutoff, everything is sufficient.
     cutoffs = best.groupBy("query_id", "dim").agg(F.when(F.count("*") == k, F.min("score")).alias("cutoff"))
     cutoffs = cut_lineage(cutoffs).withColumnRenamed("query_id", "vec_id")
-    told = asked.join(cutoffs, ["vec_id", "dim"], "left")
+    # A cutoff stays a whole number: a null would turn the batch's cutoffs into doubles.
+    cutoff = [F.coalesce("cutoff", F.lit(0)).cast("long").alias("cutoff"), F.col("cutoff").isNotNull().alias("has_cutoff")]
+    told = asked.join(cutoffs, ["vec_id", "dim"], "left").select(*asked.columns, *cutoff)
     found = candidates.groupBy(*key).cogroup(blocks(told).groupBy(*key)).applyInPandas(_collected(k), "query_id long, dim int, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
