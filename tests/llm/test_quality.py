@@ -46,14 +46,16 @@ def test_statistics_do_not_depend_on_neighbours():
 
 def test_additive_score_is_the_sum_of_its_tables():
     rng = np.random.default_rng(0)
-    x = rng.normal(size=(500, 4))
-    y = ((x[:, 0] > 0) ^ (x[:, 1] * x[:, 2] > 0.3)).astype(float)
+    x = rng.normal(size=(1500, 4))
+    y = (x[:, 1] * x[:, 2] + 0.5 * (x[:, 0] > 0) > 0.25).astype(float)
     model = quality_gam.fit(x, y, rounds=40, pairs=2)
     for row, score in zip(x[:50], model.score(x[:50]), strict=True):
         total = model.base + sum(t[sum(e <= v for e in edges)] for v, edges, t in zip(row, model.edges, model.tables, strict=True))
         total += sum(t[sum(c <= row[a] for c in ca), sum(c <= row[b] for c in cb)] for a, b, ca, cb, t in model.pairs)
         assert score == pytest.approx(1 / (1 + np.exp(-total)))
-    assert ((model.score(x) > 0.5) == y).mean() > 0.8
+    # The product of two features is found as a pair; tables of single features can't hold it.
+    assert (1, 2) in [(a, b) for a, b, *_ in model.pairs]
+    assert ((model.score(x) > 0.5) == y).mean() > ((quality_gam.fit(x, y, rounds=40, pairs=0).score(x) > 0.5) == y).mean() + 0.1
 
 
 @pytest.mark.parametrize("y,expected", [([], 1.0), ([1.0, 1.0], 1.0), ([0.0], 0.0)])
