@@ -25,6 +25,6 @@ def labelled(labels: DataFrame, limit: int = LABEL_SAMPLE) -> DataFrame:
     hash of their id, so the sample doesn't depend on order or partitions. An id
     with several labels counts once, by the smallest.
     """
-    known = labels.select("doc_id", "quality").where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
+    known = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
     one = known.where(~held_out()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
