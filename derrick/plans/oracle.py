@@ -85,12 +85,19 @@ DAILY_AVG = (
     )
     + " FROM pwell GROUP BY pwell.DAYTIME)"
 )
+# Readings that are missing every so many days in ``field_avg``.
+OUT_OF_SERVICE = {"AVG_ANNULUS_PRESS": 11, "ON_STREAM_HRS": 13}
 FIELD_AVG = (
-    "field_avg AS (SELECT NPD_FIELD_CODE, CAST(epoch(DAYTIME) AS BIGINT) AS DAYTIME, "
+    "field_avg AS (SELECT NPD_FIELD_CODE, DAYTIME, "
+    + ", ".join(
+        [*TARGETS]
+        + [f"CASE WHEN DAYTIME // 86400 % {OUT_OF_SERVICE[c]} <> 0 THEN {c} END AS {c}" if c in OUT_OF_SERVICE else c for c in READINGS]
+    )
+    + " FROM (SELECT NPD_FIELD_CODE, CAST(epoch(DAYTIME) AS BIGINT) AS DAYTIME, "
     + ", ".join(
         [fixed_mean(f"BORE_{t}", 3, t) for t in TARGETS] + [fixed_mean(c, 2, c) for c in READINGS]
     )
-    + " FROM pwell GROUP BY NPD_FIELD_CODE, pwell.DAYTIME)"
+    + " FROM pwell GROUP BY NPD_FIELD_CODE, pwell.DAYTIME) AS means)"
 )
 DAILY_SUM = (
     "daily_sum AS (SELECT DAYTIME, "

@@ -11,6 +11,7 @@ from derrick.operators.aggregate import daily_avg, daily_sum
 from derrick.operators.forecast import recent_frame, roll_linear
 from derrick.operators.impute import knn_impute, knn_pairs
 from derrick.operators.window import k_nearest, lagged, lookback
+from derrick.plans import oracle
 from derrick.plans.oracle import over, significant
 from derrick.plans.registry import query
 from derrick.plans.wells import production, read_table
@@ -24,8 +25,12 @@ SERIES = ["NPD_FIELD_CODE"]
 
 
 def field_averages(spark, folder):
-    """Daily means per field: fields that report nothing on a day leave gaps."""
-    return cut_lineage(daily_avg(production(spark, folder), SERIES))
+    """Daily means per field. Fields that report nothing on a day leave gaps; as large tables have none, two gauges
+    are read out of service on every eleventh and thirteenth day."""
+    means = daily_avg(production(spark, folder), SERIES)
+    day = F.floor(F.col("DAYTIME") / 86400)
+    gaps = {c: F.when(day % n != 0, F.col(c)) for c, n in oracle.OUT_OF_SERVICE.items()}
+    return cut_lineage(means.withColumns(gaps))
 
 
 # ---------------------------------------------------------------- nearest neighbours
