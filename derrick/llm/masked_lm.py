@@ -7,8 +7,8 @@ each, the others share ``RARE`` ids by their last bytes. An id is predicted in t
 the second given the first, so that a prediction costs twice ``SIDE`` outputs.
 
 What the model knows comes from all documents: word counts over every word, and
-weights trained in every task on every ``STRIDE``-th position of each of its documents (another
-offset each round), which are averaged over the tasks in proportion to what they saw.
+weights trained in every task on every position of each of its documents, dealt over the rounds
+(each position is a target in one of them), which are averaged over the tasks in proportion to what they saw.
 Averages are summed in Spark as a stream per block of weights; only one set of weights,
 whose size doesn't depend on the input, reaches the driver.
 
@@ -36,7 +36,6 @@ RARE = 1024
 REACH = 2
 WIDTH = 24
 ROUNDS = 2
-STRIDE = 8
 BATCH = 4096
 RATE = 0.1
 BLOCK = 4096  # weights per row when averages are summed
@@ -136,8 +135,8 @@ class Network:
 
     def _forward(self, context: np.ndarray, target: np.ndarray):
         w = self.w
-        seen = w["embed"][context]  # n x places x width
-        hidden = np.tanh((seen * w["place"]).sum(1))
+        seen = np.take(w["embed"], context, axis=0)  # n x places x width
+        hidden = np.tanh(np.einsum("npw,pw->nw", seen, w["place"]))
         high, low = target // SIDE, target % SIDE
         first = _log_softmax(hidden @ w["first"] + w["first_bias"])
         inner = np.tanh(hidden + w["given"][high])
@@ -169,7 +168,7 @@ class Network:
             "given": _sum_rows(d_inner, high, SIDE),
             "first": hidden.T @ d_first,
             "first_bias": d_first.sum(0),
-            "place": (seen * d_hidden[:, None, :]).sum(0),
+            "place": np.einsum("npw,nw->pw", seen, d_hidden),
             "embed": _sum_rows((d_hidden[:, None, :] * w["place"]).reshape(-1, WIDTH), context.ravel(), WORDS + 1),
         }
         grads["embed"][BLANK] = 0
@@ -181,12 +180,13 @@ class Network:
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
     x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+    x -= np.log(np.exp(x).sum(1, keepdims=True))
+    return x
 
 
 def _sum_rows(rows: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
-    """Sum of the rows per index, by sorting."""
-    order = np.argsort(at, kind="stable")
+    """Sum of the rows per index (below 2^16), by a radix sort."""
+    order = np.argsort(at.astype(np.uint16), kind="stable")
     ranked = at[order]
     firsts = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]]) if len(at) else np.zeros(0, int)
     out = np.zeros((n, rows.shape[1]), np.float32)
@@ -207,7 +207,7 @@ def contexts(ids: np.ndarray, bounds: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def _train_once(words: Vocabulary, flat: np.ndarray, round_: int):
+def _train_once(words: Vocabulary, flat: np.ndarray, round_: int, rounds: int = ROUNDS):
     """Train a copy of the weights on a task's documents; returns it in blocks, weighted by the examples seen."""
 
     def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +219,9 @@ def _train_once(words: Vocabulary, flat: np.ndarray, round_: int):
             for chunk in chunks(batch.column("text")):
                 ids, bounds = words(chunk), chunk.word_bounds
                 place = np.arange(len(ids)) - np.repeat(bounds[:-1], np.diff(bounds))
-                at = np.flatnonzero((place + np.repeat(np.diff(bounds), np.diff(bounds))) % STRIDE == round_ % STRIDE)
+                # Dealt by a hash, as text with a period would give a round one kind of word only.
+                deal = mix((place + np.repeat(np.diff(bounds), np.diff(bounds))).astype(np.uint64))
+                at = np.flatnonzero(deal % np.uint64(rounds) == np.uint64(round_))
                 waiting.append((contexts(ids, bounds, at), ids[at]))
                 if sum(len(t) for _, t in waiting) >= BATCH:
                     seen += _steps(net, waiting, scale, False)
@@ -257,11 +259,11 @@ def _summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> Network:
-    """Rounds of training in all tasks, each followed by the average of their weights."""
+    """Rounds of training in all tasks, each followed by the average of their weights; together they take every position once."""
     schema = "block int, seen long, weights array<double>"
     net = Network.fresh(words.counts)
     for round_ in range(rounds):
-        rows = docs.select("text").mapInArrow(_train_once(words, net.flat, round_), schema)
+        rows = docs.select("text").mapInArrow(_train_once(words, net.flat, round_, rounds), schema)
         mean = rows.repartition("block").mapInArrow(_summed, schema).toArrow().sort_by("block")
         if mean.num_rows:
             flat = np.concatenate([w.values.to_numpy() / s.as_py() for w, s in zip(mean.column("weights"), mean.column("seen"), strict=True)])

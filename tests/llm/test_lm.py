@@ -55,6 +55,20 @@ def test_learns_from_both_sides(spark):
     assert after > before + 0.5
 
 
+def test_every_position_is_trained_on_once(monkeypatch):
+    texts = pa.array([None, "", *(" ".join(f"w{n}-{k}" for k in range(n)) for n in range(1, 20))], pa.string())
+    words = masked_lm.Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.ones(masked_lm.WORDS))
+    trained = []
+    monkeypatch.setattr(masked_lm.Network, "step", lambda self, context, target, scale: trained.extend(zip(map(tuple, context), target, strict=True)))
+    flat = masked_lm.Network.fresh(words.counts).flat
+    for round_ in range(masked_lm.ROUNDS):
+        list(masked_lm._train_once(words, flat, round_)([pa.RecordBatch.from_arrays([texts], names=["text"])]))
+    (chunk,) = chunks(texts)
+    ids = words(chunk)
+    every = zip(map(tuple, masked_lm.contexts(ids, chunk.word_bounds, np.arange(len(ids)))), ids, strict=True)
+    assert sorted(trained) == sorted(every)
+
+
 def test_gradient_matches_differences():
     rng = np.random.default_rng(0)
     net = masked_lm.Network.fresh(np.ones(masked_lm.WORDS))
