@@ -4,7 +4,9 @@ A small network sees ``REACH`` words on each side of a hidden word and predicts
 a document's score is the sum of the log-probabilities of all its words. Words are
 ids below ``SIDE * SIDE``: the most frequent words of the whole corpus have one
 each, the others share ``RARE`` ids by their last bytes. An id is predicted in two digits,
-the second given the first, so that a prediction costs twice ``SIDE`` outputs.
+the second given the first, so that a prediction costs twice ``SIDE`` outputs. A word of a shared id
+also has its share of the id's words, from the counts of all words, which stay a distributed
+table and are met by a join; ``UNSEEN`` counts are kept for words that the corpus doesn't have.
 
 What the model knows comes from all documents: word counts over every word, and
 weights trained in every task on every position of each of its documents, dealt over the rounds
@@ -40,6 +42,7 @@ BATCH = 4096
 RATE = 0.1
 BLOCK = 4096  # weights per row when averages are summed
 BLANK = WORDS
+UNSEEN = 0.5
 
 
 @dataclass
@@ -82,10 +85,15 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(rare_of), pa.array(n)], names=["word", "rare", "n"])
 
 
-def vocabulary(docs: DataFrame) -> Vocabulary:
-    """Counts over every word of all documents; the most frequent get ids of their own."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """word (hash), rare (its shared id) and n for every word of all documents."""
     words = docs.select("text").mapInArrow(_counted, "word long, rare long, n long").groupBy("word").agg(F.min("rare").alias("rare"), F.sum("n").alias("n"))
-    words = cut_lineage(words)
+    return cut_lineage(words)
+
+
+def vocabulary(docs: DataFrame, words: DataFrame | None = None) -> Vocabulary:
+    """The most frequent of all words get ids of their own; ``words`` are the counts if they are known."""
+    words = word_counts(docs) if words is None else words
     top = words.orderBy(F.desc("n"), "word").limit(WORDS - RARE).toArrow()
     frequent = top.column("word").to_numpy().view(np.uint64)
     counts = np.zeros(WORDS)
@@ -271,9 +279,8 @@ def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> Network:
     return net
 
 
-def score(docs: DataFrame, words: Vocabulary, net: Network) -> DataFrame:
-    """doc_id, n_words, log_prob (sum over all words) and mean_log_prob of every document."""
-    flat = net.flat
+def _scored(words: Vocabulary, flat: np.ndarray):
+    """The network's sums per document, and its shared-id words, each with its number, for the join with their counts."""
 
     def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Network(flat)
@@ -281,16 +288,48 @@ def score(docs: DataFrame, words: Vocabulary, net: Network) -> DataFrame:
             for chunk in chunks(batch.column("text")):
                 ids, bounds = words(chunk), chunk.word_bounds
                 logs = model.log_probs(contexts(ids, bounds, np.arange(len(ids))), ids)
+                at = np.flatnonzero(ids >= WORDS - RARE)
                 n = np.diff(bounds)
-                log_prob = np.where(n > 0, np.add.reduceat(np.append(logs, 0.0), np.minimum(bounds[:-1], len(logs))), 0.0)
-                mean = pa.array(log_prob / np.maximum(n, 1), mask=n == 0)
-                columns = [batch.column("doc_id").slice(chunk.first, chunk.n), pa.array(n), pa.array(log_prob), mean]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "log_prob", "mean_log_prob"])
+                sums = [np.where(n > 0, np.add.reduceat(np.append(x, 0.0), np.minimum(bounds[:-1], len(x))), 0.0) for x in (logs, _id_totals(words, ids, at))]
+                doc = np.searchsorted(bounds, at, "right") - 1
+                order = np.lexsort((chunk.word_hashes[at], doc))
+                doc, hashes = doc[order], chunk.word_hashes[at][order]
+                first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (hashes[1:] != hashes[:-1])]) if len(at) else np.zeros(0, int)
+                cuts = pa.array(np.searchsorted(doc[first], np.arange(chunk.n + 1)), pa.int32())
+                lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (hashes[first].view(np.int64), np.diff(np.append(first, len(at))))]
+                columns = [batch.column("doc_id").slice(chunk.first, chunk.n), pa.array(n), *map(pa.array, sums), *lists]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "log_prob", "totals", "shared", "times"])
+
+    return scored
+
+
+def _id_totals(words: Vocabulary, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Per word, the logarithm of all counts of its shared id; 0 for words with an id of their own."""
+    out = np.zeros(len(ids))
+    out[at] = np.log(words.counts[ids[at]] + UNSEEN)
+    return out
+
+
+def score(docs: DataFrame, words: Vocabulary, net: Network, counts: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_words, log_prob (sum over all words) and mean_log_prob of every document.
 
-    return docs.select("doc_id", "text").mapInArrow(scored, "doc_id long, n_words long, log_prob double, mean_log_prob double")
+    With ``counts`` (of ``word_counts``) every word has its own probability, without them its id's.
+    """
+    schema = "doc_id long, n_words long, log_prob double, totals double, shared array<long>, times array<long>"
+    rows = docs.select("doc_id", "text").mapInArrow(_scored(words, net.flat), schema)
+    if counts is not None:
+        rows = cut_lineage(rows.withColumn("row", F.monotonically_increasing_id()))
+        listed = rows.select("row", F.explode(F.arrays_zip("shared", "times")).alias("s")).select("row", F.col("s.shared").alias("word"), "s.times")
+        # A word the corpus doesn't have counts as UNSEEN. Logarithms are summed as whole multiples of 2^-28, so that no order changes a sum.
+        share = F.col("times") * F.round(F.log(F.coalesce(F.col("n").cast("double"), F.lit(UNSEEN))) * 2**28).cast("long")
+        own = listed.join(counts.select("word", "n"), "word", "left").groupBy("row").agg(F.sum(share).alias("own"))
+        rows = rows.join(own, "row", "left").withColumn("log_prob", F.col("log_prob") + F.coalesce(F.col("own") / 2**28, F.lit(0.0)) - F.col("totals"))
+    mean = F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words"))
+    return rows.select("doc_id", "n_words", "log_prob", mean.alias("mean_log_prob"))
 
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     """Fit vocabulary and network on the documents and score them."""
-    words = vocabulary(docs)
-    return score(docs, words, train(docs, words))
+    counts = word_counts(docs)
+    words = vocabulary(docs, counts)
+    return score(docs, words, train(docs, words), counts)

@@ -69,6 +69,25 @@ def test_every_position_is_trained_on_once(monkeypatch):
     assert sorted(trained) == sorted(every)
 
 
+def test_words_of_a_shared_id_have_their_own_probability(spark):
+    frequent = " ".join(f"f{k}" for k in range(masked_lm.WORDS - masked_lm.RARE))
+    inside = "f1 f2 {} f3 f4".format
+    rows = [(1, inside("qqqqzz")), (2, inside("wwwwzz")), *((3 + k, f"{frequent} {frequent} qqqqzz") for k in range(4))]
+    docs = frame(spark, rows)
+    found = {r.doc_id: r.log_prob for r in masked_lm.pseudo_likelihood(docs).collect()}
+    # Same context and shared id; one word occurs five times, the other once.
+    assert np.isclose(found[1] - found[2], np.log(5), atol=1e-4)
+
+    counts = masked_lm.word_counts(docs)
+    words = masked_lm.vocabulary(docs, counts)
+    new = frame(spark, [(1, inside("wwwwzz")), (2, inside("eeeezz")), (2, inside("eeeezz")), (3, None), (None, "")])
+    net = masked_lm.Network.fresh(words.counts)
+    found = [(r.doc_id, r.log_prob) for r in masked_lm.score(new, words, net, counts).collect()]
+    probs = dict(found)
+    assert len(found) == 5 and np.isclose(probs[1] - probs[2], np.log(1 / masked_lm.UNSEEN), atol=1e-4)
+    assert probs[3] == probs[None] == 0
+
+
 def test_gradient_matches_differences():
     rng = np.random.default_rng(0)
     net = masked_lm.Network.fresh(np.ones(masked_lm.WORDS))
