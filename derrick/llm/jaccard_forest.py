@@ -266,6 +266,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     the texts joined by links (over several steps as well), ``n_links`` the number of other shingle
     sets that the text is linked to.
     """
+    return with_components(docs).drop("component")
+
+
+def with_components(docs: DataFrame) -> DataFrame:
+    """``near_duplicates`` with ``component``, which is unique per class; ids may be null or repeat over classes."""
     sketches = cut_lineage(sketch(docs))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash")).alias("first")
     classes = sketches.groupBy("digest", "labels").agg(first).select("digest", "labels", "first.doc_id", "first.text_hash")
@@ -281,14 +286,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labelled = labelled.select("digest", "copy_id", F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     labelled = cut_lineage(labelled)
     smallest = labelled.groupBy("component").agg(F.min("copy_id").alias("class_id"))
-    by_class = labelled.join(smallest, "component").select("digest", "copy_id", "class_id", "n_links")
-    return sketches.select("doc_id", "text_hash", "digest").join(by_class, "digest").select("doc_id", "text_hash", "class_id", "copy_id", "n_links")
+    by_class = labelled.join(smallest, "component").select("digest", "copy_id", "class_id", "n_links", "component")
+    return sketches.select("doc_id", "text_hash", "digest").join(by_class, "digest").select("doc_id", "text_hash", "class_id", "copy_id", "n_links", "component")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each near-duplicate class, the one with the smallest id, with all its columns."""
-    found = near_duplicates(docs)
-    chosen = found.groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash")).alias("first"))
+    found = with_components(docs)
+    chosen = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash")).alias("first"))
     rows = found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n"))
     first = cut_lineage(chosen.select("first.doc_id", "first.text_hash"))
     picked = first.join(rows, first.doc_id.eqNullSafe(rows.doc_id) & (first.text_hash == rows.text_hash)).select(first.doc_id.alias("own_id"), first.text_hash.alias("own_hash"), "n")

@@ -57,6 +57,14 @@ def test_edge_cases(spark):
     assert jaccard_forest.keep_first(empty(spark)).count() == 0
 
 
+def test_ids_that_are_null_or_repeat_keep_each_text(spark):
+    a, b, c, d = (plain(60, seed) for seed in (11, 12, 13, 14))
+    rows = [(None, a), (None, b), (None, b + " more"), (5, c), (5, d), (5, d), (6, d + " more")]
+    kept = [(r.doc_id, r.text) for r in jaccard_forest.keep_first(frame(spark, rows)).collect()]
+    assert len(kept) == 4 and {(None, a), (5, c), (5, d)} < set(kept)
+    assert {(None, b), (None, b + " more")} & set(kept)
+
+
 @pytest.mark.parametrize("block", [1000, 7])
 def test_a_large_group_of_near_copies(spark, monkeypatch, block):
     monkeypatch.setattr(jaccard_forest, "BLOCK", block)
