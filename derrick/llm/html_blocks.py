@@ -6,7 +6,7 @@ counts with the characters that are neither link text nor boilerplate. Sums over
 windows of ``WINDOW`` lines show where text surges and where it dives: a region
 begins at the line where a window fills up and ends where windows run empty, and every line between the
 two is kept. Regions that never reach ``SURGE`` characters are kept only if no region does.
-Where a page marks its article, only the lines inside it are looked at.
+Where a page marks its article, all lines inside it that aren't boilerplate are the text, whatever their length and links.
 
 Cases: null and empty pages give the empty text; a page without any text outside
 boilerplate gives the empty text. Text of any length is kept whole. Broken markup ends tags at
@@ -42,6 +42,7 @@ BLOCKS = frozenset(
 # A paragraph ends where one of these begins, as it has no end tag then.
 ENDS_PARAGRAPH = BLOCKS - frozenset("html body td th tr tbody thead tfoot caption option optgroup legend".split())
 ARTICLE = frozenset(["article", "main"])
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 
 # Words of class, id and role that mark boilerplate.
 NOISE = frozenset(
@@ -162,6 +163,8 @@ def lines(page: str) -> list[Line]:
             pop()
             continue
         attributes = match[3] or ""
+        if name not in IN_HEAD and stack and stack[-1][0] == "head":
+            pop()  # its end tag may be left out
         if name in VOID:
             if name == "hr":
                 cut()
@@ -229,7 +232,8 @@ def main_text(page: str | None) -> str:
     stretches: list[list[tuple[str, int]]] = [[]]
     found = lines(page)
     if any(x.article and not x.noise for x in found):
-        found = [x for x in found if x.article]
+        # A marked article is the content: nothing in it but boilerplate is left out, links and short blocks neither.
+        return "\n".join(text for x in found if x.article and not x.noise and (text := x.text()))
     for x in found:
         text = x.text()
         if not text:
@@ -244,8 +248,7 @@ def main_text(page: str | None) -> str:
         weights = np.array([w for _, w in stretch], np.int64)
         for surge, dive in regions(weights):
             kept.append((int(weights[surge:dive].sum()), [t for t, _ in stretch[surge:dive]]))
-    marked = any(x.article for x in found)
-    strong = [x for x in kept if x[0] >= SURGE] if not marked else kept
+    strong = [x for x in kept if x[0] >= SURGE]
     return "\n".join(t for _, block in (strong or kept) for t in block)
 
 

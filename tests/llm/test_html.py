@@ -30,6 +30,21 @@ CASES = [
 ]
 
 
+LINKED = [
+    (f"<article><h1><a href=/>Title</a></h1><p>{LONG}</p><p><a href=/b>Go on reading</a></p></article>", f"Title\n{LONG}\nGo on reading"),
+    (f"<article><p>{LONG}</p><ul>{''.join(f'<li><a href=/{k}>Reference {k}</a></li>' for k in range(4))}</ul><p>End.</p></article>", f"{LONG}\nReference 0\nReference 1\nReference 2\nReference 3\nEnd."),
+    ("<main><p><a href=/>only links</a></p></main>", "only links"),
+    (f"<html><head><meta charset=utf-8><title>t</title><body><p>{LONG}</p></body></html>", LONG),
+    (f"<head><title>t</title><p>{LONG}</p>", LONG),
+    (f"<head><title>t</title><script>var a</script></head><p>{LONG}</p>", LONG),
+]
+
+
+@pytest.mark.parametrize("page,text", LINKED)
+def test_links_of_an_article_and_an_open_head(page, text):
+    assert main_text(page) == text
+
+
 @pytest.mark.parametrize("page,text", CASES)
 def test_main_text(page, text):
     assert main_text(page) == text
