@@ -22,6 +22,7 @@ from derrick.sources.files import newest_drop, newest_files, read_file, read_jso
 from derrick.sources.tables import scan_path
 
 SHAPE = ["DATEPRD", "WELL_BORE_CODE", "WELL_TYPE", "BORE_OIL_VOL"]
+DOCUMENT_ROWS = 10_000
 LANDED = over("well_raw", body="SELECT DATEPRD, WELL_BORE_CODE, WELL_TYPE, BORE_OIL_VOL FROM well_raw")
 
 
@@ -52,14 +53,22 @@ def s2(spark, folder):
 
 
 def _one_document_per_file(documents: DataFrame, path: str) -> None:
-    """A text file per row; the rows are one per well and bounded in size."""
+    """A text file per row; a row holds about ``DOCUMENT_ROWS`` rows of a well."""
     documents.write.option("maxRecordsPerFile", 1).text(path)
 
 
+def _documents(raw: DataFrame, size: int = DOCUMENT_ROWS) -> DataFrame:
+    """The rows of each well in arrays of about ``size``, so that a well with many rows is many documents."""
+    parts = raw.groupBy("WELL_BORE_CODE").agg(F.ceil(F.count("*") / size).alias("parts")).withColumnRenamed("WELL_BORE_CODE", "well")
+    dealt = raw.join(parts, F.col("WELL_BORE_CODE").eqNullSafe(F.col("well")))
+    part = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.col("parts")).alias("part")
+    return dealt.groupBy("WELL_BORE_CODE", part).agg(F.collect_list(F.struct(*SHAPE)).alias("rows"))
+
+
 @query("s3_json_records", LANDED)
 def s3(spark, folder):
     path = _scratch(spark)
-    wells = _rows(spark, folder).groupBy("WELL_BORE_CODE").agg(F.collect_list(F.struct(*SHAPE)).alias("rows"))
+    wells = _documents(raw_view(spark, folder))
     _one_document_per_file(wells.select(as_json(F.col("rows"))), path)
     return _typed(read_json(spark, path))
 
@@ -67,8 +76,7 @@ def s3(spark, folder):
 @query("s4_json_columns", LANDED)
 def s4(spark, folder):
     path = _scratch(spark)
-    rows = _rows(spark, folder)
-    wells = rows.groupBy("WELL_BORE_CODE").agg(F.collect_list(F.struct(*SHAPE)).alias("rows"))
+    wells = _documents(raw_view(spark, folder))
     columns = F.struct(*[F.col("rows").getField(c).alias(c) for c in SHAPE])
     _one_document_per_file(wells.select(as_json(columns)), path)
     return _typed(read_json(spark, path))

@@ -146,3 +146,13 @@ def test_listing_does_not_read_contents(spark, tmp_path):
     write(tmp_path / "a.csv", "x")
     plan = files._listing(spark, str(tmp_path)).agg(F.max("path"))._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan
+
+
+def test_a_well_with_many_rows_is_many_documents(spark):
+    from pyspark.sql import functions as F
+
+    from derrick.plans.queries_files import _documents
+
+    raw = spark.range(900).select(F.lit("d").alias("DATEPRD"), F.when(F.col("id") > 99, "hot").alias("WELL_BORE_CODE"), F.lit("t").alias("WELL_TYPE"), F.col("id").alias("BORE_OIL_VOL"), F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"))
+    sizes = [len(r.rows) for r in _documents(raw, 100).collect()]
+    assert sum(sizes) == 900 and max(sizes) < 200
