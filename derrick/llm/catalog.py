@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from derrick.llm import byte_bpe, html_blocks, jaccard_forest, language_bits, license_rules, masked_lm, packing, quality_gam, quality_trees, topk_search
+from derrick.llm import byte_bpe, html_blocks, jaccard_forest, language_bits, license_rules, masked_lm, merkle_manifest, packing, quality_gam, quality_trees, topk_search
 from derrick.llm.common import table
 from derrick.session import pin_utc
 
@@ -92,6 +92,14 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_rules.scan(table(spark, folder, "documents"))
 
 
+@_query
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle_manifest.manifest(table(spark, folder, "documents"))
+
+
+ORACLES["op11_merkle_manifest"] = merkle_manifest.SQL
+
+
 @_query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
