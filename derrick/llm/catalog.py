@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from derrick.llm import byte_bpe, html_blocks, importance_planes, jaccard_forest, language_bits, license_rules, masked_lm, merkle_manifest, packing, quality_gam, quality_trees, topk_search
+from derrick.llm import byte_bpe, hnsw_search, html_blocks, importance_planes, jaccard_forest, language_bits, license_rules, masked_lm, merkle_manifest, packing, quality_gam, quality_trees, topk_search
 from derrick.llm.common import table
 from derrick.session import pin_utc
 
@@ -100,6 +100,11 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
 ORACLES["op11_merkle_manifest"] = merkle_manifest.SQL
 
 
+@_query
+def op12_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return hnsw_search.search(table(spark, folder, "embeddings"))
+
+
 @_query
 def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return importance_planes.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
