@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from derrick.llm import hnsw_graph
-from derrick.session import cut_lineage
+from derrick.session import cut_lineage, shuffle_width
 
 K = 20
 EVERY = 20  # rows whose id is divisible by it are queries
@@ -97,7 +97,9 @@ def index(vectors: DataFrame, k: int = K) -> DataFrame:
     nodes = cut_lineage(needed.groupBy("dim", "x").agg(F.sort_array(F.collect_list(F.struct("vec_id", "copies"))).alias("rows")))
     shards = nodes.groupBy("dim").agg(F.ceil(F.count("*") / SHARD_NODES).alias("n_shards"))
     dealt = nodes.join(shards, "dim").withColumn("shard", F.pmod(F.xxhash64("x"), F.col("n_shards"))).withColumn("place", F.xxhash64(F.lit(1), "x"))
-    return cut_lineage(dealt.select("dim", "shard", "place", "x", "rows").groupBy("dim", "shard").applyInPandas(_build, GRAPHS))
+    # Shards are small in bytes and dear in time: the width is given, so that they aren't put together into few tasks.
+    spread = dealt.select("dim", "shard", "place", "x", "rows").repartition(shuffle_width(vectors.sparkSession), "dim", "shard")
+    return cut_lineage(spread.groupBy("dim", "shard").applyInPandas(_build, GRAPHS))
 
 
 def search(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
