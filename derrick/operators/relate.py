@@ -43,27 +43,39 @@ def stack_predictions(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [f.select(*names) for f in frames])
 
 
-def _one_per_key(updates: DataFrame, keys: list[str]) -> DataFrame:
+def one_per_key(updates: DataFrame, keys: list[str], sequence: list[str] | None = None) -> DataFrame:
+    """The last update of each key in ``sequence`` order. Without one no update could be the last, so a
+    second update of a key is an error."""
+    if sequence:
+        return latest_per_key(updates, keys, sequence)
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
     several = F.raise_error(F.lit(f"several updates of one {', '.join(keys)} need a sequence")).cast("boolean")
     return updates.withColumn("_n", n).filter(F.when(F.col("_n") == 1, F.lit(True)).otherwise(several)).drop("_n")
 
 
+def changed_rows(base: DataFrame, updates: DataFrame, keys: list[str], version: str, images: list[str]) -> DataFrame:
+    """The updates (one per key) that are not older than what the base holds under their key. ``_old`` has the
+    named columns of the row that each replaces, null for a new key. Of the base only keys, version and images are read."""
+    old = base.select(*[F.col(k).alias(f"_{k}") for k in keys], F.struct(version, *images).alias("_old"))
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_{k}") for k in keys])
+    stored, given = F.col(f"_old.{version}"), F.col(version)
+    wins = stored.isNull() | given.isNull() | (given >= stored)
+    return updates.join(old, same, "left").filter(wins).drop(*[f"_{k}" for k in keys])
+
+
+def replace_rows(base: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The base with ``rows`` in place of its rows of the same keys. The base is only filtered, not sorted by a rank."""
+    kept = base.join(rows.select(*keys), keys, "left_anti")
+    return kept.unionByName(rows.drop(*[c for c in rows.columns if c not in base.columns]), allowMissingColumns=True).select(*base.columns)
+
+
 def merge_latest(
     base: DataFrame, updates: DataFrame, keys: list[str], sequence: list[str] | None = None
 ) -> DataFrame:
     """Upsert as one set operation: every update row replaces the whole base row
     of its key (nulls included); of several updates the last one wins.
 
-    ``sequence`` orders the updates; it need not be a column of the base. Without
-    one no update could be the last, so a second update of a key is an error. The
-    base holds one row per key already, so only the updates are ranked, and the
-    base is only filtered: no sort of the base.
+    ``sequence`` orders the updates; it need not be a column of the base. The
+    base holds one row per key already, so only the updates are ranked.
     """
-    if sequence:
-        updates = latest_per_key(updates, keys, sequence)
-    else:
-        updates = _one_per_key(updates, keys)
-    kept = base.join(updates.select(*keys), keys, "left_anti")
-    incoming = updates.drop(*[c for c in sequence or [] if c not in base.columns])
-    return kept.unionByName(incoming, allowMissingColumns=True).select(*base.columns)
+    return replace_rows(base, one_per_key(updates, keys, sequence), keys)

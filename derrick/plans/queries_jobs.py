@@ -2,27 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from derrick.functions.exact import significant
-from derrick.functions.scalars import new_id
+from derrick.functions.scalars import date_part, from_epoch, new_id
 from derrick.operators import models
 from derrick.operators.aggregate import daily_sum
 from derrick.operators.forecast import forecast_saved
 from derrick.operators.split import split_by_share
+from derrick.operators.window import latest_per_key
 from derrick.plans import jobs, oracle
 from derrick.plans.oracle import over
 from derrick.plans.queries_tables import STORED, as_doubles
 from derrick.plans.registry import query
 from derrick.plans.wells import SEQUENCE, clean_wells, production, raw_view, read_table
-from derrick.schema import NUMERICS, RAW_WELL, TARGETS
-from derrick.session import shared_folder
+from derrick.schema import KEY, NUMERICS, OBJECTS, RAW_WELL, TARGETS, VERSION
+from derrick.session import cut_lineage, shared_folder
 from derrick.sinks.export import land_csv
 from derrick.sinks.runs import param_rows
 from derrick.sinks.upsert import read_table as stored_table
-from derrick.sinks.upsert import upsert
+from derrick.sinks.totals import daily_avg_of, daily_sum_of
+from derrick.sinks.upsert import upsert, upsert_together
 from derrick.streaming.files import file_stream, read_daily, stream_daily, stream_upsert, write_daily
 
 
@@ -116,6 +120,36 @@ def k3_stored(spark, folder):
     return as_doubles(stored_table(spark, warehouse, "pwell_data").select(*STORED), NUMERICS)
 
 
+def _by_month(table: str, where: str = "TRUE") -> str:
+    return f"SELECT strftime(DAYTIME, '%Y-%m') AS MONTH, COUNT(*) AS n_rows, SUM(ROUND(BORE_GAS_VOL * 1e3)) / 1e3 AS gas FROM {table} WHERE {where} GROUP BY 1"
+
+
+@query(
+    "k15_two_states",
+    over(
+        "clean",
+        extra=f"half AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY DAYTIME, WELL_BORE_CODE ORDER BY {oracle.ORDER}) AS rn FROM clean WHERE l_orderkey % 2 = 0) z WHERE rn = 1), "
+        f"whole AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY DAYTIME, WELL_BORE_CODE ORDER BY {oracle.ORDER}) AS rn FROM clean) z WHERE rn = 1)",
+        body=f"SELECT 1 AS state, 'pwell_data' AS stored, * FROM ({_by_month('half')}) UNION ALL SELECT 2, 'pwell_data', * FROM ({_by_month('whole')}) "
+        f"UNION ALL SELECT 1, 'objects', MONTH, n_rows, NULL FROM ({_by_month('half')}) UNION ALL SELECT 2, 'objects', MONTH, n_rows, NULL FROM ({_by_month('whole')})",
+    ),
+)
+def k15(spark, folder):
+    """Two loads of two tables, half the orders and then all; both states of the warehouse are read after the second."""
+    warehouse = scratch(spark)
+    rows = clean_wells(raw_view(spark, folder))
+    for part in (rows.filter(F.col("l_orderkey") % 2 == 0), rows):
+        frames = {"objects": part.select(*OBJECTS.fieldNames(), *SEQUENCE), "pwell_data": part.select(*STORED, *SEQUENCE)}
+        upsert_together(spark, warehouse, frames, SEQUENCE)
+    parts = []
+    for state in (1, 2):
+        for name in ("pwell_data", "objects"):
+            gas = F.sum("BORE_GAS_VOL" if name == "pwell_data" else F.lit(None)).cast("double")
+            months = stored_table(spark, warehouse, name, state).groupBy("MONTH").agg(F.count("*").alias("n_rows"), gas.alias("gas"))
+            parts.append(months.select(F.lit(state).alias("state"), F.lit(name).alias("stored"), "MONTH", "n_rows", "gas"))
+    return reduce(DataFrame.unionAll, parts)
+
+
 @query("x2_etl_job")
 def x2(spark, folder):
     base = scratch(spark)
@@ -187,6 +221,46 @@ def t2(spark, folder):
     return as_doubles(stored_table(spark, base, "pwell_data").select(*STORED), NUMERICS)
 
 
+BACKLOG = 3
+
+
+@query(
+    "t1_t2_backlog",
+    over(
+        "clean",
+        extra=f"newest AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY DAYTIME, WELL_BORE_CODE ORDER BY l_orderkey % {BACKLOG} DESC, {oracle.ORDER}) AS rn FROM clean) z WHERE rn = 1)",
+        body=f"SELECT {', '.join(STORED)} FROM newest",
+    ),
+)
+def t1_t2(spark, folder):
+    """Three waiting drops with common keys, taken newest first, then all of them again oldest first: the newest drop's rows stay."""
+    base = scratch(spark)
+    raw = raw_view(spark, folder)
+    for k in range(BACKLOG):
+        rows = latest_per_key(raw.filter(F.col("l_orderkey") % BACKLOG == k), ["DATEPRD", "WELL_BORE_CODE"], SEQUENCE)
+        land_csv(rows.select(*RAW_WELL.fieldNames()), f"{base}/drop/{k}")
+    prepare = lambda batch: jobs.load_frames(jobs.clean_rows(jobs.with_line(batch)), (VERSION,))["pwell_data"]
+    for state, newest_first in (("down", True), ("up", False)):
+        stream = file_stream(spark, f"{base}/drop/*", RAW_WELL, per_batch=4, newest_first=newest_first)
+        stream_upsert(stream, base, "pwell_data", f"{base}/{state}", prepare).awaitTermination()
+    return as_doubles(stored_table(spark, base, "pwell_data").select(*STORED), NUMERICS)
+
+
+@query("t3_t4_corrected_totals", over("daily_sum", "daily_avg", body="SELECT s.DAYTIME, s.OIL_VOL, s.GAS_VOL, s.WAT_VOL, a.OIL_VOL AS oil_mean, a.ON_STREAM_HRS AS hours_mean, a.AVG_WHP_P AS pressure_mean FROM daily_sum s JOIN daily_avg a ON a.DAYTIME = CAST(epoch(s.DAYTIME) AS BIGINT)"))
+def t3_corrected(spark, folder):
+    """Daily totals over two loads: the second corrects a third of the rows, some of which had a value too many or too few."""
+    warehouse = scratch(spark)
+    rows = cut_lineage(production(spark, folder))
+    wrong = F.pmod(F.crc32(F.concat_ws("/", *KEY)), F.lit(3)) == 0
+    spoilt = {"BORE_OIL_VOL": F.col("BORE_OIL_VOL") + 100, "BORE_GAS_VOL": F.lit(None), "ON_STREAM_HRS": F.coalesce("ON_STREAM_HRS", F.lit(7))}
+    first = rows.withColumns({c: F.when(wrong, value).otherwise(F.col(c)).cast(rows.schema[c].dataType) for c, value in spoilt.items()})
+    for load in (first, rows.filter(wrong)):
+        upsert(spark, warehouse, "pwell_data", load.select(*STORED))
+    totals = stored_table(spark, warehouse, "daily_totals")
+    means = daily_avg_of(totals).select("DAYTIME", F.col("OIL_VOL").alias("oil_mean"), F.col("ON_STREAM_HRS").alias("hours_mean"), F.col("AVG_WHP_P").alias("pressure_mean"))
+    return daily_sum_of(totals).join(means.withColumn("DAYTIME", date_part(from_epoch(F.col("DAYTIME")))), "DAYTIME")
+
+
 @query(
     "t3_stream_daily",
     "SELECT CAST(ts AS DATE) AS DAYTIME, event_type, COUNT(value) AS row_count, "

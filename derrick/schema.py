@@ -67,6 +67,27 @@ PWELL_DATA = _struct(
     ("FLOW_KIND", _text),
 )
 
+# Sums and counts per day, kept beside ``pwell_data``.
+DAILY_TOTALS = _struct(
+    ("DAYTIME", _day),
+    ("n_rows", T.LongType()),
+    *[(c, T.DecimalType(38, READING_SCALE)) for c in READINGS],
+    *[(c, T.DecimalType(38, VOLUME_SCALE)) for c in VOLUMES],
+    *[(f"{c}_n", T.LongType()) for c in NUMERICS],
+)
+
+# Where a row comes from: its drop, the file, the part of the file and the line. Fields are compared in this order.
+VERSION = "_version"
+VERSION_TYPE = T.StructType(
+    [
+        T.StructField("drop_time", T.TimestampType()),
+        T.StructField("file_time", T.TimestampType()),
+        T.StructField("file", T.StringType()),
+        T.StructField("part", T.LongType()),
+        T.StructField("line", T.LongType()),
+    ]
+)
+
 MODEL_AI = _struct(
     ("id_model", _text),
     ("model_type", _text),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -35,8 +38,8 @@ def empty_files(spark: SparkSession, path: str) -> list[str]:
     return found
 
 
-def remove_staging(spark: SparkSession, path: str) -> None:
-    """Drop a staging folder the library has written itself."""
+def remove_own(spark: SparkSession, path: str) -> None:
+    """Drop a file or folder that the library has written itself."""
     system, target = _path(spark, path)
     system.delete(target, True)
 
@@ -49,17 +52,39 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(target) if s.isDirectory())
 
 
-def mark(spark: SparkSession, path: str) -> None:
-    """Create an empty file."""
+def files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the plain files at a path; none if it doesn't exist."""
     system, target = _path(spark, path)
-    system.create(target, False).close()
+    if not system.exists(target):
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(target) if s.isFile())
 
 
-def replace_folder(spark: SparkSession, source: str, target: str) -> None:
-    """Move a staged folder into the place of a stored one."""
-    system, old = _path(spark, target)
-    _, new = _path(spark, source)
-    system.mkdirs(old.getParent())
-    system.delete(old, True)
-    if not system.rename(new, old):
-        raise OSError(f"cannot move '{source}' to '{target}'")
+def read_text(spark: SparkSession, path: str) -> str:
+    system, target = _path(spark, path)
+    stream = system.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish_text(spark: SparkSession, text: str, path: str) -> bool:
+    """Write a small file and give it its name by one rename; False if the name is taken already."""
+    system, target = _path(spark, path)
+    draft = f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4()}"
+    _, hidden = _path(spark, draft)
+    stream = system.create(hidden, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    context, gateway = spark.sparkContext, spark.sparkContext._gateway
+    rename = gateway.jvm.org.apache.hadoop.fs.Options.Rename
+    where = gateway.jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), context._jsc.hadoopConfiguration())
+    try:
+        where.rename(system.makeQualified(hidden), system.makeQualified(target), gateway.new_array(rename, 0))
+    except Py4JJavaError as error:
+        system.delete(hidden, False)
+        if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    return True

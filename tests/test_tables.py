@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from derrick.operators import relate
-from derrick.schema import MODEL_AI
-from derrick.sinks import export, runs, upsert
+from derrick.schema import MODEL_AI, VERSION, VERSION_TYPE
+from derrick.sinks import export, runs, snapshots, upsert
 
 DAY = dt.date(2020, 1, 1)
 
@@ -49,7 +49,7 @@ def test_stored_upsert_touches_only_its_partitions(spark, tmp_path):
     jan, feb = dt.date(2020, 1, 5), dt.date(2020, 2, 5)
     rows = spark.createDataFrame([(jan, "w", "f"), (feb, "w", "f")], "DAYTIME date, WELL_BORE_CODE string, FLOW_KIND string")
     upsert.upsert(spark, home, "pwell_data", rows)
-    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "pwell_data" / "MONTH=2020-01").iterdir()}
+    before = snapshots.snapshot(spark, home).tables["pwell_data"]["MONTH=2020-01"]
     late = spark.createDataFrame(
         [(feb, "w", "g", 1), (feb, "w", "h", 2), (feb, "x", "i", 1)],
         "DAYTIME date, WELL_BORE_CODE string, FLOW_KIND string, seq int",
@@ -58,7 +58,8 @@ def test_stored_upsert_touches_only_its_partitions(spark, tmp_path):
     upsert.upsert(spark, home, "pwell_data", late, ["seq"])  # a replay changes nothing
     got = upsert.read_table(spark, home, "pwell_data").select("DAYTIME", "WELL_BORE_CODE", "FLOW_KIND").collect()
     assert sorted(tuple(r) for r in got) == [(jan, "w", "f"), (feb, "w", "h"), (feb, "x", "i")]
-    assert before == {p: p.stat().st_mtime_ns for p in (tmp_path / "pwell_data" / "MONTH=2020-01").iterdir()}
+    assert snapshots.snapshot(spark, home).tables["pwell_data"]["MONTH=2020-01"] == before
+    assert len(list((tmp_path / "pwell_data").glob("LOAD=*/MONTH=2020-01"))) == 1
 
 
 def test_nothing_is_published_when_one_table_cannot_be_staged(spark, tmp_path):
@@ -69,13 +70,17 @@ def test_nothing_is_published_when_one_table_cannot_be_staged(spark, tmp_path):
     assert upsert.read_table(spark, str(tmp_path), "objects").count() == 0
 
 
-def test_publication_can_be_repeated(spark, tmp_path):
+def test_staged_rows_are_unseen_until_their_manifest(spark, tmp_path):
+    home = str(tmp_path)
     rows = predictions(spark, [("m", DAY, 1.0, 2.0)])
-    staged = upsert.stage(spark, str(tmp_path), "model_ai", rows)
-    assert upsert.read_table(spark, str(tmp_path), "model_ai").count() == 0
-    upsert.publish(spark, staged)
-    upsert.upsert(spark, str(tmp_path), "model_ai", rows)
-    assert upsert.read_table(spark, str(tmp_path), "model_ai").count() == 1
+    staged = upsert.stage(spark, home, "model_ai", rows)
+    assert upsert.read_table(spark, home, "model_ai").count() == 0
+    state = snapshots.publish(spark, home, snapshots.Snapshot(), {s.name: dict.fromkeys(s.partitions, s.load) for s in staged})
+    upsert.upsert(spark, home, "model_ai", rows)
+    assert upsert.read_table(spark, home, "model_ai").count() == 1
+    with pytest.raises(snapshots.Conflict):
+        snapshots.publish(spark, home, snapshots.Snapshot(), {})
+    assert [n for n in snapshots.numbers(spark, home)] == [state.number, state.number + 1]
 
 
 def test_run_log(spark, tmp_path):
@@ -116,25 +121,82 @@ def test_several_updates_of_a_key_need_a_sequence(spark):
     assert sorted(map(tuple, merged.collect())) == [(1, "c"), (2, "d")]
 
 
-def test_a_broken_publication_is_finished_by_the_next_load(spark, tmp_path, monkeypatch):
-    home = str(tmp_path)
-    rows = spark.createDataFrame([(DAY, "w")], "DAYTIME date, WELL_BORE_CODE string")
-    real, calls = upsert.publish, []
+def wells(spark, rows):
+    """day, well, flow kind, oil volume, and the second and line that the row comes from."""
+    given = [(*r[:3], None if r[3] is None else float(r[3]), *r[4:]) for r in rows]
+    frame = spark.createDataFrame(given, "DAYTIME date, WELL_BORE_CODE string, FLOW_KIND string, BORE_OIL_VOL double, t long, line long")
+    time = F.timestamp_seconds("t")
+    return frame.withColumn(VERSION, F.struct(time, time, F.concat(F.lit("f"), "t"), F.lit(0), "line").cast(VERSION_TYPE)).drop("t", "line")
+
 
-    def broken(session, staged):
-        calls.append(staged.name)
-        if len(calls) == 2:
+def test_a_load_that_breaks_leaves_the_old_state(spark, tmp_path, monkeypatch):
+    home = str(tmp_path)
+    feb = dt.date(2020, 2, 1)
+    both = lambda kind, n: wells(spark, [(DAY, "w", kind, n, 1, 1), (feb, "w", kind, n, 1, 2)])
+    upsert.upsert_together(spark, home, {"objects": both("a", 1), "pwell_data": both("a", 1)})
+    real, calls = upsert._write, []
+
+    def broken(rows, session, warehouse, name, load):
+        calls.append(name)
+        if len(calls) == 2:  # one partition of the table gets written, then the load is lost
+            real(rows.filter("MONTH = '2020-01'"), session, warehouse, name, load)
             raise OSError("lost")
-        real(session, staged)
+        return real(rows, session, warehouse, name, load)
 
-    monkeypatch.setattr(upsert, "publish", broken)
+    monkeypatch.setattr(upsert, "_write", broken)
     with pytest.raises(OSError, match="lost"):
-        upsert.upsert_together(spark, home, {"objects": rows, "pwell_data": rows})
-    monkeypatch.setattr(upsert, "publish", real)
-    assert upsert.read_table(spark, home, "objects").count() == 1
-    assert upsert.read_table(spark, home, "pwell_data").count() == 0
-    assert len(upsert.recover(spark, home)) == 1 and upsert.recover(spark, home) == []
-    assert upsert.read_table(spark, home, "pwell_data").count() == 1
+        upsert.upsert_together(spark, home, {"objects": both("b", 2), "pwell_data": both("b", 2)})
+    monkeypatch.setattr(upsert, "_write", real)
+    assert calls == ["objects", "pwell_data"] and snapshots.numbers(spark, home) == [1]
+    kinds = lambda number=None: {r.FLOW_KIND for r in upsert.read_table(spark, home, "pwell_data", number).collect()}
+    assert kinds() == {"a"} and upsert.read_table(spark, home, "objects").count() == 2
+    upsert.upsert_together(spark, home, {"objects": both("b", 2), "pwell_data": both("b", 2)})
+    assert kinds() == {"b"} and kinds(1) == {"a"}
+    assert len(snapshots.expire(spark, home, keep=1)) == 6 and kinds() == {"b"}
+    with pytest.raises(ValueError, match="no state 1"):
+        kinds(1)
+
+
+def test_a_load_published_meanwhile_is_merged_with(spark, tmp_path, monkeypatch):
+    home = str(tmp_path)
+    feb = dt.date(2020, 2, 1)
+    upsert.upsert(spark, home, "pwell_data", wells(spark, [(DAY, "w", "a", 1, 1, 1)]))
+    real, others = snapshots.publish, []
+    for rows in ([(feb, "x", "other", 5, 2, 1)], [(DAY, "x", "other", 7, 2, 1)]):
+
+        def late(session, warehouse, state, changes, rows=rows):
+            if rows and rows not in others:
+                others.append(rows)
+                monkeypatch.setattr(snapshots, "publish", real)
+                upsert.upsert(session, warehouse, "pwell_data", wells(session, rows))
+                monkeypatch.setattr(snapshots, "publish", late)
+            return real(session, warehouse, state, changes)
+
+        monkeypatch.setattr(snapshots, "publish", late)
+        upsert.upsert(spark, home, "pwell_data", wells(spark, [(DAY, "w", "b", 2, 3, 1)]))
+    monkeypatch.setattr(snapshots, "publish", real)
+    got = {(r.DAYTIME, r.WELL_BORE_CODE): r.FLOW_KIND for r in upsert.read_table(spark, home, "pwell_data").collect()}
+    assert got == {(DAY, "w"): "b", (feb, "x"): "other", (DAY, "x"): "other"}
+    total = {r.DAYTIME: (r.n_rows, float(r.BORE_OIL_VOL)) for r in upsert.read_table(spark, home, "daily_totals").collect()}
+    assert total == {DAY: (2, 9.0), feb: (1, 5.0)}
+
+
+def test_loads_commute_and_totals_follow_them(spark, tmp_path):
+    mar = dt.date(2020, 3, 1)
+    loads = [
+        [(DAY, "w", "old", 1, 10, 1), (DAY, "w", "old", 2, 10, 2), (mar, "w", "old", 3, 10, 3)],
+        [(DAY, "w", "mid", 20, 20, 1), (DAY, "x", "mid", 30, 20, 2), (DAY, "y", "mid", None, 20, 3)],
+        [(DAY, "w", "new", None, 30, 2), (DAY, "w", "new", 200, 30, 1), (DAY, "y", "new", 7, 30, 3)],
+    ]
+    want = {(DAY, "w"): ("new", None), (DAY, "x"): ("mid", 30.0), (DAY, "y"): ("new", 7.0), (mar, "w"): ("old", 3.0)}
+    for n, order in enumerate([(0, 1, 2), (2, 0, 1, 2)]):
+        home = str(tmp_path / str(n))
+        for k in order:
+            upsert.upsert(spark, home, "pwell_data", wells(spark, loads[k]))
+        rows = upsert.read_table(spark, home, "pwell_data").collect()
+        assert {(r.DAYTIME, r.WELL_BORE_CODE): (r.FLOW_KIND, r.BORE_OIL_VOL and float(r.BORE_OIL_VOL)) for r in rows} == want
+        totals = {r.DAYTIME: (r.n_rows, float(r.BORE_OIL_VOL), r.BORE_OIL_VOL_n, r.BORE_GAS_VOL_n) for r in upsert.read_table(spark, home, "daily_totals").collect()}
+        assert totals == {DAY: (3, 37.0, 2, 0), mar: (1, 3.0, 1, 0)}
 
 
 def test_an_unnamed_folder_is_an_error_on_a_cluster(spark):
