@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import itertools
 import json
+import math
 import random
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -16,20 +17,21 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from derrick.functions.scalars import date_part, from_epoch, new_id
-from derrick.operators import metrics
+from derrick.operators import forest, metrics
 from derrick.operators.aggregate import daily_avg, daily_sum
 from derrick.operators.clean import feature_columns
+from derrick.operators.forest_stage import ForestStage
 from derrick.operators.impute import knn_impute
 from derrick.operators.scale import minmax_stats, standard_stats
 from derrick.operators.split import fold_parts, split_by_head, split_by_share, with_folds
 from derrick.operators.window import lagged
 from derrick.schema import MODEL_AI, MODEL_PARAMS, READINGS, TARGETS
-from derrick.session import cut_lineage
+from derrick.session import cut_lineage, shared_folder
 
 SEED = 42
 SEARCH_DRAWS = 5
@@ -44,10 +46,11 @@ class ModelSpec:
     name: str
     model_type: str
     algo: str
-    build: Callable[..., Estimator]
+    build: Callable[..., Estimator | dict]
     grid: dict[str, list]
     lookback: int | None = None
     scaling: str = "standard"
+    shared: bool = False  # all fits of a search in the same passes (``operators.forest``)
 
 
 # The parameter grids. Spark limits trees to depth 30, which
@@ -72,8 +75,10 @@ def _linear(**params) -> Estimator:
     return LinearRegression(solver="normal", regParam=0.0, **params)
 
 
-def _forest(**params) -> Estimator:
-    return RandomForestRegressor(seed=SEED, **params)
+def _forest(numTrees, maxDepth, minInstancesPerNode, featureSubsetStrategy, bootstrap=True) -> dict:
+    """Parameters of the shared trainer; the share of features is rounded up."""
+    share = (lambda n: n**0.5) if featureSubsetStrategy == "sqrt" else (lambda n: n * float(featureSubsetStrategy))
+    return {"trees": numTrees, "depth": maxDepth, "least": minInstancesPerNode, "features": lambda n: math.ceil(share(n)), "bootstrap": bootstrap}
 
 
 def _boosted(**params) -> Estimator:
@@ -84,7 +89,7 @@ MODELS = {
     spec.name: spec
     for spec in (
         ModelSpec("linear", "LR", "LinearRegression", _linear, LINEAR_GRID),
-        ModelSpec("forest", "RF", "RF_MultiOutput", _forest, FOREST_GRID),
+        ModelSpec("forest", "RF", "RF_MultiOutput", _forest, FOREST_GRID, shared=True),
         ModelSpec("boosted", "GBT", "BoostedTrees", _boosted, BOOSTED_GRID),
         ModelSpec("lookback20", "LB20", "LookbackLinear20", _linear, LINEAR_GRID, 20, "minmax"),
         ModelSpec("lookback30", "LB30", "LookbackLinear30", _linear, LINEAR_GRID, 30, "standard"),
@@ -184,6 +189,45 @@ def cv_scores(
         return list(pool.map(score, tasks))
 
 
+def _fits(spec: ModelSpec, candidates: dict[int, dict], folds: list[int], targets: list[str], n_features: int, **more) -> list[forest.Fit]:
+    found = []
+    for (number, params), fold, target in itertools.product(candidates.items(), folds, range(len(targets))):
+        built = spec.build(**params)
+        found.append(forest.Fit(number, fold, target, **(built | {"features": built["features"](n_features)}), **more))
+    return found
+
+
+def binned_rows(folds: DataFrame, held: DataFrame, inputs: list[str], targets: list[str], k: int = FOLDS) -> tuple[DataFrame, list[list[float]]]:
+    """Rows of the shared trainer, and the cut points: training rows with their fold as block, held-out ones as block ``k``."""
+    cuts = forest.bin_cuts(folds, inputs)
+    columns = [F.unix_date("DAYTIME").cast("long").alias("row"), *inputs, F.array(*[F.col(_scaled(t)) for t in targets]).alias("y")]
+    blocks = folds.select(*columns, F.coalesce("test_fold", F.lit(-1)).cast("int").alias("block"))
+    both = blocks.unionByName(held.select(*columns, F.lit(k).alias("block")))
+    return cut_lineage(forest.with_bins(both, inputs, cuts).select("row", "bins", "y", "block")), cuts
+
+
+def shared_scores(rows: DataFrame, spec: ModelSpec, candidates: list[dict], targets: list[str], n_features: int, k: int = FOLDS) -> list[dict]:
+    """Error of every candidate on every fold, from forests grown in the same passes."""
+    fits = _fits(spec, dict(enumerate(candidates)), list(range(k)), targets, n_features)
+    found, _ = forest.grow(rows, fits, n_features)
+    target = F.element_at(F.array(*[F.lit(f.target) for f in fits]), F.col("fit") + 1)
+    error = found.join(rows.select("row", "y"), "row").groupBy("fit").agg(F.avg((F.get("y", target) - F.col("prediction")) ** 2).alias("mse"))
+    mse = {r["fit"]: r["mse"] for r in error.collect()}
+    trials = []
+    for candidate, fold in itertools.product(range(len(candidates)), range(k)):
+        own = [mse[i] for i, f in enumerate(fits) if (f.candidate, f.fold) == (candidate, fold)]
+        trials.append({"candidate": candidate, "fold": fold, "mse": float(sum(own) / len(own))})
+    return trials
+
+
+def shared_model(rows: DataFrame, cuts: list[list[float]], spec: ModelSpec, params: dict, inputs: list[str], targets: list[str], k: int = FOLDS) -> ForestStage:
+    """The forests of all targets on all training rows, as a stage."""
+    _, nodes = forest.grow(rows, _fits(spec, {0: params}, [k], targets, len(inputs), keep_nodes=True), len(inputs))
+    path = f"{shared_folder(rows.sparkSession)}/derrick-{new_id()}"
+    nodes.write.parquet(path)
+    return ForestStage(inputCols=inputs, outputCols=[f"{_scaled(t)}_pred" for t in targets], cuts=json.dumps(cuts), nodesPath=path)
+
+
 def best_candidate(trials: list[dict]) -> tuple[int, float]:
     """Candidate with the smallest mean error over the folds; the first of equals."""
     errors: dict[int, list[float]] = {}
@@ -218,9 +262,16 @@ def train_frame(
     folds = with_folds(assemble.transform(scale.transform(frame.filter(~F.col("is_test")))).drop("rn", "n"), FOLDS)
     folds = folds.persist()
     candidates = draw_params(grid or spec.grid, draws)
-    trials = cv_scores(spec, folds, candidates, targets)
-    chosen, error = best_candidate(trials)
-    models = fit_targets(spec, candidates[chosen], folds, targets)
+    if spec.shared:
+        inputs = [_scaled(c) for c in features]
+        rows, cuts = binned_rows(folds, scale.transform(frame.filter("is_test")), inputs, targets)
+        trials = shared_scores(rows, spec, candidates, targets, len(inputs))
+        chosen, error = best_candidate(trials)
+        models = [shared_model(rows, cuts, spec, candidates[chosen], inputs, targets)]
+    else:
+        trials = cv_scores(spec, folds, candidates, targets)
+        chosen, error = best_candidate(trials)
+        models = fit_targets(spec, candidates[chosen], folds, targets)
     pipeline = PipelineModel([scale, assemble, *models, _inverse_stage(targets, stats)])
     scored = cut_lineage(
         pipeline.transform(frame.filter("is_test")).drop("features", *[c for c in features if c not in targets])

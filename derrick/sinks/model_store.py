@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
+from derrick.operators.forest_stage import ForestStage
 from derrick.operators.models import Fitted
 from derrick.sinks.upsert import read_table, upsert
 from derrick.sources.tables import require_row
@@ -13,6 +14,9 @@ from derrick.sources.tables import require_row
 def save_model(spark: SparkSession, warehouse: str, fitted: Fitted) -> str:
     """Write the pipeline (scaling included) and its parameter row."""
     path = f"{warehouse}/models/{fitted.spec.model_type}_{fitted.id_model}"
+    for stage in fitted.pipeline.stages:
+        if isinstance(stage, ForestStage):
+            stage.keep(spark, f"{path}_nodes")
     fitted.pipeline.write().overwrite().save(path)
     upsert(spark, warehouse, "model_params", fitted.params_row(spark, path))
     return path
