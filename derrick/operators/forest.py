@@ -49,6 +49,8 @@ class Fit:
     features: int  # tried at each node
     bootstrap: bool = True
     keep_nodes: bool = False
+    step: float | None = None  # of boosted trees (``operators.boosting``)
+    rate: float = 1.0  # rows drawn for a boosted tree
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -85,6 +87,10 @@ class Plan:
     def __len__(self) -> int:
         return len(self.fit)
 
+    def tried(self, tree: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """Features to try at nodes of the trees."""
+        return chosen_features(self.within[tree], node, self.n_features, self.most_chosen)
+
     def weights(self, row: np.ndarray, block: np.ndarray, trees: np.ndarray) -> np.ndarray:
         """Weight of each row in each tree; rows that a tree doesn't train on have none."""
         drawn = np.where(self.sampled[trees], bootstrap_weights(row, self.within[trees]), 1)
@@ -134,7 +140,7 @@ def with_bins(df: DataFrame, features: list[str], cuts: list[list[float]]) -> Da
     return df.withColumn("bins", F.unhex(F.concat(*[one(c, p) for c, p in zip(features, cuts, strict=True)])))
 
 
-def _bytes_of(column: pa.Array, width: int) -> np.ndarray:
+def bytes_of(column: pa.Array, width: int) -> np.ndarray:
     column = column.cast(pa.large_binary())
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
@@ -146,23 +152,23 @@ def _as_binary(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
 
 
-def _row_blocks(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def row_blocks(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """row, bins, targets and block of some rows at a time."""
     for batch in batches:
         for at in range(0, batch.num_rows, ROWS_AT_ONCE):
             some = batch.slice(at, ROWS_AT_ONCE)
             y = np.array(some.column("y").to_pylist(), np.float64)
-            yield some.column("row").to_numpy(), _bytes_of(some.column("bins"), width), y, some.column("block").to_numpy()
+            yield some.column("row").to_numpy(), bytes_of(some.column("bins"), width), y, some.column("block").to_numpy()
 
 
 def _histograms(rows: DataFrame, plan: Plan, splits: Splits, frontier: np.ndarray, level: int) -> DataFrame:
     """Weights and weighted targets of the nodes of ``frontier`` (sorted keys) by feature and bin."""
     tree, node = frontier >> 32, frontier & 0xFFFFFFFF
-    tried = chosen_features(plan.within[tree], node, plan.n_features, plan.most_chosen)
+    tried = plan.tried(tree, node)
     busy = np.unique(tree)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, bins, y, block in _row_blocks(batches, plan.n_features):
+        for row, bins, y, block in row_blocks(batches, plan.n_features):
             for at in range(0, len(busy), TREES_AT_ONCE):
                 trees = busy[at : at + TREES_AT_ONCE]
                 weight = plan.weights(row, block, trees)
@@ -201,12 +207,12 @@ def _best_splits(histograms: DataFrame) -> DataFrame:
     return scored.groupBy("tree", "node").agg(best.alias("best")).select("tree", "node", "best.*")
 
 
-def _large_nodes(rows: DataFrame, plan: Plan) -> Splits:
-    """Split all nodes of more than ``LOCAL_ROWS`` rows, a level at a time."""
+def large_nodes(rows: DataFrame, plan: Plan, more_than: float) -> Splits:
+    """Split all nodes of more than so many rows, a level at a time."""
     sizes = {r.block: r["count"] for r in rows.groupBy("block").count().collect()}
     n_train = np.array([sum(n for block, n in sizes.items() if block < f.fold) for f in plan.fits], np.int64)[plan.fit]
     splits = Splits(*[np.zeros(0, np.int64)] * 3)
-    frontier = _key(np.flatnonzero((n_train > LOCAL_ROWS) & (plan.depth > 0)), np.int64(1))
+    frontier = _key(np.flatnonzero((n_train > more_than) & (plan.depth > 0)), np.int64(1))
     level = 0
     while len(frontier):
         found = _best_splits(_histograms(rows, plan, splits, frontier, level)).toPandas()
@@ -216,7 +222,7 @@ def _large_nodes(rows: DataFrame, plan: Plan) -> Splits:
         order = np.argsort(key)
         splits = Splits(key[order], *[np.concatenate([old, found[c].to_numpy(np.int64)])[order] for old, c in ((splits.feature, "feature"), (splits.bin, "bin"))])
         deeper = plan.depth[tree] > level
-        frontier = np.sort(np.concatenate([_key(tree, 2 * node + side)[deeper & (found[w].to_numpy() > LOCAL_ROWS)] for side, w in ((0, "wl"), (1, "wr"))]))
+        frontier = np.sort(np.concatenate([_key(tree, 2 * node + side)[deeper & (found[w].to_numpy() > more_than)] for side, w in ((0, "wl"), (1, "wr"))]))
     return splits
 
 
@@ -225,7 +231,7 @@ def _pairs(rows: DataFrame, plan: Plan, splits: Splits) -> DataFrame:
     levels = int(np.log2((splits.key & 0xFFFFFFFF).max(initial=1))) + 1 if len(splits.key) else 0
 
     def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, bins, y, block in _row_blocks(batches, plan.n_features):
+        for row, bins, y, block in row_blocks(batches, plan.n_features):
             for at in range(0, len(plan), TREES_AT_ONCE):
                 trees = np.arange(at, min(at + TREES_AT_ONCE, len(plan)))
                 fold = plan.fold[trees][None, :]
@@ -257,7 +263,7 @@ def grow_subtrees(tree: np.ndarray, node: np.ndarray, w: np.ndarray, y: np.ndarr
         total = np.bincount(place, weight, len(of))
         sums = np.bincount(place, wy, len(of))
         mean = np.where(total > 0, sums / np.maximum(total, 1), above)
-        tried = chosen_features(plan.within[of], heap, plan.n_features, k)
+        tried = plan.tried(of, heap)
         depth = np.floor(np.log2(heap)).astype(np.int64)
         able = (total >= 2 * plan.least[of]) & (depth < plan.depth[of])
         use = able[place]
@@ -277,7 +283,7 @@ def grow_subtrees(tree: np.ndarray, node: np.ndarray, w: np.ndarray, y: np.ndarr
         rank = np.where(gain == top[:, None, None], tried[:, :, None] * n_bins + np.arange(n_bins), plan.n_features * n_bins)
         best = rank.reshape(len(of), -1).min(axis=1)
         feature, cut = np.where(split, best // n_bins, -1), np.where(split, best % n_bins, -1)
-        made.append(pd.DataFrame({"tree": of, "node": heap, "feature": feature, "bin": cut, "value": mean}))
+        made.append((of, heap, feature, cut, mean))
         ends = ~split[at]
         value[rows[ends]] = mean[at[ends]]
         rows, at = rows[~ends], at[~ends]
@@ -286,7 +292,8 @@ def grow_subtrees(tree: np.ndarray, node: np.ndarray, w: np.ndarray, y: np.ndarr
         at = 2 * number[at] + right
         of, above = np.repeat(of[split], 2), np.repeat(mean[split], 2)
         heap = np.repeat(2 * heap[split], 2) + np.tile([0, 1], int(split.sum()))
-    return value, pd.concat(made) if made else pd.DataFrame()
+    names = ("tree", "node", "feature", "bin", "value")
+    return value, pd.DataFrame({name: np.concatenate(parts) for name, parts in zip(names, zip(*made))})
 
 
 def grow(rows: DataFrame, fits: list[Fit], n_features: int) -> tuple[DataFrame, DataFrame]:
@@ -296,7 +303,7 @@ def grow(rows: DataFrame, fits: list[Fit], n_features: int) -> tuple[DataFrame,
     plan = Plan(fits, n_features)
     width = shuffle_width(rows.sparkSession)
     rows = rows.repartition(width, "row")
-    splits = _large_nodes(rows, plan)
+    splits = large_nodes(rows, plan, LOCAL_ROWS)
 
     def emit(value: np.ndarray, tree: np.ndarray, row: np.ndarray, w: np.ndarray, nodes: pd.DataFrame) -> pa.RecordBatch:
         scored = w == 0
@@ -322,7 +329,7 @@ def grow(rows: DataFrame, fits: list[Fit], n_features: int) -> tuple[DataFrame,
 
         def done(table: pa.Table) -> pa.RecordBatch:
             tree, node, row, w, y = (table.column(c).to_numpy() for c in ("tree", "node", "row", "w", "y"))
-            bins = _bytes_of(table.column("bins").combine_chunks(), plan.n_features)
+            bins = bytes_of(table.column("bins").combine_chunks(), plan.n_features)
             value, nodes = grow_subtrees(tree, node, w, y, bins, plan)
             return emit(value, tree, row, w, nodes)
 

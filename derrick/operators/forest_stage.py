@@ -52,10 +52,12 @@ class ForestStage(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     inputCols = Param(Params._dummy(), "inputCols", "features in the order of their numbers", TypeConverters.toListString)
     outputCols = Param(Params._dummy(), "outputCols", "a prediction column per target", TypeConverters.toListString)
     cuts = Param(Params._dummy(), "cuts", "cut points of the features, as JSON", TypeConverters.toString)
+    bases = Param(Params._dummy(), "bases", "of boosted trees: what the trees' sum is added to, per target; empty: the trees' mean", TypeConverters.toListFloat)
     nodesPath = Param(Params._dummy(), "nodesPath", "table of the nodes", TypeConverters.toString)
 
     def __init__(self, **given) -> None:
         super().__init__()
+        self._setDefault(bases=[])
         self._set(**given)
 
     def keep(self, spark, path: str) -> None:
@@ -72,12 +74,17 @@ class ForestStage(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         outputs = self.getOrDefault("outputCols")
         sent = spark.sparkContext.broadcast([flat(nodes[nodes.fit == i]) for i in range(len(outputs))])
 
+        bases = self.getOrDefault("bases")
+
         @pandas_udf("array<double>")
         def all_targets(bins: pd.Series) -> pd.Series:
             if not len(bins):
                 return pd.Series([], dtype=object)
             rows = np.frombuffer(b"".join(bins), np.uint8).reshape(len(bins), -1)
-            return pd.Series(list(np.column_stack([predict(f, rows) for f in sent.value])))
+            found = [predict(f, rows) for f in sent.value]
+            if bases:
+                found = [base + len(f["roots"]) * mean for base, f, mean in zip(bases, sent.value, found, strict=True)]
+            return pd.Series(list(np.column_stack(found)))
 
         binned = with_bins(dataset, self.getOrDefault("inputCols"), json.loads(self.getOrDefault("cuts")))
         found = binned.withColumn("_found", all_targets("bins")).drop("bins")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from derrick.functions.scalars import date_part, from_epoch, new_id
-from derrick.operators import forest, metrics
+from derrick.operators import boosting, forest, metrics
 from derrick.operators.aggregate import daily_avg, daily_sum
 from derrick.operators.clean import feature_columns
 from derrick.operators.forest_stage import ForestStage
@@ -81,6 +81,12 @@ def _forest(numTrees, maxDepth, minInstancesPerNode, featureSubsetStrategy, boot
     return {"trees": numTrees, "depth": maxDepth, "least": minInstancesPerNode, "features": lambda n: math.ceil(share(n)), "bootstrap": bootstrap}
 
 
+def _rounds(maxIter, maxDepth, stepSize, subsamplingRate=1.0, featureSubsetStrategy="all", minInstancesPerNode=1) -> dict:
+    """Parameters of the shared booster: its bag of columns is drawn for each tree."""
+    share = 1.0 if featureSubsetStrategy == "all" else float(featureSubsetStrategy)
+    return {"trees": maxIter, "depth": maxDepth, "least": minInstancesPerNode, "features": lambda n: math.ceil(share * n), "step": stepSize, "rate": subsamplingRate}
+
+
 def _boosted(**params) -> Estimator:
     return GBTRegressor(lossType="squared", seed=SEED, **params)
 
@@ -90,7 +96,7 @@ MODELS = {
     for spec in (
         ModelSpec("linear", "LR", "LinearRegression", _linear, LINEAR_GRID),
         ModelSpec("forest", "RF", "RF_MultiOutput", _forest, FOREST_GRID, shared=True),
-        ModelSpec("boosted", "GBT", "BoostedTrees", _boosted, BOOSTED_GRID),
+        ModelSpec("boosted", "GBT", "BoostedTrees", _rounds, BOOSTED_GRID, shared=True),
         ModelSpec("lookback20", "LB20", "LookbackLinear20", _linear, LINEAR_GRID, 20, "minmax"),
         ModelSpec("lookback30", "LB30", "LookbackLinear30", _linear, LINEAR_GRID, 30, "standard"),
     )
@@ -209,7 +215,8 @@ def binned_rows(folds: DataFrame, held: DataFrame, inputs: list[str], targets: l
 def shared_scores(rows: DataFrame, spec: ModelSpec, candidates: list[dict], targets: list[str], n_features: int, k: int = FOLDS) -> list[dict]:
     """Error of every candidate on every fold, from forests grown in the same passes."""
     fits = _fits(spec, dict(enumerate(candidates)), list(range(k)), targets, n_features)
-    found, _ = forest.grow(rows, fits, n_features)
+    grow = boosting.grow if fits[0].step else forest.grow
+    found = grow(rows, fits, n_features)[0]
     target = F.element_at(F.array(*[F.lit(f.target) for f in fits]), F.col("fit") + 1)
     error = found.join(rows.select("row", "y"), "row").groupBy("fit").agg(F.avg((F.get("y", target) - F.col("prediction")) ** 2).alias("mse"))
     mse = {r["fit"]: r["mse"] for r in error.collect()}
@@ -221,11 +228,16 @@ def shared_scores(rows: DataFrame, spec: ModelSpec, candidates: list[dict], targ
 
 
 def shared_model(rows: DataFrame, cuts: list[list[float]], spec: ModelSpec, params: dict, inputs: list[str], targets: list[str], k: int = FOLDS) -> ForestStage:
-    """The forests of all targets on all training rows, as a stage."""
-    _, nodes = forest.grow(rows, _fits(spec, {0: params}, [k], targets, len(inputs), keep_nodes=True), len(inputs))
+    """The trees of all targets on all training rows, as a stage."""
+    fits = _fits(spec, {0: params}, [k], targets, len(inputs), keep_nodes=True)
+    given = {"inputCols": inputs, "outputCols": [f"{_scaled(t)}_pred" for t in targets], "cuts": json.dumps(cuts)}
+    if fits[0].step:
+        _, nodes, given["bases"] = boosting.grow(rows, fits, len(inputs))
+    else:
+        _, nodes = forest.grow(rows, fits, len(inputs))
     path = f"{shared_folder(rows.sparkSession)}/derrick-{new_id()}"
     nodes.write.parquet(path)
-    return ForestStage(inputCols=inputs, outputCols=[f"{_scaled(t)}_pred" for t in targets], cuts=json.dumps(cuts), nodesPath=path)
+    return ForestStage(**given, nodesPath=path)
 
 
 def best_candidate(trials: list[dict]) -> tuple[int, float]:

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from derrick.operators import forest, forest_stage
+from derrick.operators import boosting, forest, forest_stage
 from derrick.session import cut_lineage
 
 N, WIDE = 240, 5
@@ -96,3 +96,57 @@ def test_a_forest_does_not_depend_on_the_partitions(spark, monkeypatch):
         predictions, _ = forest.grow(table(spark, x, y, parts)[0], FITS[:2], WIDE)
         results.append({(r.fit, r.row): round(r.prediction, 9) for r in predictions.collect()})
     assert results[0] == results[1] and len(results[0]) == 120
+
+
+BOOSTED = [
+    forest.Fit(0, 2, 0, 3, 3, 1, 4, keep_nodes=True, step=0.3, rate=0.8),
+    forest.Fit(1, 1, 1, 2, 2, 3, 5, keep_nodes=True, step=0.1),
+]
+
+
+def brute_boost(bins, y, block, fit):
+    """Rounds of plain recursive trees on the residuals."""
+    margin = np.full(N, y[block < fit.fold, fit.target].mean())
+    for number in range(fit.trees):
+        drawn = boosting.drawn_rows(np.arange(N), number, np.array([fit.rate]))[:, 0] & (block < fit.fold)
+        bag = forest.chosen_features(np.array([number]), np.array([0]), WIDE, fit.features)[0]
+
+        def grow(rows, depth, left=y[:, fit.target] - margin, drawn=drawn, bag=bag):
+            used = rows[drawn[rows]]
+            best = (forest.LEAST_GAIN, None)
+            for f in sorted(bag.tolist()) if depth < fit.depth else ():
+                for b in range(forest.BINS):
+                    low, high = left[used[bins[used, f] <= b]], left[used[bins[used, f] > b]]
+                    if min(len(low), len(high)) >= fit.least:
+                        gain = round(low.sum() ** 2 / len(low) + high.sum() ** 2 / len(high) - left[used].sum() ** 2 / len(used), 9)
+                        if gain > best[0]:
+                            best = (gain, (f, b))
+            if not best[1]:
+                margin[rows] += fit.step * left[used].mean()
+                return
+            f, b = best[1]
+            grow(rows[bins[rows, f] <= b], depth + 1)
+            grow(rows[bins[rows, f] > b], depth + 1)
+
+        grow(np.arange(N), 0)
+    return margin
+
+
+@pytest.mark.parametrize("local", [10**6, 10])
+def test_boosting_equals_plain_rounds(spark, monkeypatch, local):
+    """Fits in tasks of their own, and rounds by passes over all rows."""
+    monkeypatch.setattr(boosting, "LOCAL_ROWS", local)
+    x, y = data()
+    rows, cuts = table(spark, x, y)
+    predictions, nodes, bases = boosting.grow(rows, BOOSTED, WIDE)
+    bins = np.array([[sum(c < v for c in cuts[k]) for k, v in enumerate(line)] for line in x], np.uint8)
+    block = np.arange(N) // 60 - 1
+    found, got = nodes.toPandas(), predictions.toPandas()
+    for number, fit in enumerate(BOOSTED):
+        want = brute_boost(bins, y, block, fit)
+        mine = got[got.fit == number].sort_values("row")
+        assert mine.row.tolist() == np.flatnonzero(block == fit.fold).tolist()
+        assert np.allclose(mine.prediction, want[mine.row])
+        flat = forest_stage.flat(found[found.fit == number])
+        assert len(flat["roots"]) == fit.trees
+        assert np.allclose(bases[number] + fit.trees * forest_stage.predict(flat, bins), want)
