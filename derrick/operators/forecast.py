@@ -6,12 +6,14 @@ import json
 from functools import reduce
 from operator import add
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from derrick.functions.scalars import following_days
+from derrick.operators.forest_stage import ForestStage
 from derrick.operators.window import tail
 from derrick.schema import MODEL_AI, MODEL_PF, TARGETS
 from derrick.session import cut_lineage
@@ -138,6 +140,49 @@ def roll_model(
     )
 
 
+def roll_trees(
+    recent: DataFrame,
+    stage: ForestStage,
+    params: dict[str, str],
+    n_days: int,
+    targets: list[str] = TARGETS,
+    series_cols: list[str] | None = None,
+) -> DataFrame:
+    """Roll look-back trees forward ``n_days`` days in one pass: a task takes some series, and every day of
+    all of them is one walk down the node arrays."""
+    keys = list(series_cols or [])
+    width = len(targets)
+    scaler, cuts = json.loads(params["scaler"]), [np.array(c) for c in json.loads(stage.getOrDefault("cuts"))]
+    # Features are named and ordered by the model; frames hold days oldest first.
+    length = int(params["look_back"])
+    places, offsets, spreads = [], [], []
+    for name in json.loads(params["features"]):
+        base, lag = name.rsplit("_lag", 1)
+        places.append((length - int(lag)) * width + targets.index(base))
+        offsets.append(scaler[base][0])
+        spreads.append(scaler[base][1])
+    offsets, spreads = np.array(offsets), np.array(spreads)
+    back = np.array([scaler[t] for t in targets])
+    forests = stage.on_tasks(recent.sparkSession)
+
+    def roll(batches):
+        for batch in batches:
+            frame = np.array(batch["frame"].tolist(), np.float64).reshape(len(batch), -1)
+            days = []
+            for _ in range(n_days):
+                z = (frame[:, places] - offsets) / spreads
+                bins = np.column_stack([np.searchsorted(c, z[:, i], "left") for i, c in enumerate(cuts)])
+                value = np.column_stack([f(bins) for f in forests()]) * back[:, 1] + back[:, 0]
+                days.append(value)
+                frame = np.concatenate([frame[:, width:], value], axis=1)
+            yield batch[[*keys, "last_day"]].assign(values=list(np.concatenate(days, axis=1)) if len(batch) else [])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in recent.select(*keys, "last_day").schema.fields)
+    rolled = recent.select(*keys, "last_day", "frame").mapInPandas(roll, f"{kinds}, values array<double>")
+    rows = rolled.select(*keys, "values", F.posexplode(following_days(F.col("last_day"), n_days)).alias("step", "DAYTIME"))
+    return rows.select(*keys, "DAYTIME", *[F.get("values", F.col("step") * width + j).alias(t) for j, t in enumerate(targets)])
+
+
 def forecast_saved(
     pipeline: PipelineModel, id_model: str, params: dict[str, str], sums: DataFrame, n_days: int
 ) -> DataFrame:
@@ -147,6 +192,12 @@ def forecast_saved(
         raise ValueError(f"model {id_model} needs the readings of the day and cannot be rolled forward")
     recent = recent_frame(sums, length)
     linear = raw_weights(pipeline, params)
-    rows = roll_linear(recent, *linear, n_days) if linear else roll_model(recent, pipeline, length, n_days)
+    trees = next((s for s in pipeline.stages if isinstance(s, ForestStage)), None)
+    if linear:
+        rows = roll_linear(recent, *linear, n_days)
+    elif trees:
+        rows = roll_trees(recent, trees, params, n_days)
+    else:
+        rows = roll_model(recent, pipeline, length, n_days)
     tagged = rows.withColumns({"id_model": F.lit(id_model), "model_type": F.lit(params["model_type"] + "_FORECAST")})
     return tagged.select(*MODEL_PF.fieldNames())

@@ -64,28 +64,32 @@ class ForestStage(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         spark.read.parquet(self.getOrDefault("nodesPath")).write.mode("overwrite").parquet(path)
         self._set(nodesPath=path)
 
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        spark = dataset.sparkSession
+    def on_tasks(self, spark):
+        """What a task calls to get a function per target, from rows of bins to predictions."""
         table = spark.read.parquet(self.getOrDefault("nodesPath"))
         n_nodes = table.count()
         if n_nodes > MOST_NODES:
             raise ValueError(f"a forest of {n_nodes} nodes is too large to be sent to tasks")
         nodes = table.toPandas()
-        outputs = self.getOrDefault("outputCols")
-        sent = spark.sparkContext.broadcast([flat(nodes[nodes.fit == i]) for i in range(len(outputs))])
-
         bases = self.getOrDefault("bases")
+        sent = spark.sparkContext.broadcast([flat(nodes[nodes.fit == i]) for i in range(len(self.getOrDefault("outputCols")))])
+
+        def functions():
+            one = lambda i, f: lambda bins: bases[i] + len(f["roots"]) * predict(f, bins) if bases else predict(f, bins)
+            return [one(i, f) for i, f in enumerate(sent.value)]
+
+        return functions
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        forests = self.on_tasks(dataset.sparkSession)
 
         @pandas_udf("array<double>")
         def all_targets(bins: pd.Series) -> pd.Series:
             if not len(bins):
                 return pd.Series([], dtype=object)
             rows = np.frombuffer(b"".join(bins), np.uint8).reshape(len(bins), -1)
-            found = [predict(f, rows) for f in sent.value]
-            if bases:
-                found = [base + len(f["roots"]) * mean for base, f, mean in zip(bases, sent.value, found, strict=True)]
-            return pd.Series(list(np.column_stack(found)))
+            return pd.Series(list(np.column_stack([f(rows) for f in forests()])))
 
         binned = with_bins(dataset, self.getOrDefault("inputCols"), json.loads(self.getOrDefault("cuts")))
         found = binned.withColumn("_found", all_targets("bins")).drop("bins")
-        return found.withColumns({c: F.get("_found", F.lit(i)) for i, c in enumerate(outputs)}).drop("_found")
+        return found.withColumns({c: F.get("_found", F.lit(i)) for i, c in enumerate(self.getOrDefault("outputCols"))}).drop("_found")

@@ -12,13 +12,14 @@ from derrick.plans.oracle import over
 from derrick.plans.queries_tables import as_doubles, predictions
 from derrick.plans.registry import query
 from derrick.plans.wells import production, raw_view, read_table
-from derrick.schema import KEY, PWELL_DATA, READING_TYPE, READINGS, VOLUME_TYPE, VOLUMES
+from derrick.schema import KEY, PWELL_DATA, READING_TYPE, READINGS, VOLUME_TYPE, VOLUMES, create_tables
 from derrick.session import shared_folder
 from derrick.sinks.export import export_predictions, land_csv
 from derrick.sinks.runs import append, create_run, metric_rows, prediction_rows
 from derrick.sinks.upsert import read_table as stored_table
 from derrick.sinks.upsert import upsert
-from derrick.sources.files import newest_drop, newest_files, read_file, read_json
+from derrick.sources import storage
+from derrick.sources.files import extract, newest_drop, newest_files, read_file, read_json
 from derrick.sources.tables import scan_path
 
 SHAPE = ["DATEPRD", "WELL_BORE_CODE", "WELL_TYPE", "BORE_OIL_VOL"]
@@ -108,6 +109,38 @@ def s9(spark, folder):
     return as_doubles(scan_path(spark, path, stored.schema), VOLUMES)
 
 
+@query(
+    "s7_empty_file",
+    "SELECT 'filled' AS drop_name, CAST(COUNT(*) AS BIGINT) AS row_count FROM customer UNION ALL SELECT 'with an empty part', NULL",
+)
+def s7(spark, folder):
+    """A drop that reads, and one with a file of no bytes beside the rows, which is refused."""
+    home = _scratch(spark)
+    rows = read_table(spark, folder, "customer").select(F.col("c_custkey").cast("string").alias("c_custkey"), "c_name")
+    counts = []
+    for name in ("filled", "with an empty part"):
+        path = land_csv(rows, f"{home}/{name.replace(' ', '_')}")
+        if name != "filled":
+            storage.publish_text(spark, "", f"{path}/part-99999-empty.csv")
+        found = extract(spark, f"{path}/*.csv")
+        counts.append((name, None if found is None else found.count()))
+    return spark.createDataFrame(counts, "drop_name string, row_count long")
+
+
+@query("k11_created_tables", over("pwell", body=f"SELECT {', '.join([*KEY, *VOLUMES])} FROM pwell"))
+def k11(spark, folder):
+    """All tables created in a database of their own, creating them again changes nothing; rows inserted into one are read back."""
+    database = f"derrick_{new_id().replace('-', '')}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{_scratch(spark)}'")
+    names = create_tables(spark, database)
+    stored = production(spark, folder)
+    columns = [f.name for f in PWELL_DATA.fields]
+    stored.select(*columns).write.insertInto(f"{database}.pwell_data")
+    if create_tables(spark, database) != names or any(spark.table(n).count() for n in names if not n.endswith(".pwell_data")):
+        raise RuntimeError("tables were changed")
+    return as_doubles(spark.table(f"{database}.pwell_data").select(*KEY, *VOLUMES), VOLUMES)
+
+
 @query(
     "k6_stored_params",
     "SELECT 'W-' || CAST(l_suppkey AS VARCHAR) AS id_model, CAST(max(l_partkey) AS VARCHAR) AS top, "

@@ -23,7 +23,8 @@ from derrick.plans.wells import SEQUENCE, clean_wells, production, raw_view, rea
 from derrick.schema import KEY, NUMERICS, OBJECTS, RAW_WELL, TARGETS, VERSION
 from derrick.session import cut_lineage, shared_folder
 from derrick.sinks.export import land_csv
-from derrick.sinks.runs import param_rows
+from derrick.sinks.model_store import load_model, save_model
+from derrick.sinks.runs import append, param_rows
 from derrick.sinks.upsert import read_table as stored_table
 from derrick.sinks.totals import daily_avg_of, daily_sum_of
 from derrick.sinks.upsert import upsert, upsert_together
@@ -41,6 +42,12 @@ def land_raw(spark: SparkSession, folder: str, target: str) -> str:
     return land_csv(raw, target)
 
 
+def land_parts(spark: SparkSession, folder: str, target: str) -> str:
+    """The raw daily rows as six part files, whose order says which line is the last."""
+    raw = raw_view(spark, folder).repartitionByRange(6, *SEQUENCE).sortWithinPartitions(*SEQUENCE)
+    return land_csv(raw.select(*RAW_WELL.fieldNames()), target)
+
+
 # ---------------------------------------------------------------- training
 #
 # The tree families are searched over the library's grids.
@@ -83,8 +90,6 @@ def m15_30(spark, folder):
 
 @query("m17_forecast_saved_model")
 def m17(spark, folder):
-    from derrick.sinks.model_store import load_model, save_model
-
     warehouse = scratch(spark)
     table = production(spark, folder)
     fitted = models.train(table, models.MODELS["lookback20"])
@@ -99,6 +104,27 @@ def k9(spark, folder):
     return param_rows(spark, "run-1", {t: fitted.params for t in TARGETS})
 
 
+@query(
+    "k9_stored_params",
+    over(
+        "daily_sum",
+        body=" UNION ALL ".join(
+            f"SELECT '{t}' AS target, 'days' AS param, CAST(COUNT({t}) AS VARCHAR) AS value FROM daily_sum UNION ALL SELECT '{t}', 'last_day', CAST(MAX(DAYTIME) AS VARCHAR) FROM daily_sum WHERE {t} > 0"
+            for t in TARGETS
+        ),
+    ),
+)
+def k9_stored(spark, folder):
+    """Parameters of two runs appended to a table, those of one run read back."""
+    path = f"{scratch(spark)}/params"
+    facts = [f for t in TARGETS for f in (F.count(t).alias(f"{t}_days"), F.max(F.when(F.col(t) > 0, F.col("DAYTIME"))).alias(f"{t}_last_day"))]
+    row = daily_sum(production(spark, folder)).agg(*facts).first()
+    given = {t: {"days": row[f"{t}_days"], "last_day": row[f"{t}_last_day"]} for t in TARGETS}
+    for run in ("run-1", "run-2"):
+        append(param_rows(spark, run, given), path)
+    return spark.read.parquet(path).filter("run_id = 'run-2'").drop("run_id")
+
+
 # ---------------------------------------------------------------- loads
 
 
@@ -156,8 +182,7 @@ def x2(spark, folder):
 def x2_parts(spark, folder):
     """The load without imputation: six part files, whose order says which line is the last."""
     base = scratch(spark)
-    raw = raw_view(spark, folder).repartitionByRange(6, *SEQUENCE).sortWithinPartitions(*SEQUENCE)
-    land_csv(raw.select(*RAW_WELL.fieldNames()), f"{base}/drop")
+    land_parts(spark, folder, f"{base}/drop")
     result = jobs.run_etl(spark, f"{base}/drop/*.csv", f"{base}/tables", impute=False)
     if not result.ok:
         raise RuntimeError(result.error)
@@ -279,29 +304,79 @@ _TREND_ROWS = (
 )
 
 
+def _trend_frame(sums):
+    return split_by_share(sums).withColumn("DAY", F.unix_date("DAYTIME").cast("double"))
+
+
+def _fit_trend(sums, **grid):
+    return models.train_frame(models.MODELS["linear"], _trend_frame(sums), {"DAY": "DAY"}, TARGETS, grid=grid)
+
+
 def _trend(spark, folder, **grid):
-    frame = split_by_share(daily_sum(production(spark, folder))).withColumn("DAY", F.unix_date("DAYTIME").cast("double"))
-    return models.train_frame(models.MODELS["linear"], frame, {"DAY": "DAY"}, TARGETS, grid=grid)
+    return _fit_trend(daily_sum(production(spark, folder)), **grid)
 
 
-@query(
-    "m10_m11_trend_line",
-    over(
-        "daily_sum",
-        extra=_TREND_ROWS,
-        body="SELECT r.DAYTIME, "
-        + ", ".join(f"ANY_VALUE(r.{t}) AS {t}_test, ROUND(ANY_VALUE(l.{t}_a) + ANY_VALUE(l.{t}_b) * ANY_VALUE(r.x), 5) AS {t}_pred" for t in TARGETS)
-        + " FROM rows r, (SELECT "
-        + ", ".join(f"REGR_INTERCEPT({t}, x) AS {t}_a, REGR_SLOPE({t}, x) AS {t}_b" for t in TARGETS)
-        + " FROM known) l WHERE r.rn > r.n - CAST(CEIL(r.n * 0.2e0) AS BIGINT) GROUP BY r.DAYTIME",
-    ),
+_TREND_LINE = over(
+    "daily_sum",
+    extra=_TREND_ROWS,
+    body="SELECT r.DAYTIME, "
+    + ", ".join(f"ANY_VALUE(r.{t}) AS {t}_test, ROUND(ANY_VALUE(l.{t}_a) + ANY_VALUE(l.{t}_b) * ANY_VALUE(r.x), 5) AS {t}_pred" for t in TARGETS)
+    + " FROM rows r, (SELECT "
+    + ", ".join(f"REGR_INTERCEPT({t}, x) AS {t}_a, REGR_SLOPE({t}, x) AS {t}_b" for t in TARGETS)
+    + " FROM known) l WHERE r.rn > r.n - CAST(CEIL(r.n * 0.2e0) AS BIGINT) GROUP BY r.DAYTIME",
 )
+
+
+@query("m10_m11_trend_line", _TREND_LINE)
 def m11_trend(spark, folder):
     """Three targets on the day: fitted on the first four fifths, predicted for the rest."""
     found = _trend(spark, folder, fitIntercept=[True]).predictions
     return found.select("DAYTIME", *[f"{t}_test" for t in TARGETS], *[F.round(f"{t}_pred", 5).alias(f"{t}_pred") for t in TARGETS])
 
 
+@query("k13_k14_saved_trend_line", _TREND_LINE)
+def k13_trend(spark, folder):
+    """The trend line saved, found again by its id, and applied to the days after its training."""
+    warehouse = scratch(spark)
+    sums = cut_lineage(daily_sum(production(spark, folder)))
+    fitted = _fit_trend(sums, fitIntercept=[True])
+    save_model(spark, warehouse, fitted)
+    pipeline, _ = load_model(spark, warehouse, fitted.id_model)
+    found = pipeline.transform(_trend_frame(sums).filter("is_test"))
+    return found.select("DAYTIME", *[F.col(t).alias(f"{t}_test") for t in TARGETS], *[F.round(f"{t}_pred", 5).alias(f"{t}_pred") for t in TARGETS])
+
+
+@query("x1_x3_x4_trend_tick", _TREND_LINE)
+def x3_trend(spark, folder):
+    """A tick over a drop: load, two models of the registry, of which one fails and one is the trend line, and the export read back."""
+    base = scratch(spark)
+    land_parts(spark, folder, f"{base}/drop/lineitem")
+
+    def trainer(series, spec):
+        if spec.name != "linear":
+            raise RuntimeError("this family fails")
+        return _fit_trend(series.sums, fitIntercept=[True])
+
+    tick = jobs.run_once(spark, f"{base}/drop", f"{base}/tables", f"{base}/out", ["forest", "linear"], trainer, impute=False)
+    if not tick.etl.ok or [r.ok for r in tick.models] != [False, True]:
+        raise RuntimeError(f"{tick}")
+    export = spark.read.option("header", True).csv(tick.export)
+    numbers = [F.col(f"{t}_test").cast("double") for t in TARGETS] + [F.round(F.col(f"{t}_pred").cast("double"), 5).alias(f"{t}_pred") for t in TARGETS]
+    return export.select(F.to_date("DAYTIME").alias("DAYTIME"), *numbers)
+
+
+@query("m17_forest_forecast")
+def m17_forest(spark, folder):
+    """Boosted look-back trees, saved, loaded and rolled forward 90 days in one pass."""
+    warehouse = scratch(spark)
+    sums = cut_lineage(daily_sum(production(spark, folder)))
+    spec = models.ModelSpec("boosted20", "GBT20", "BoostedLookback20", models.MODELS["boosted"].build, LOOKBACK_TREES, 20, shared=True)
+    fitted = models.train_lookback(sums, spec)
+    save_model(spark, warehouse, fitted)
+    pipeline, params = load_model(spark, warehouse, fitted.id_model)
+    return forecast_saved(pipeline, fitted.id_model, params, sums, 90).drop("id_model")
+
+
 _fold_error = " + ".join(
     f"(SELECT AVG(POWER(e.{t} - (l.a + l.b * e.x), 2)) FROM fold e, (SELECT REGR_INTERCEPT({t}, x) AS a, REGR_SLOPE({t}, x) AS b "
     f"FROM fold WHERE COALESCE(f, -1) < g.g) l WHERE e.f = g.g) / (SELECT VAR_POP({t}) FROM known)"
@@ -324,6 +399,7 @@ def m9_trend(spark, folder):
     return scores.withColumn("mse", significant("mse", 6))
 
 
+LOOKBACK_TREES = {"maxIter": [100], "maxDepth": [3], "stepSize": [0.05, 0.1]}
 STUMP = {"numTrees": [1], "maxDepth": [1], "minInstancesPerNode": [5], "featureSubsetStrategy": ["1.0"], "bootstrap": [False]}
 
 

@@ -9,7 +9,7 @@ from derrick.plans import catalog
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
-HEAVY = ("m1_knn_impute_rows", "m9", "m10", "m12", "m13", "m15", "m17", "k6", "x2", "x3")
+HEAVY = ("m1_knn_impute_rows", "k13", "x1", "m9", "m10", "m12", "m13", "m15", "m17", "k6", "x2", "x3")
 
 
 @pytest.fixture(scope="module")

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from derrick.operators import forecast, metrics, models
+from derrick.operators.forest_stage import ForestStage
 from derrick.plans import jobs
 from derrick.schema import MODEL_AI, READINGS, TARGETS
 from derrick.sinks import model_store, upsert
@@ -117,6 +118,26 @@ def test_boosted_lookback_model_rolls_forward(spark):
     assert rows.count() == 7 and rows.filter("OIL_VOL IS NULL").count() == 0
 
 
+@pytest.mark.parametrize("family, grid", [("forest", {"numTrees": [5], "maxDepth": [4], "minInstancesPerNode": [2], "featureSubsetStrategy": ["0.5"]}), ("boosted", {"maxIter": [6], "maxDepth": [3], "stepSize": [0.3]})])
+def test_saved_trees_roll_forward_in_one_pass(spark, tmp_path, family, grid):
+    sums, _ = wave(spark, 60)
+    spec = models.ModelSpec("t", "T", "LookbackTrees", models.MODELS[family].build, grid, 2, "minmax", shared=True)
+    fitted = models.train_lookback(sums, spec)
+    model_store.save_model(spark, str(tmp_path), fitted)
+    pipeline, params = model_store.load_model(spark, str(tmp_path), fitted.id_model)
+    rows = forecast.forecast_saved(pipeline, fitted.id_model, params, sums, 5).orderBy("DAYTIME").collect()
+    stepped = forecast.roll_model(forecast.recent_frame(sums, 2), pipeline, 2, 5, cut_every=1).orderBy("DAYTIME").collect()
+    assert len(rows) == 5 and [r["DAYTIME"] for r in rows] == [r["DAYTIME"] for r in stepped]
+    for r, want in zip(rows, stepped):
+        assert [r[t] for t in TARGETS] == pytest.approx([want[t] for t in TARGETS], rel=1e-12)
+    # Several series at once give what each gives alone.
+    two = sums.withColumn("WELL", F.lit("a")).unionByName(sums.withColumn("WELL", F.lit("b")).withColumn("OIL_VOL", F.col("OIL_VOL") / 2))
+    stage = next(s for s in pipeline.stages if isinstance(s, ForestStage))
+    both = forecast.roll_trees(forecast.recent_frame(two, 2, series_cols=["WELL"]), stage, params, 5, series_cols=["WELL"])
+    mine = both.filter("WELL = 'a'").orderBy("DAYTIME").collect()
+    assert both.count() == 10 and [[r[t] for t in TARGETS] for r in mine] == [[r[t] for t in TARGETS] for r in rows]
+
+
 def production(spark, n):
     rows = [
         (START + dt.timedelta(i), w, *[float((i * (j + 3) + k) % 17) for j in range(9)], float(i % 13 + k), float(i % 7 + k), float(i % 5))
