@@ -8,8 +8,9 @@ share decides.
 
 Grams are ``GRAM`` bytes of the letters of a text (ASCII and Latin-1 letters in
 lower case, every other byte from 0x80 as it is, everything else a space). A language keeps the
-grams that make up at least ``LEAST_SHARE`` of its learning text, so the filter is
-bounded whatever the input. The profiles are learned from the first
+grams that occur ``LEAST_COUNT`` times and make up at least ``LEAST_SHARE`` of its learning text, and its
+``LEAST_GRAMS`` most frequent ones in any case, so the filter is
+bounded whatever the input and no language with a letter is lost. The profiles are learned from the first
 ``SAMPLE`` documents of each language by the hash of their id.
 
 Cases: a text that is null or has no letter is ``und`` with score 0; a text
@@ -34,6 +35,7 @@ from derrick.session import cut_lineage
 
 GRAM = 4
 SAMPLE = 4_000
+LEAST_GRAMS = 500  # of every language, be they ever so rare
 LEAST_SHARE = 1e-5
 LEAST_COUNT = 3
 SLOTS_PER_GRAM = 16
@@ -155,7 +157,10 @@ def learn(docs: DataFrame, limit: int = SAMPLE) -> LanguageFilter:
     counted = sample.select("lang", "text").mapInArrow(_counted, "lang string, gram long, n long")
     totals = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     per_lang = Window.partitionBy("lang")
-    kept = totals.withColumn("total", F.sum("n").over(per_lang)).where((F.col("n") >= LEAST_COUNT) & (F.col("n") >= F.col("total") * LEAST_SHARE))
+    place = F.row_number().over(per_lang.orderBy(F.desc("n"), "gram"))
+    frequent = (F.col("n") >= LEAST_COUNT) & (F.col("n") >= F.col("total") * LEAST_SHARE)
+    # However little text a language has, its best grams are learned.
+    kept = totals.withColumns({"total": F.sum("n").over(per_lang), "place": place}).where(frequent | (F.col("place") <= LEAST_GRAMS))
     rows = kept.toArrow().sort_by([("lang", "ascending"), ("gram", "ascending")])
     names = sorted(set(rows.column("lang").to_pylist()))
     lang = rows.column("lang").to_numpy(zero_copy_only=False)

@@ -166,11 +166,11 @@ def judge(texts: pa.Array, forest: Forest) -> dict[str, np.ndarray]:
     stats = measure(texts)
     failed = (stats["n_words"] < MIN_WORDS) | (100 * stats["n_repeat_words"] > MAX_REPEAT * stats["n_words"])
     score = forest.score(np.column_stack([stats[name] for name in FEATURES]))
-    return {name: stats[name] for name in COUNTS} | {"base_failed": failed, "score": score, "kept": ~failed & (score >= KEEP)}
+    return {name: stats[name] for name in COUNTS} | {"base_failed": failed, "kept": ~failed & (score >= KEEP), "score": score}
 
 
 def verdicts(docs: DataFrame, forest: Forest) -> DataFrame:
-    """doc_id, base counts, base_failed, score and kept of every document."""
+    """doc_id, base counts, base_failed, kept and score of every document."""
 
     def judged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,7 +178,7 @@ def verdicts(docs: DataFrame, forest: Forest) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, found.values())], names=["doc_id", *found])
 
     counts = ", ".join(f"{name} long" for name in COUNTS)
-    return docs.select("doc_id", "text").mapInArrow(judged, f"doc_id long, {counts}, base_failed boolean, score double, kept boolean")
+    return docs.select("doc_id", "text").mapInArrow(judged, f"doc_id long, {counts}, base_failed boolean, kept boolean, score double")
 
 
 def keep_passing(docs: DataFrame, forest: Forest) -> DataFrame:

@@ -1,10 +1,12 @@
+import zlib
+
 import numpy as np
 import pyarrow as pa
 
 import __spark_entry__ as contract
 from derrick.llm import language_bits
 from derrick.llm.chunks import chunks
-from tests.llm.cases import TEXTS, empty, frame
+from tests.llm.cases import SCHEMA, TEXTS, empty, frame, plain
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -49,3 +51,16 @@ def test_edge_cases(spark):
     none = empty(spark)
     assert language_bits.identify(none, language_bits.learn(none)).count() == 0
     assert {r.lang_pred for r in language_bits.identify(docs, language_bits.learn(none)).collect()} == {"und"}
+
+
+def test_a_language_of_one_document_is_learned(spark):
+    """Rare languages keep their best grams: their own text is told, and the others aren't drawn to them."""
+    row = lambda i, text, lang: (i, text, lang, "s", 1, 0.5, 1, 2, 3, 4, "d", 5, 6)
+    odd = "zwyx qovv krrzt blimf quxxo vennf zwyx okkrat zimbul frotz kwengl"
+    own = next(i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 4 != 2)
+    rows = [row(k, plain(80, k + 1), "en") for k in range(60)] + [row(own, odd, "xx"), row(2000, odd + " zimbul frotz", None)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model = language_bits.learn(docs)
+    assert model.names == ["en", "xx"]
+    found = {r.doc_id: r.lang_pred for r in language_bits.identify(docs, model).collect()}
+    assert found == {r[0]: "xx" if odd in r[1] else "en" for r in rows}
