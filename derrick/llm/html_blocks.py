@@ -9,8 +9,8 @@ two is kept. Regions that never reach ``SURGE`` characters are kept only if no r
 Where a page marks its article, all lines inside it that aren't boilerplate are the text, whatever their length and links.
 
 Cases: null and empty pages give the empty text; a page without any text outside
-boilerplate gives the empty text. Text of any length is kept whole. Broken markup ends tags at
-the next ``<`` or the end of the page. Equal rows stay equal rows; only page_id,
+boilerplate gives the empty text. Text of any length is kept whole. A tag ends at the first ``>`` outside a quoted
+value, or with the page. Equal rows stay equal rows; only page_id,
 url and html are read.
 """
 
@@ -57,7 +57,10 @@ NOISE = frozenset(
 PAGE_NOISE = frozenset("header masthead banner".split())
 # A name like "with-sidebar" says what stands next to an element, not what it is.
 ABOUT_OTHERS = frozenset("has with no without".split())
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)", re.S)
+# A quote opens a value only behind "="; elsewhere it is part of a name. A quote that is never closed counts as an ordinary character.
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>]++)"""
+_ATTRIBUTE = rf"(?:=[^\s/>=]*+|[^\s/>=]++)(?:\s*+=\s*+{_VALUE}?+)?+"
+TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]++|{_ATTRIBUTE})*+)(?:>|\Z)", re.S)
 MARKS = re.compile(r"""\b(class|id|role|aria-hidden|style|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 WORDS = re.compile(r"[A-Za-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")

@@ -75,3 +75,23 @@ def test_edge_rows(spark):
     found = html_blocks.extracted(df).collect()
     assert len(found) == 6 and {r.page_id: r.n_chars for r in found if r.page_id in (1, 3, 5)} == {1: 0, 3: 249_999, 5: 3}
     assert html_blocks.extracted(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<article><p title="5" tall">First para.</p><p>Second para</p><p class="x">Third para</p></article>', "First para.\nSecond para\nThird para"),
+        ("<article><div data-x=it's>First</div><p>don't lose Second</p><p>Third</p></article>", "First\ndon't lose Second\nThird"),
+        ('<article><p title="a > b" class = "x">One</p><p a=\'"\' b="\'">Two</p><p =x /y>Three</p><br/><p data-x=a/b>Four</p></article>', "One\nTwo\nThree\nFour"),
+        ('<article><p>One</p><p title="never closed>Two</p><p>Three</p></article>', "One\nTwo\nThree"),
+        ("<article><p>One</p><p title=>Two</p><p title = >Three</p></article><p class", "One\nTwo\nThree"),
+    ],
+)
+def test_quotes_in_tags(page, text):
+    """A quote opens a value only behind an equals sign; one that is never closed hides nothing."""
+    assert main_text(page) == text
+
+
+def test_broken_tags_take_linear_time():
+    for page in ("<p " + "a='" * 50_000, "<p " + "= " * 100_000, '<p x="' * 30_000, "<a b" * 50_000, "<p " + "x = " * 60_000):
+        main_text(page)
