@@ -44,5 +44,5 @@ def test_stages_take_edge_cases(spark):
 
 def test_all_queries_are_registered():
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert jaccard_forest.THRESHOLD == (4, 5)
