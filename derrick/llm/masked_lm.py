@@ -8,11 +8,16 @@ the second given the first, so that a prediction costs twice ``SIDE`` outputs. A
 also has its share of the id's words, from the counts of all words, which stay a distributed
 table and are met by a join; ``UNSEEN`` counts are kept for words that the corpus doesn't have.
 
-What the model knows comes from all documents: word counts over every word, and
-weights trained in every task on every position of each of its documents, dealt over the rounds
-(each position is a target in one of them), which are averaged over the tasks in proportion to what they saw.
-Averages are summed in Spark as a stream per block of weights; only one set of weights,
-whose size doesn't depend on the input, reaches the driver.
+Texts are split and hashed twice: for the counts and to write every document's ids, two bytes a word. Rounds and scores read
+the ids. Words that occur at least once in ``LISTED`` words of the corpus, of which there can be no more than ``LISTED``, have their counts in the tasks;
+only the others go through the join.
+
+Training takes every position of every document, dealt over the rounds (each position is a target in one of them).
+Documents are dealt by a hash of doc_id and ids to slices of about ``SLICE`` words, sorted in each: so what a slice learns
+doesn't depend on how the rows were stored, on the number of tasks or of executors. The number of slices grows with the words of the corpus. A slice's
+weights are averaged with the others' in proportion to what it saw; averages are summed in Spark as a stream per block of
+weights; only one set of weights, whose size doesn't depend on the input, reaches the driver. Rows that agree in doc_id and text are in one slice; they stream
+through it, so many of them cost time but no memory.
 
 Cases: null, empty and word-less texts have 0 words, log_prob 0 and no mean. Neighbours beyond
 the ends of a document count as blanks. Equal texts get equal scores. A corpus without words gives the
@@ -22,14 +27,14 @@ untrained network. Only doc_id and text are read.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from derrick.llm.chunks import Chunk, chunks, mix
+from derrick.llm.chunks import Chunk, chunks, mix, sums_between
 from derrick.session import cut_lineage
 
 SIDE = 64
@@ -43,24 +48,34 @@ RATE = 0.1
 BLOCK = 4096  # weights per row when averages are summed
 BLANK = WORDS
 UNSEEN = 0.5
+LISTED = 1 << 20  # words with a larger share of the corpus than 1 / LISTED are listed with their counts
+SLICE = 1 << 22  # words that one copy of the weights is trained on, about
+MOST_TASKS = 1 << 16  # beyond this many slices a task trains several, one after the other
+POINT = 2**28  # logarithms are summed as whole multiples of 1 / POINT, so that no order changes a sum
 
 
 @dataclass
 class Vocabulary:
-    """Sorted hashes of the frequent words, the id of each, and how often each id occurs."""
+    """Sorted hashes of the listed words, the id and the count of each, and how often each id occurs."""
 
     hashes: np.ndarray
     ids: np.ndarray
     counts: np.ndarray
+    own: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
     def __call__(self, chunk: Chunk) -> np.ndarray:
         """The id of every word of a chunk."""
+        return self.find(chunk)[0]
+
+    def find(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
+        """The id of every word of a chunk, and its place in the list (-1: not listed)."""
         hashes = chunk.word_hashes
         rare = rare_id(chunk)
         if not len(self.hashes):
-            return rare
+            return rare, np.full(len(rare), -1)
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, self.ids[at], rare)
+        listed = self.hashes[at] == hashes
+        return np.where(listed, self.ids[at], rare), np.where(listed, at, -1)
 
 
 def rare_id(chunk: Chunk) -> np.ndarray:
@@ -95,15 +110,16 @@ def vocabulary(docs: DataFrame, words: DataFrame | None = None) -> Vocabulary:
     """The most frequent of all words get ids of their own; ``words`` are the counts if they are known."""
     words = word_counts(docs) if words is None else words
     top = words.orderBy(F.desc("n"), "word").limit(WORDS - RARE).toArrow()
-    frequent = top.column("word").to_numpy().view(np.uint64)
     counts = np.zeros(WORDS)
-    counts[: len(frequent)] = top.column("n").to_numpy()
+    counts[: top.num_rows] = top.column("n").to_numpy()
     rest = words.groupBy("rare").agg(F.sum("n").alias("n")).toArrow()
     counts[rest.column("rare").to_numpy()] = rest.column("n").to_numpy()
     # The frequent words' own counts are in their shared id as well; they are taken out again.
     np.subtract.at(counts, top.column("rare").to_numpy(), top.column("n").to_numpy())
-    order = np.argsort(frequent)
-    return Vocabulary(frequent[order], order, counts)
+    often = words.filter(F.col("n") >= max(1, int(counts.sum()) // LISTED + 1)).toArrow() if counts.sum() >= LISTED else top
+    listed, which = np.unique(np.concatenate([t.column("word").to_numpy().view(np.uint64) for t in (top, often)]), return_index=True)
+    ids, own = (np.concatenate(x)[which] for x in ((np.arange(top.num_rows), often.column("rare").to_numpy()), (top.column("n").to_numpy(), often.column("n").to_numpy())))
+    return Vocabulary(listed, ids.astype(np.int64), counts, own)
 
 
 class Network:
@@ -141,43 +157,51 @@ class Network:
         net.w["second_bias"][:] = np.log(table / table.sum(1, keepdims=True))
         return net
 
-    def _forward(self, context: np.ndarray, target: np.ndarray):
-        w = self.w
-        seen = np.take(w["embed"], context, axis=0)  # n x places x width
-        hidden = np.tanh(np.einsum("npw,pw->nw", seen, w["place"]))
-        high, low = target // SIDE, target % SIDE
-        first = _log_softmax(hidden @ w["first"] + w["first_bias"])
-        inner = np.tanh(hidden + w["given"][high])
-        second = _log_softmax(inner @ w["second"] + w["second_bias"][high])
-        return seen, hidden, inner, first, second, high, low
+    def _placed(self) -> np.ndarray:
+        """What each word adds to the hidden layer from each place, as one table of places x words."""
+        return (self.w["embed"] * self.w["place"][:, None, :]).reshape(-1, WIDTH)
+
+    def _hidden(self, placed: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        out = placed[keys[:, 0]]
+        for k in range(1, keys.shape[1]):
+            out += placed[keys[:, k]]
+        return np.tanh(out, out=out)
 
     def log_probs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        out = np.empty(len(target))
+        out, w, placed = np.empty(len(target)), self.w, self._placed()
         for at in range(0, len(target), BATCH):
-            *_, first, second, high, low = self._forward(context[at : at + BATCH], target[at : at + BATCH])
-            line = np.arange(len(high))
-            out[at : at + BATCH] = first[line, high] + second[line, low]
+            high, low = np.divmod(target[at : at + BATCH], SIDE)
+            hidden = self._hidden(placed, context[at : at + BATCH] + PLACES)
+            inner = hidden + w["given"][high]
+            first, second = hidden @ w["first"] + w["first_bias"], np.tanh(inner, out=inner) @ w["second"]
+            second += w["second_bias"][high]
+            out[at : at + BATCH] = _log_softmax_at(first, high) + _log_softmax_at(second, low)
         return out
 
     def step(self, context: np.ndarray, target: np.ndarray, scale: dict[str, np.ndarray], rate: float = RATE) -> None:
         """One step of gradient ascent on the mean log-probability, scaled by past squares."""
         w, n = self.w, len(target)
-        seen, hidden, inner, first, second, high, low = self._forward(context, target)
-        line = np.arange(n)
-        d_second = -np.exp(second)
-        d_second[line, low] += 1
-        d_first = -np.exp(first)
-        d_first[line, high] += 1
+        # In the order of the first digit, so that what belongs to one of its values is a run.
+        order = np.argsort((target // SIDE).astype(np.uint8), kind="stable")
+        keys, (high, low) = context[order] + PLACES, np.divmod(target[order], SIDE)
+        firsts = _firsts(high)
+        present, size = high[firsts], np.diff(np.append(firsts, n))
+        hidden = self._hidden(self._placed(), keys)
+        d_first = _error(hidden @ w["first"] + w["first_bias"], high)
+        inner = hidden + np.repeat(w["given"][present], size, axis=0)
+        np.tanh(inner, out=inner)
+        d_second = _error(inner @ w["second"] + np.repeat(w["second_bias"][present], size, axis=0), low)
         d_inner = (d_second @ w["second"].T) * (1 - inner**2)
         d_hidden = (d_inner + d_first @ w["first"].T) * (1 - hidden**2)
+        placed = _sum_by_key(d_hidden, keys)
         grads = {
             "second": inner.T @ d_second,
-            "second_bias": _sum_rows(d_second, high, SIDE),
-            "given": _sum_rows(d_inner, high, SIDE),
+            "second_bias": _sum_runs(d_second, firsts, present, SIDE),
+            "given": _sum_runs(d_inner, firsts, present, SIDE),
             "first": hidden.T @ d_first,
             "first_bias": d_first.sum(0),
-            "place": np.einsum("npw,nw->pw", seen, d_hidden),
-            "embed": _sum_rows((d_hidden[:, None, :] * w["place"]).reshape(-1, WIDTH), context.ravel(), WORDS + 1),
+            "place": (placed * w["embed"]).sum(1),
+            "embed": (placed * w["place"][:, None, :]).sum(0),
         }
         grads["embed"][BLANK] = 0
         for name, g in grads.items():
@@ -186,23 +210,47 @@ class Network:
             w[name] += rate * g / (np.sqrt(scale[name]) + 1e-4)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    x -= np.log(np.exp(x).sum(1, keepdims=True))
+PLACES = np.arange(2 * REACH) * (WORDS + 1)
+
+
+def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Logarithm of the softmax of each row at one of its columns; overwrites ``x``."""
+    x -= x.max(1, keepdims=True)
+    hit = x[np.arange(len(x)), at]
+    return hit - np.log(np.exp(x, out=x) @ np.ones(SIDE, np.float32))
+
+
+def _error(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """One at the hit column of each row, less the softmax of the row; overwrites ``x``."""
+    x -= x.max(1, keepdims=True)
+    np.exp(x, out=x)
+    x /= -(x @ np.ones((SIDE, 1), np.float32))
+    x[np.arange(len(x)), at] += 1
     return x
 
 
-def _sum_rows(rows: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
-    """Sum of the rows per index (below 2^16), by a radix sort."""
-    order = np.argsort(at.astype(np.uint16), kind="stable")
-    ranked = at[order]
-    firsts = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]]) if len(at) else np.zeros(0, int)
+def _firsts(ranked: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values begin."""
+    return np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])) if len(ranked) else np.zeros(0, int)
+
+
+def _sum_runs(rows: np.ndarray, firsts: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     out = np.zeros((n, rows.shape[1]), np.float32)
-    if len(at):
-        out[ranked[firsts]] = np.add.reduceat(rows[order], firsts, axis=0)
+    if len(firsts):
+        out[at] = np.add.reduceat(rows, firsts, axis=0)
     return out
 
 
+def _sum_by_key(rows: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Sum of the rows per place and word, by a radix sort of the keys (below 2^16)."""
+    flat = keys.ravel().astype(np.uint16)
+    order = np.argsort(flat, kind="stable")
+    ranked = flat[order]
+    firsts = _firsts(ranked)
+    n = keys.shape[1] * (WORDS + 1)
+    return _sum_runs(rows[order // keys.shape[1]], firsts, ranked[firsts], n).reshape(keys.shape[1], WORDS + 1, -1)
+
+
 def contexts(ids: np.ndarray, bounds: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Ids of the neighbours of the positions ``at``; blanks beyond the ends of their documents."""
     doc = np.searchsorted(bounds, at, "right") - 1
@@ -215,28 +263,87 @@ def contexts(ids: np.ndarray, bounds: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def _train_once(words: Vocabulary, flat: np.ndarray, round_: int, rounds: int = ROUNDS):
-    """Train a copy of the weights on a task's documents; returns it in blocks, weighted by the examples seen."""
+def _coded(words: Vocabulary):
+    """Ids of every document, two bytes a word, and its shared-id words: what the listed ones add up to, the others one by one."""
+    logs = np.round(np.log(np.maximum(words.own, 1)) * POINT).astype(np.int64)
 
-    def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = Network(flat.copy())
-        scale = {name: np.zeros(shape, np.float32) for name, shape in Network.SHAPES.items()}
-        seen = 0
-        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+    def coded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in chunks(batch.column("text")):
-                ids, bounds = words(chunk), chunk.word_bounds
-                place = np.arange(len(ids)) - np.repeat(bounds[:-1], np.diff(bounds))
-                # Dealt by a hash, as text with a period would give a round one kind of word only.
-                deal = mix((place + np.repeat(np.diff(bounds), np.diff(bounds))).astype(np.uint64))
-                at = np.flatnonzero(deal % np.uint64(rounds) == np.uint64(round_))
-                waiting.append((contexts(ids, bounds, at), ids[at]))
-                if sum(len(t) for _, t in waiting) >= BATCH:
-                    seen += _steps(net, waiting, scale, False)
-        seen += _steps(net, waiting, scale, True)
+                (ids, listed), bounds = words.find(chunk), chunk.word_bounds
+                shared = ids >= WORDS - RARE
+                own = np.zeros(len(ids), np.int64)
+                own[shared & (listed >= 0)] = logs[listed[shared & (listed >= 0)]]
+                at = np.flatnonzero(shared & (listed < 0))
+                doc = np.searchsorted(bounds, at, "right") - 1
+                order = np.lexsort((chunk.word_hashes[at], doc))
+                doc, hashes = doc[order], chunk.word_hashes[at][order]
+                first = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (hashes[1:] != hashes[:-1]))) if len(at) else np.zeros(0, int)
+                cuts = pa.array(np.searchsorted(doc[first], np.arange(chunk.n + 1)), pa.int32())
+                lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (hashes[first].view(np.int64), np.diff(np.append(first, len(at))))]
+                data = pa.py_buffer(ids.astype("<u2").tobytes())
+                packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), chunk.n, [None, pa.py_buffer((bounds * 2).astype(np.int64).tobytes()), data])
+                columns = [batch.column("doc_id").slice(chunk.first, chunk.n), packed.cast(pa.binary()), pa.array(sums_between(own, bounds)), *lists]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "listed", "others", "times"])
+
+    return coded
+
+
+def coded(docs: DataFrame, words: Vocabulary) -> DataFrame:
+    """doc_id, ids, listed, others and times of every document, written once."""
+    schema = "doc_id long, ids binary, listed long, others array<long>, times array<long>"
+    rows = docs.select("doc_id", "text").mapInArrow(_coded(words), schema)
+    return cut_lineage(rows.withColumn("row", F.monotonically_increasing_id()))
+
+
+def _unpacked(column: pa.Array, limit: int = 1 << 18) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """First document, ids and bounds of stretches of about ``limit`` words; a document stays whole."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1] // 2
+    data = np.frombuffer(data, "<u2") if data is not None and data.size else np.zeros(0, "<u2")
+    at = 0
+    while at < len(column):
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
+        yield at, data[offsets[at] : offsets[end]].astype(np.int64), offsets[at : end + 1] - offsets[at]
+        at = end
+
+
+def _train_once(flat: np.ndarray, round_: int, rounds: int = ROUNDS):
+    """Train a copy of the weights on each slice of a task; returns their weighted sum in blocks."""
+
+    def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, seen, own = np.zeros(len(flat)), 0, 0
+        current, net, scale, waiting = None, None, {}, []
+
+        def close() -> None:
+            nonlocal total, seen, own
+            if net is not None:
+                own += _steps(net, waiting, scale, True)
+                total += net.flat.astype(np.float64) * own
+                seen, own = seen + own, 0
+
+        for batch in batches:
+            slices = batch.column("slice").to_numpy()
+            cuts = [0, *(np.flatnonzero(slices[1:] != slices[:-1]) + 1), len(slices)]
+            for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+                if stop == start:
+                    continue
+                if slices[start] != current:
+                    close()
+                    current, net, waiting = slices[start], Network(flat.copy()), []
+                    scale = {name: np.zeros(shape, np.float32) for name, shape in Network.SHAPES.items()}
+                for _, ids, bounds in _unpacked(batch.column("ids").slice(start, stop - start)):
+                    place = np.arange(len(ids)) - np.repeat(bounds[:-1], np.diff(bounds))
+                    # Dealt by a hash, as text with a period would give a round one kind of word only.
+                    deal = mix((place + np.repeat(np.diff(bounds), np.diff(bounds))).astype(np.uint64))
+                    at = np.flatnonzero(deal % np.uint64(rounds) == np.uint64(round_))
+                    waiting.append((contexts(ids, bounds, at), ids[at]))
+                    if sum(len(t) for _, t in waiting) >= BATCH:
+                        own += _steps(net, waiting, scale, False)
+        close()
         if seen:
-            weighted = net.flat.astype(np.float64) * seen
-            parts = [weighted[a : a + BLOCK] for a in range(0, len(weighted), BLOCK)]
+            parts = [total[a : a + BLOCK] for a in range(0, len(total), BLOCK)]
             columns = [pa.array(range(len(parts)), pa.int32()), pa.array([seen] * len(parts), pa.int64()), pa.array(parts, pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["block", "seen", "weights"])
 
@@ -266,48 +373,59 @@ def _summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays(columns, names=["block", "seen", "weights"])
 
 
-def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> Network:
-    """Rounds of training in all tasks, each followed by the average of their weights; together they take every position once."""
+def fitted(rows: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> Network:
+    """Rounds of training on all slices of coded documents, each followed by the average of their weights; together they take every position once."""
     schema = "block int, seen long, weights array<double>"
     net = Network.fresh(words.counts)
+    slices = max(1, -(-int(words.counts.sum()) // SLICE))
+    tasks = min(slices, MOST_TASKS)
+    dealt = rows.select("doc_id", "ids", F.pmod(F.xxhash64("doc_id", "ids"), F.lit(slices)).alias("slice"))
     for round_ in range(rounds):
-        rows = docs.select("text").mapInArrow(_train_once(words, net.flat, round_, rounds), schema)
-        mean = rows.repartition("block").mapInArrow(_summed, schema).toArrow().sort_by("block")
+        placed = dealt.repartitionById(tasks, F.pmod("slice", F.lit(tasks)).cast("int")).sortWithinPartitions("slice", "doc_id", "ids")
+        weights = placed.select("slice", "ids").mapInArrow(_train_once(net.flat, round_, rounds), schema)
+        mean = weights.repartition("block").mapInArrow(_summed, schema).toArrow().sort_by("block")
         if mean.num_rows:
             flat = np.concatenate([w.values.to_numpy() / s.as_py() for w, s in zip(mean.column("weights"), mean.column("seen"), strict=True)])
             net = Network(flat.astype(np.float32))
     return net
 
 
+def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> Network:
+    """Fit the network on the documents."""
+    return fitted(coded(docs, words), words, rounds)
+
+
 def _scored(words: Vocabulary, flat: np.ndarray):
-    """The network's sums per document, and its shared-id words, each with its number, for the join with their counts."""
+    """The network's sums per coded document, and the logarithms of all counts of the ids that its shared-id words have."""
+    logs = np.log(words.counts + UNSEEN)
+    logs[: WORDS - RARE] = 0
 
     def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Network(flat)
         for batch in batches:
-            for chunk in chunks(batch.column("text")):
-                ids, bounds = words(chunk), chunk.word_bounds
-                logs = model.log_probs(contexts(ids, bounds, np.arange(len(ids))), ids)
-                at = np.flatnonzero(ids >= WORDS - RARE)
-                n = np.diff(bounds)
-                sums = [np.where(n > 0, np.add.reduceat(np.append(x, 0.0), np.minimum(bounds[:-1], len(x))), 0.0) for x in (logs, _id_totals(words, ids, at))]
-                doc = np.searchsorted(bounds, at, "right") - 1
-                order = np.lexsort((chunk.word_hashes[at], doc))
-                doc, hashes = doc[order], chunk.word_hashes[at][order]
-                first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (hashes[1:] != hashes[:-1])]) if len(at) else np.zeros(0, int)
-                cuts = pa.array(np.searchsorted(doc[first], np.arange(chunk.n + 1)), pa.int32())
-                lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (hashes[first].view(np.int64), np.diff(np.append(first, len(at))))]
-                columns = [batch.column("doc_id").slice(chunk.first, chunk.n), pa.array(n), *map(pa.array, sums), *lists]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "log_prob", "totals", "shared", "times"])
+            for first, ids, bounds in _unpacked(batch.column("ids")):
+                n, last = np.diff(bounds), np.minimum(bounds[:-1], len(ids))
+                found = model.log_probs(contexts(ids, bounds, np.arange(len(ids))), ids)
+                sums = [np.where(n > 0, np.add.reduceat(np.append(x, 0.0), last), 0.0) for x in (found, logs[ids])]
+                columns = [batch.column(c).slice(first, len(n)) for c in ("row", "doc_id", "listed")]
+                yield pa.RecordBatch.from_arrays([*columns, *map(pa.array, (n, *sums))], names=["row", "doc_id", "listed", "n_words", "log_prob", "totals"])
 
     return scored
 
 
-def _id_totals(words: Vocabulary, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Per word, the logarithm of all counts of its shared id; 0 for words with an id of their own."""
-    out = np.zeros(len(ids))
-    out[at] = np.log(words.counts[ids[at]] + UNSEEN)
-    return out
+def scored(coded_rows: DataFrame, words: Vocabulary, net: Network, counts: DataFrame | None = None) -> DataFrame:
+    """``score`` on coded documents."""
+    schema = "row long, doc_id long, listed long, n_words long, log_prob double, totals double"
+    rows = coded_rows.select("row", "doc_id", "listed", "ids").mapInArrow(_scored(words, net.flat), schema)
+    if counts is not None:
+        others = coded_rows.select("row", F.explode(F.arrays_zip("others", "times")).alias("s")).select("row", F.col("s.others").alias("word"), "s.times")
+        # A word the corpus doesn't have counts as UNSEEN.
+        share = F.col("times") * F.round(F.log(F.coalesce(F.col("n").cast("double"), F.lit(UNSEEN))) * POINT).cast("long")
+        own = others.join(counts.select("word", "n"), "word", "left").groupBy("row").agg(F.sum(share).alias("own"))
+        shares = (F.coalesce("own", F.lit(0)) + F.col("listed")) / POINT
+        rows = rows.join(own, "row", "left").withColumn("log_prob", F.col("log_prob") + shares - F.col("totals"))
+    mean = F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words"))
+    return rows.select("doc_id", "n_words", "log_prob", mean.alias("mean_log_prob"))
 
 
 def score(docs: DataFrame, words: Vocabulary, net: Network, counts: DataFrame | None = None) -> DataFrame:
@@ -315,21 +433,12 @@ def score(docs: DataFrame, words: Vocabulary, net: Network, counts: DataFrame |
 
     With ``counts`` (of ``word_counts``) every word has its own probability, without them its id's.
     """
-    schema = "doc_id long, n_words long, log_prob double, totals double, shared array<long>, times array<long>"
-    rows = docs.select("doc_id", "text").mapInArrow(_scored(words, net.flat), schema)
-    if counts is not None:
-        rows = cut_lineage(rows.withColumn("row", F.monotonically_increasing_id()))
-        listed = rows.select("row", F.explode(F.arrays_zip("shared", "times")).alias("s")).select("row", F.col("s.shared").alias("word"), "s.times")
-        # A word the corpus doesn't have counts as UNSEEN. Logarithms are summed as whole multiples of 2^-28, so that no order changes a sum.
-        share = F.col("times") * F.round(F.log(F.coalesce(F.col("n").cast("double"), F.lit(UNSEEN))) * 2**28).cast("long")
-        own = listed.join(counts.select("word", "n"), "word", "left").groupBy("row").agg(F.sum(share).alias("own"))
-        rows = rows.join(own, "row", "left").withColumn("log_prob", F.col("log_prob") + F.coalesce(F.col("own") / 2**28, F.lit(0.0)) - F.col("totals"))
-    mean = F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words"))
-    return rows.select("doc_id", "n_words", "log_prob", mean.alias("mean_log_prob"))
+    return scored(coded(docs, words), words, net, counts)
 
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     """Fit vocabulary and network on the documents and score them."""
     counts = word_counts(docs)
     words = vocabulary(docs, counts)
-    return score(docs, words, train(docs, words), counts)
+    rows = coded(docs, words)
+    return scored(rows, words, fitted(rows, words), counts)

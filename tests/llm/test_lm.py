@@ -61,8 +61,13 @@ def test_every_position_is_trained_on_once(monkeypatch):
     trained = []
     monkeypatch.setattr(masked_lm.Network, "step", lambda self, context, target, scale: trained.extend(zip(map(tuple, context), target, strict=True)))
     flat = masked_lm.Network.fresh(words.counts).flat
+    (rows,) = masked_lm._coded(words)([pa.RecordBatch.from_arrays([pa.array(range(len(texts))), texts], names=["doc_id", "text"])])
+    # Two slices in one task, the second in two batches.
     for round_ in range(masked_lm.ROUNDS):
-        list(masked_lm._train_once(words, flat, round_)([pa.RecordBatch.from_arrays([texts], names=["text"])]))
+        slices = pa.array([0] * 9 + [1] * (len(texts) - 9))
+        batch = pa.RecordBatch.from_arrays([slices, rows.column("ids")], names=["slice", "ids"])
+        (out,) = masked_lm._train_once(flat, round_)([batch.slice(0, 12), batch.slice(12)])
+        assert out.column("seen")[0].as_py() > 0
     (chunk,) = chunks(texts)
     ids = words(chunk)
     every = zip(map(tuple, masked_lm.contexts(ids, chunk.word_bounds, np.arange(len(ids)))), ids, strict=True)
@@ -98,6 +103,36 @@ def test_gradient_matches_differences():
     assert net.log_probs(context, target).mean() > start
 
 
+def test_scores_do_not_depend_on_the_partitioning(spark, monkeypatch):
+    monkeypatch.setattr(masked_lm, "SLICE", 5000)
+    rows = [(k, " ".join(f"a{(k * j) % 37} b{(k + j) % 6} c{j % (k + 2)}" for j in range(100))) for k in range(80)]
+    docs = frame(spark, [*rows, (7, rows[7][1]), (None, rows[8][1])])
+    found = [sorted(map(tuple, masked_lm.pseudo_likelihood(docs.repartition(n)).collect()), key=str) for n in (1, 4)]
+    assert len(found[0]) == 82 and [r[:2] for r in found[0]] == [r[:2] for r in found[1]]
+    # Only the last digits of float32 products depend on how many documents are scored together.
+    assert np.allclose([r[2] for r in found[0]], [r[2] for r in found[1]], rtol=1e-7)
+
+
+def test_listed_words_have_the_share_that_the_join_gives(spark, monkeypatch):
+    frequent = " ".join(f"f{k}" for k in range(masked_lm.WORDS - masked_lm.RARE))
+    docs = frame(spark, [(1, "f1 qqqqzz f2"), (2, "f1 wwwwzz f2"), *((3 + k, f"{frequent} {frequent} qqqqzz") for k in range(4))])
+    counts = masked_lm.word_counts(docs)
+    without = masked_lm.vocabulary(docs, counts)
+    monkeypatch.setattr(masked_lm, "LISTED", 6000)
+    listed = masked_lm.vocabulary(docs, counts)
+    assert len(listed.hashes) == len(without.hashes) + 1  # qqqqzz: 5 of 24,588 words
+    net = masked_lm.Network.fresh(listed.counts)
+    one, other = ({r.doc_id: r.log_prob for r in masked_lm.score(docs, w, net, counts).collect()} for w in (without, listed))
+    assert one.keys() == other.keys() and all(np.isclose(one[k], other[k], atol=1e-6) for k in one)
+
+
+def test_one_document_longer_than_a_chunk(spark):
+    text = "some words that repeat for long and one more " * 20_000
+    docs = frame(spark, [(1, text), (2, "some words")])
+    found = {r.doc_id: r.n_words for r in masked_lm.pseudo_likelihood(docs).collect()}
+    assert found == {1: 180_000, 2: 2}
+
+
 def test_empty_table(spark):
     none = empty(spark)
     assert masked_lm.pseudo_likelihood(none).count() == 0
