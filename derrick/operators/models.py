@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from derrick.functions.scalars import date_part, from_epoch, new_id
-from derrick.operators import boosting, forest, metrics
+from derrick.operators import boosting, forest, gram, metrics
 from derrick.operators.aggregate import daily_avg, daily_sum
 from derrick.operators.clean import feature_columns
 from derrick.operators.forest_stage import ForestStage
@@ -51,6 +51,7 @@ class ModelSpec:
     lookback: int | None = None
     scaling: str = "standard"
     shared: bool = False  # all fits of a search in the same passes (``operators.forest``)
+    from_sums: bool = False  # all errors of a search from one pass (``operators.gram``)
 
 
 # The parameter grids. Spark limits trees to depth 30, which
@@ -94,11 +95,11 @@ def _boosted(**params) -> Estimator:
 MODELS = {
     spec.name: spec
     for spec in (
-        ModelSpec("linear", "LR", "LinearRegression", _linear, LINEAR_GRID),
+        ModelSpec("linear", "LR", "LinearRegression", _linear, LINEAR_GRID, from_sums=True),
         ModelSpec("forest", "RF", "RF_MultiOutput", _forest, FOREST_GRID, shared=True),
         ModelSpec("boosted", "GBT", "BoostedTrees", _rounds, BOOSTED_GRID, shared=True),
-        ModelSpec("lookback20", "LB20", "LookbackLinear20", _linear, LINEAR_GRID, 20, "minmax"),
-        ModelSpec("lookback30", "LB30", "LookbackLinear30", _linear, LINEAR_GRID, 30, "standard"),
+        ModelSpec("lookback20", "LB20", "LookbackLinear20", _linear, LINEAR_GRID, 20, "minmax", from_sums=True),
+        ModelSpec("lookback30", "LB30", "LookbackLinear30", _linear, LINEAR_GRID, 30, "standard", from_sums=True),
     )
 }
 
@@ -281,7 +282,10 @@ def train_frame(
         chosen, error = best_candidate(trials)
         models = [shared_model(rows, cuts, spec, candidates[chosen], inputs, targets)]
     else:
-        trials = cv_scores(spec, folds, candidates, targets)
+        if spec.from_sums:
+            trials = gram.cv_scores(folds, candidates, [_scaled(c) for c in features], [_scaled(t) for t in targets], FOLDS)
+        else:
+            trials = cv_scores(spec, folds, candidates, targets)
         chosen, error = best_candidate(trials)
         models = fit_targets(spec, candidates[chosen], folds, targets)
     pipeline = PipelineModel([scale, assemble, *models, _inverse_stage(targets, stats)])

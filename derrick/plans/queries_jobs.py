@@ -10,11 +10,12 @@ from pyspark.sql import types as T
 
 from derrick.functions.exact import significant
 from derrick.functions.scalars import date_part, from_epoch, new_id
-from derrick.operators import models
+from derrick.operators import gram, models
 from derrick.operators.aggregate import daily_sum
 from derrick.operators.forecast import forecast_saved
-from derrick.operators.split import split_by_share
-from derrick.operators.window import latest_per_key
+from derrick.operators.scale import standard_stats, with_stats
+from derrick.operators.split import split_by_head, split_by_share, with_folds
+from derrick.operators.window import lagged, latest_per_key
 from derrick.plans import jobs, oracle
 from derrick.plans.oracle import over
 from derrick.plans.queries_tables import STORED, as_doubles
@@ -448,3 +449,120 @@ def m12_range(spark, folder):
     bounds = frame.filter(~F.col("is_test")).agg(F.min("OIL_VOL").alias("low"), F.max("OIL_VOL").alias("high"))
     low, high = (bounds.select(c).scalar() for c in ("low", "high"))
     return found.select("DAYTIME", "OIL_VOL_test", F.col("OIL_VOL_pred").between(low - 1e-6, high + 1e-6).alias("in_range"))
+
+
+# ---------------------------------------------------------------- fits from sums of products against SQL
+#
+# Four days back of three targets are twelve features. SQL sums the same products and eliminates
+# column by column, for every series, candidate and fold at once.
+
+LAGS = 4
+_LAG_CANDIDATES = [{"fitIntercept": i, "regParam": r} for i in (True, False) for r in (0.0, 0.1, 1.0)]
+_P = 1 + LAGS * len(TARGETS)
+_D = _P + len(TARGETS)
+_lag_names = list(models.lag_names(LAGS))
+
+
+def _elimination(vectors: str) -> str:
+    """Steps from ``vectors`` (``key``, ``f``: the block, ``v``: 1, features, targets) to ``errors`` and ``picked``, and to ``weights``
+    (``key``, ``cand``, ``fold`` (3: all rows), ``i``, ``t``, ``b``)."""
+    candidates = ", ".join(f"({c}, {int(x['fitIntercept'])}, {x['regParam']}e0)" for c, x in enumerate(_LAG_CANDIDATES))
+    return f"""{vectors},
+products AS (SELECT key, f, i.i, j.j, SUM(v[i.i + 1] * v[j.j + 1]) AS s FROM vectors, range({_D}) i(i), range({_D}) j(j) GROUP BY ALL),
+candidates(cand, free, reg) AS (VALUES {candidates}),
+sums AS (SELECT key, g.g AS fold, i, j, SUM(s) AS s FROM products, range(4) g(g) WHERE f < g.g GROUP BY ALL),
+sizes AS (SELECT key, fold, s AS n FROM sums WHERE i = 0 AND j = 0),
+entries AS (
+  SELECT s.key, s.fold, c.cand, s.i, s.j,
+    CASE WHEN c.free = 0 AND s.i = 0 THEN CASE WHEN s.j = 0 THEN 1e0 ELSE 0e0 END
+         WHEN c.free = 0 AND s.j = 0 THEN 0e0
+         ELSE s.s + CASE WHEN s.i = s.j AND s.i > 0 THEN z.n * c.reg ELSE 0e0 END END AS s
+  FROM sums s JOIN sizes z ON z.key = s.key AND z.fold = s.fold, candidates c WHERE s.i < {_P}),
+matrices AS (SELECT key, fold, cand, list(r ORDER BY i) AS m FROM (SELECT key, fold, cand, i, list(s ORDER BY j) AS r FROM entries GROUP BY ALL) GROUP BY ALL),
+walk AS (
+  SELECT key, fold, cand, 1 AS k, m FROM matrices
+  UNION ALL
+  SELECT key, fold, cand, k + 1, list_transform(range(1, {_P + 1}), lambda i: list_transform(range(1, {_D + 1}), lambda j:
+    CASE WHEN i = k THEN m[k][j] / m[k][k] ELSE m[i][j] - m[i][k] * m[k][j] / m[k][k] END))
+  FROM walk WHERE k <= {_P}),
+weights AS (SELECT key, fold, cand, i.i, t.t, m[i.i + 1][{_P} + t.t + 1] AS b FROM walk, range({_P}) i(i), range({len(TARGETS)}) t(t) WHERE k = {_P + 1}),
+misses AS (SELECT key, fold, cand, i, t, b FROM weights WHERE fold < 3
+  UNION ALL SELECT DISTINCT key, fold, cand, {_P} + t, t, -1e0 FROM weights WHERE fold < 3),
+errors AS (SELECT a.key, a.cand, a.fold, SUM(a.b * c.b * g.s) / ANY_VALUE(z.s) / {len(TARGETS)} AS mse
+  FROM misses a JOIN misses c ON c.key = a.key AND c.fold = a.fold AND c.cand = a.cand AND c.t = a.t
+  JOIN products g ON g.key = a.key AND g.f = a.fold AND g.i = a.i AND g.j = c.i
+  JOIN products z ON z.key = a.key AND z.f = a.fold AND z.i = 0 AND z.j = 0 GROUP BY a.key, a.cand, a.fold),
+picked AS (SELECT key, cand, mse, ROW_NUMBER() OVER (PARTITION BY key ORDER BY mse, cand) AS place
+  FROM (SELECT key, cand, SUM(mse) / 3 AS mse FROM errors GROUP BY key, cand))"""
+
+
+def _lag_vectors(table: str, key: str, share: str) -> str:
+    """Standardised look-back rows of every series up to ``share`` of its length, with their block."""
+    over_key = f"PARTITION BY {key} ORDER BY DAYTIME"
+    lags = ", ".join(f"LAG({t}, {i}) OVER ({over_key}) AS {t}_lag{i}" for i in range(LAGS, 0, -1) for t in TARGETS)
+    scaled = [f"(r.{f} - s.{f.rsplit('_lag', 1)[0]}_mean) / CASE WHEN s.{f.rsplit('_lag', 1)[0]}_std = 0 THEN 1e0 ELSE s.{f.rsplit('_lag', 1)[0]}_std END" for f in [*_lag_names, *TARGETS]]
+    stats = ", ".join(f"AVG({t}) AS {t}_mean, STDDEV_POP({t}) AS {t}_std" for t in TARGETS)
+    return f"""lagged AS (SELECT *, ROW_NUMBER() OVER ({over_key}) - {LAGS} AS rn, COUNT(*) OVER (PARTITION BY key) - {LAGS} AS whole FROM (
+  SELECT *, {key} AS key, {lags} FROM {table})),
+known AS (SELECT *, {share} AS m FROM lagged WHERE rn > 0 AND rn <= {share}),
+stats AS (SELECT key, {stats} FROM known GROUP BY key),
+vectors AS (SELECT r.key, CASE WHEN rn - 1 >= m - 3 * (m // 4) THEN (rn - 1 - (m - 3 * (m // 4))) // (m // 4) ELSE -1 END AS f, [1e0, {', '.join(scaled)}] AS v
+  FROM known r JOIN stats s ON s.key = r.key)"""
+
+
+@query(
+    "m9_m11_lag_search",
+    over(
+        "daily_sum",
+        extra=_elimination(_lag_vectors("daily_sum", "1", "CAST(FLOOR(whole * 0.8e0) AS BIGINT)")),
+        recursive=True,
+        body=f"SELECT CAST(e.cand AS INTEGER) AS candidate, CAST(e.fold AS INTEGER) AS fold, {oracle.significant('e.mse', 6)} AS mse, e.cand = p.cand AS chosen "
+        "FROM errors e JOIN picked p ON p.key = e.key AND p.place = 1",
+    ),
+)
+def m9_lags(spark, folder):
+    """Six linear candidates on twelve look-back features, scored on three folds; the one with the smallest mean error is chosen."""
+    frame = split_by_head(lagged(daily_sum(production(spark, folder)), TARGETS, LAGS)).filter(~F.col("is_test")).drop("rn", "n")
+    scaled = cut_lineage(_lag_scaled(frame, []))
+    trials = gram.cv_scores(with_folds(scaled, 3), _LAG_CANDIDATES, _lag_names, TARGETS, 3)
+    chosen, _ = models.best_candidate(trials)
+    scores = spark.createDataFrame(trials, "candidate int, fold int, mse double")
+    return scores.select("candidate", "fold", significant("mse", 6).alias("mse"), (F.col("candidate") == chosen).alias("chosen"))
+
+
+def _lag_scaled(frame, keys):
+    """Lags and targets standardised by the targets' statistics in the series."""
+    stats = standard_stats(frame, TARGETS, keys)
+    bases = {f: f.rsplit("_lag", 1)[0] for f in [*_lag_names, *TARGETS]}
+    scaled = {f: (F.col(f) - F.col(f"{b}_mean")) / F.when(F.col(f"{b}_std") == 0, 1.0).otherwise(F.col(f"{b}_std")) for f, b in bases.items()}
+    both = frame.join(stats, keys) if keys else with_stats(frame, stats, stats.columns)
+    return both.withColumns(scaled).drop(*stats.drop(*keys).columns)
+
+
+_weight = "MAX(CASE WHEN w.i = {i} AND w.t = {t} THEN w.b END)"
+
+
+@query(
+    "m9_m11_lag_fit_by_well",
+    over(
+        "well_days",
+        extra=_elimination(_lag_vectors("well_days", "WELL_BORE_CODE", "whole")),
+        recursive=True,
+        body="SELECT w.key AS WELL_BORE_CODE, ANY_VALUE(CAST(z.n AS BIGINT)) AS n_rows, ANY_VALUE(CAST(p.cand AS INTEGER)) AS candidate, "
+        + oracle.significant("ANY_VALUE(p.mse)", 6)
+        + " AS cv_mse, "
+        + ", ".join(f"ROUND({_weight.format(i=_P - len(TARGETS) + j, t=j)}, 6) + 0e0 AS {t}_newest, ROUND({_weight.format(i=1, t=j)}, 6) + 0e0 AS {t}_oldest" for j, t in enumerate(TARGETS))
+        + " FROM weights w JOIN picked p ON p.key = w.key AND p.place = 1 AND p.cand = w.cand JOIN sizes z ON z.key = w.key AND z.fold = 3 WHERE w.fold = 3 GROUP BY w.key",
+    ),
+)
+def m9_lags_by_well(spark, folder):
+    """The same search for every well at once, each well a row; the chosen fit's weights of the oldest and of its own newest day."""
+    keys = ["WELL_BORE_CODE"]
+    frame = lagged(daily_sum(production(spark, folder), keys), TARGETS, LAGS, series_cols=keys)
+    fits = gram.fit_series(with_folds(_lag_scaled(frame, keys), 3, series_cols=keys), _LAG_CANDIDATES, _lag_names, TARGETS, keys, 3)
+    ends = [
+        F.round(F.get(f"{t}_weights", F.lit(at)), 6).alias(f"{t}_{name}")
+        for j, t in enumerate(TARGETS)
+        for name, at in (("newest", (LAGS - 1) * len(TARGETS) + j), ("oldest", 0))
+    ]
+    return fits.select(*keys, "n_rows", "candidate", significant("cv_mse", 6).alias("cv_mse"), *ends)
