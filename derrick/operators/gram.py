@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+EXACT = 1e-12  # errors below this share of the targets' squares are rounding and count as none
 SINGULAR = 1e-12  # directions with a smaller share of the largest spread have no weight
 
 
@@ -77,7 +78,9 @@ def mean_error(gram: np.ndarray, weights: np.ndarray) -> float:
     if not gram[0, 0]:
         return float("nan")
     misses = np.vstack([weights, -np.eye(weights.shape[1])])
-    return float(max(np.einsum("it,ij,jt->", misses, gram, misses), 0.0) / gram[0, 0] / weights.shape[1])
+    total = np.einsum("it,ij,jt->", misses, gram, misses)
+    whole = np.trace(gram[len(weights) :, len(weights) :])
+    return float(total if total > EXACT * whole else 0.0) / gram[0, 0] / weights.shape[1]
 
 
 def fold_errors(blocks: dict[int, np.ndarray], n_features: int, candidates: list[dict], k: int) -> list[dict]:
