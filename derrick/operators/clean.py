@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,6 +54,16 @@ def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
 
 
+def observed(df: DataFrame, columns: list[str]) -> tuple[DataFrame, Observation]:
+    """The frame, and an observation that its first action fills: ``row_count`` and the nulls of every column.
+
+    The action that writes the frame counts on the way; no pass of its own is needed. Observe
+    last, so that the counts belong to the writing stage, whose tasks count once each."""
+    found = Observation()
+    nulls = [F.count_if(F.col(c).isNull()).alias(c) for c in columns]
+    return df.observe(found, F.count(F.lit(1)).alias("row_count"), *nulls), found
+
+
 def null_audit(df: DataFrame, columns: list[str]) -> DataFrame:
     """``column, nulls``: one row per audited column."""
     return null_counts(df, columns).unpivot([], columns, "column", "nulls")

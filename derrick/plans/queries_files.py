@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,7 +14,7 @@ from derrick.operators import clean
 from derrick.plans.oracle import over
 from derrick.plans.queries_tables import as_doubles, predictions
 from derrick.plans.registry import query
-from derrick.plans.wells import production, raw_view, read_table
+from derrick.plans.wells import clean_wells, production, raw_view, read_table
 from derrick.schema import KEY, PWELL_DATA, READING_TYPE, READINGS, VOLUME_TYPE, VOLUMES, create_tables
 from derrick.session import shared_folder
 from derrick.sinks.export import export_predictions, land_csv
@@ -19,8 +22,9 @@ from derrick.sinks.runs import append, create_run, metric_rows, prediction_rows
 from derrick.sinks.upsert import read_table as stored_table
 from derrick.sinks.upsert import upsert
 from derrick.sources import storage
-from derrick.sources.files import extract, newest_drop, newest_files, read_file, read_json
+from derrick.sources.files import extract, newest_drop, newest_files, read_file, read_json, workbook_rows
 from derrick.sources.tables import scan_path
+from derrick.sources.workbook import workbook_bytes
 
 SHAPE = ["DATEPRD", "WELL_BORE_CODE", "WELL_TYPE", "BORE_OIL_VOL"]
 DOCUMENT_ROWS = 10_000
@@ -83,6 +87,54 @@ def s4(spark, folder):
     return _typed(read_json(spark, path))
 
 
+def _workbooks(documents: DataFrame) -> DataFrame:
+    """A workbook per document as ``path`` and ``content``; dates become date cells, the columns' order changes from one to the next."""
+
+    def build(batches):
+        for batch in batches:
+            found = []
+            for well, part, rows in zip(batch["WELL_BORE_CODE"], batch["part"], batch["rows"], strict=True):
+                titles = SHAPE if part % 2 else SHAPE[::-1]
+                cells = []
+                for row in rows:
+                    try:
+                        day = dt.date.fromisoformat(row["DATEPRD"])
+                    except ValueError:
+                        day = row["DATEPRD"]
+                    values = {**row, "DATEPRD": day}
+                    cells.append([values[c] for c in titles])
+                found.append((f"{well}-{part}.xlsx", workbook_bytes([titles, *cells])))
+            yield pd.DataFrame(found, columns=["path", "content"])
+
+    return documents.mapInPandas(build, "path string, content binary")
+
+
+@query("s5_workbook_scan", LANDED)
+def s5(spark, folder):
+    """The rows of each well as workbooks of bounded size, kept in a table and read by header names."""
+    path = _scratch(spark)
+    _workbooks(_documents(raw_view(spark, folder))).write.parquet(path)
+    return _typed(workbook_rows(spark.read.parquet(path)))
+
+
+_observed = ["ON_STREAM_HRS", "AVG_ANNULUS_PRESS", "BORE_OIL_VOL", "BORE_WI_VOL"]
+
+
+@query(
+    "a13_p14_observed_load",
+    over(
+        "clean",
+        body="SELECT 'row_count' AS name, COUNT(*) AS found FROM clean UNION ALL "
+        + " UNION ALL ".join(f"SELECT '{c}', COUNT(*) - COUNT({c}) FROM clean" for c in _observed),
+    ),
+)
+def a13_observed(spark, folder):
+    """Rows and nulls of the cleaned rows, counted by the write that stores them."""
+    rows, found = clean.observed(clean_wells(raw_view(spark, folder)), _observed)
+    rows.write.parquet(_scratch(spark))
+    return spark.createDataFrame([(n, found.get[n]) for n in ("row_count", *_observed)], "name string, found long")
+
+
 @query("s8_newest_drop", over("well_raw", body="SELECT DATEPRD, WELL_BORE_CODE, WELL_TYPE, BORE_OIL_VOL FROM well_raw WHERE l_orderkey % 2 = 1"))
 def s8(spark, folder):
     """Two drops of several part files each; all parts of the later one are read."""

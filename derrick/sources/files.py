@@ -108,7 +108,11 @@ def read_json(spark: SparkSession, path: str, columns: list[str] | None = None)
 def read_workbook(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """First sheet of every workbook at ``path``; a task reads one workbook at a
     time and its columns are matched by header name."""
-    files = spark.read.format("binaryFile").load(path)
+    return workbook_rows(spark.read.format("binaryFile").load(path), columns, path)
+
+
+def workbook_rows(files: DataFrame, columns: list[str] | None = None, path: str = "workbooks") -> DataFrame:
+    """Rows of the first sheet of every workbook of a table with ``path`` and ``content``."""
     if columns is None:
 
         def header(batches):

@@ -1,4 +1,4 @@
-"""Cells of the first sheet of an ``.xlsx`` workbook, read inside a task."""
+"""Cells of the first sheet of an ``.xlsx`` workbook, read and written inside a task."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ import io
 import re
 import zipfile
 from xml.etree import ElementTree
+from xml.sax.saxutils import escape
 
 # XML namespaces and the built-in date formats of the file format.
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
@@ -82,3 +83,39 @@ def sheet_rows(content: bytes):
                     cells[_column(cell.get("r")) if cell.get("r") else place] = text
                 yield cells
                 row.clear()
+
+
+def _letters(column: int) -> str:
+    name = ""
+    while column >= 0:
+        name, column = chr(ord("A") + column % 26) + name, column // 26 - 1
+    return name
+
+
+def workbook_bytes(rows: list[list]) -> bytes:
+    """A workbook of one sheet: numbers as numbers, dates as styled serials, other values as shared strings; None is no cell."""
+    main, rel, package = MAIN[1:-1], LINKS[1:-1], "http://schemas.openxmlformats.org/package/2006/relationships"
+    texts: dict[str, int] = {}
+    body = []
+    for r, row in enumerate(rows, 1):
+        cells = []
+        for c, value in enumerate(row):
+            at = f'r="{_letters(c)}{r}"'
+            if value is None:
+                continue
+            if isinstance(value, dt.date):
+                cells.append(f'<c {at} s="1"><v>{(value - EPOCH.date()).days}</v></c>')
+            elif isinstance(value, (int, float)):
+                cells.append(f"<c {at}><v>{value!r}</v></c>")
+            else:
+                cells.append(f'<c {at} t="s"><v>{texts.setdefault(str(value), len(texts))}</v></c>')
+        body.append(f'<row r="{r}">{"".join(cells)}</row>')
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
+        book.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets><sheet name="rows" sheetId="1" r:id="rId1"/></sheets></workbook>')
+        book.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="{package}"><Relationship Id="rId1" Type="{rel}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>')
+        book.writestr("xl/styles.xml", f'<styleSheet xmlns="{main}"><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>')
+        strings = "".join(f'<si><t xml:space="preserve">{escape(t)}</t></si>' for t in texts)
+        book.writestr("xl/sharedStrings.xml", f'<sst xmlns="{main}">{strings}</sst>')
+        book.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{main}"><sheetData>{"".join(body)}</sheetData></worksheet>')
+    return out.getvalue()

@@ -1,3 +1,4 @@
+import datetime as dt
 import io
 import json
 import os
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from derrick.sources import files, storage, tables
+from derrick.sources.workbook import workbook_bytes
 
 
 def write(path, text):
@@ -101,6 +103,21 @@ def test_workbooks_by_header_name(spark, tmp_path):
     assert many.count() == 3
 
 
+def test_written_workbooks_are_read_back(spark):
+    day = dt.date(2021, 3, 4)
+    books = [
+        ("a", [["DAY", "N", "T"], [day, 1.5, "x & <y>"], [None, -2, " b "], ["bad", None, "é"]]),
+        ("b", [[f"c{i}" for i in range(30)] + ["N"], [*range(30), 7]]),
+        ("c", [["N"]]),
+    ]
+    table = spark.createDataFrame([(p, bytearray(workbook_bytes(rows))) for p, rows in books], "path string, content binary")
+    found = files.workbook_rows(table, ["DAY", "N", "T", "c27"])
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(
+        [("2021-03-04", "1.5", "x & <y>", None), (None, "-2", " b ", None), ("bad", None, "é", None), (None, "7", None, "27")], key=str
+    )
+    assert files.workbook_rows(table).columns == ["DAY", "N", "T", *[f"c{i}" for i in range(30)]]
+
+
 def test_unknown_legacy_missing_and_empty_files(spark, tmp_path):
     with pytest.raises(ValueError, match=r"supported: .*\.csv"):
         files.read_file(spark, write(tmp_path / "a.pdf", "x"))
