@@ -12,7 +12,9 @@ at once as rows of a matrix; a store of bounded size keeps them, and long pieces
 so that any span of ids can be decoded or traced to its text.
 
 Cases: null counts as empty, empty texts have no ids; every text is taken whole;
-special strings are ordinary text. Equal rows stay equal rows; only ``doc_id``
+with a file of lines special strings are
+ordinary text, while the added tokens that a JSON file lists are found first, leftmost and longest, and are one id each, as its library has it; the text
+between them is cut into pieces by itself. Character classes are those of Unicode 16. Equal rows stay equal rows; only ``doc_id``
 and ``text`` are read.
 """
 
@@ -22,6 +24,7 @@ import base64
 import hashlib
 import heapq
 import json
+import re
 import sys
 import unicodedata
 from collections.abc import Iterable, Iterator
@@ -46,6 +49,13 @@ WIDTHS = [(0, 4), (4, 8), (8, 12), (12, 16), (16, 24), (24, 40)]
 # The white space of the pattern.
 WHITE_POINTS = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 LAST_LETTER = 0x33480  # no letter or number lies beyond
+# Letters and numbers that Unicode 16 has and 15.1, the tables of Python 3.13 and before, lacks (first and last code points).
+NEWER_LETTERS = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4),
+    (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3),
+    (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+]
+NEWER_NUMBERS = [(0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA)]
 
 
 def _next_state(state: int, kind: int) -> int:
@@ -92,6 +102,9 @@ def _code_classes() -> np.ndarray:
     table = np.full(0x110000, OTHER, np.uint8)
     kinds = {"L": LETTER, "N": NUMBER}
     table[:LAST_LETTER] = [kinds.get(unicodedata.category(chr(p))[0], OTHER) for p in range(LAST_LETTER)]
+    for kind, runs in ((LETTER, NEWER_LETTERS), (NUMBER, NEWER_NUMBERS)):
+        for first, last in runs:
+            table[first : last + 1] = kind
     table[WHITE_POINTS] = WHITE
     table[0x20], table[0x27] = SPACE, APOSTROPHE
     table[[ord(c) for c in "stmd"]] = ONE_TAIL
@@ -323,10 +336,21 @@ def _json_ranks(path: str) -> dict[bytes, int]:
     return {bytes(map(byte_of.__getitem__, token)): rank for token, rank in vocabulary.items()}
 
 
+def _json_added(path: str) -> dict[bytes, int]:
+    """Texts that the file lists as tokens of their own; matching options other than the plain one are refused."""
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file).get("added_tokens", [])
+    if any(t.get(option) for t in added for option in ("single_word", "lstrip", "rstrip")):
+        raise ValueError(f"'{path}': added tokens that look at their neighbours")
+    return {t["content"].encode(): t["id"] for t in added}
+
+
 class ByteBpe:
     def __init__(self, path: str):
         self.ranks = _json_ranks(path) if path.endswith(".json") else _line_ranks(path)
-        self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self.added = _json_added(path) if path.endswith(".json") else {}
+        self.added_pattern = re.compile(b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True))))
+        self.tokens = {rank: token for token, rank in self.ranks.items()} | {rank: token for token, rank in self.added.items()}
         self.sizes = np.zeros(max(self.tokens) + 1, np.int64)
         self.sizes[list(self.tokens)] = [len(t) for t in self.tokens.values()]
         self.pieces = Pieces()
@@ -340,7 +364,32 @@ class ByteBpe:
             kept[path] = cls(path)
         return kept[path]
 
+    def _marks(self, chunk: Chunk) -> np.ndarray:
+        """Start, end and id of every added token, none across documents."""
+        data = chunk.data.tobytes()
+        if not self.added or not self.added_pattern.search(data):
+            return np.zeros((0, 3), np.int64)
+        edges = chunk.bounds.tolist()
+        found = (m for a, b in zip(edges[:-1], edges[1:], strict=True) for m in self.added_pattern.finditer(data, a, b))
+        return np.array([(*m.span(), self.added[m.group()]) for m in found], np.int64).reshape(-1, 3)
+
     def encode(self, chunk: Chunk) -> Encoded:
+        marks = self._marks(chunk)
+        if not len(marks):
+            return self._encode(chunk)
+        # Added tokens and what lies between them are encoded as documents; then an added token's ids become its one id.
+        edges = np.unique(np.concatenate([chunk.bounds, marks[:, 0], marks[:, 1]]))
+        parts = self._encode(Chunk(0, chunk.data, edges))
+        at = np.searchsorted(edges, marks[:, 0])
+        kept = np.ones(len(parts.ids), np.int64)
+        for a, b in zip(parts.bounds[at], parts.bounds[at + 1], strict=True):
+            kept[a + 1 : b] = 0
+        parts.ids[parts.bounds[at]] = marks[:, 2]
+        before = np.append(0, np.cumsum(kept))
+        take = kept.astype(bool)
+        return Encoded(parts.ids[take], parts.offsets[take], before[parts.bounds[np.searchsorted(edges, chunk.bounds)]])
+
+    def _encode(self, chunk: Chunk) -> Encoded:
         starts, bounds = self.pieces(chunk)
         ends = np.append(starts[1:], len(chunk.data)) if len(starts) else starts
         ids, n_ids = self.merged(chunk.data, starts, ends, chunk.hashes(starts, ends))

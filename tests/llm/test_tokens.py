@@ -28,28 +28,40 @@ def library():
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(JSON)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(JSON)
 
 
-def test_ids_equal_the_library(library):
+def test_ids_equal_the_library(library, tokenizer):
     parts = ["'", "s", "t", "re", "ve", "ll", "d", "m", " ", "  ", "\n", "\t", "1", "é", "ß", "²", "''", "A", "l", "r", "v", "e", "漢", "😀", ".", "́", "<|endoftext|>", "\x1c", "\x85", " "]
     rng = random.Random(5)
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(8000)]
+    texts += ["<|endoftext|>" * 3, "a <|endoftext|> b<|endoftext|>", "<|endoftext", "|><|endoftext|>\n's", ""]
     texts += ["*" * 5000 + "a" * 3000 + " " * 2000, "ab" * 4000, None] + [t for _, t in TEXTS]
+    want = {RANKS: library.encode_ordinary, JSON: lambda text: tokenizer.encode(text, add_special_tokens=False).ids}
     for path in (RANKS, JSON):
         bpe, at = byte_bpe.ByteBpe(path), 0
         for chunk in chunks(pa.array(texts, pa.string()), 4000):
             found = bpe.encode(chunk)
             for a, b in zip(found.bounds[:-1], found.bounds[1:], strict=True):
                 text = texts[at] or ""
-                assert found.ids[a:b].tolist() == library.encode_ordinary(text)
+                assert found.ids[a:b].tolist() == want[path](text)
                 assert bpe.decode(found.ids[a:b]) == text.encode()
                 at += 1
         assert at == len(texts)
 
 
+@pytest.mark.parametrize("path", [RANKS, JSON])
+def test_classes_of_all_code_points_equal_the_library(library, tokenizer, path):
+    """A contraction behind a letter is cut off by itself, behind a number or a sign it isn't, and a sign joins the apostrophe."""
+    points = [p for p in range(0x110000) if not 0xD800 <= p < 0xE000]
+    texts = ["".join(f"{chr(p)}'s 1{chr(p)} " for p in points[a : a + 2000]) for a in range(0, len(points), 2000)]
+    bpe = byte_bpe.ByteBpe(path)
+    want = [library.encode_ordinary(t) for t in texts] if path == RANKS else [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    found = [c.ids[a:b].tolist() for chunk in chunks(pa.array(texts)) for c in [bpe.encode(chunk)] for a, b in zip(c.bounds[:-1], c.bounds[1:], strict=True)]
+    wrong = [i for i, (a, b) in enumerate(zip(found, want, strict=True)) if a != b]
+    assert not wrong, [hex(points[i * 2000]) for i in wrong]
+
+
 def test_round_trip_of_edge_cases(spark, library):
     rows = byte_bpe.round_trip(frame(spark), RANKS).collect()
     want = Counter()
