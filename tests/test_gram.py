@@ -54,6 +54,13 @@ def test_twelve_features_fold_scores_and_choice(spark):
         assert models.best_candidate(found) == (best[1], pytest.approx(best[0], rel=1e-9))
 
 
+def test_scores_become_a_frame(spark):
+    df, _, _ = frame(spark, 40)
+    trials = gram.cv_scores(with_folds(df, 3, "day"), CANDIDATES, FEATURES[:2], ["a"], 3)
+    scores = spark.createDataFrame(trials, "candidate int, fold int, mse double")
+    assert [r["mse"] for r in scores.collect()] == [t["mse"] for t in trials]
+
+
 def test_every_series_is_fitted_by_itself(spark):
     df, x, y = frame(spark, 100, 3)
     folds = with_folds(df.repartition(4), 3, "day", ["well"])
