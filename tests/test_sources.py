@@ -75,6 +75,39 @@ def test_json_records_take_the_union_of_keys(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("1", "x", None), (None, "y", None)]
 
 
+def test_json_numbers_are_read_as_written_across_lines(spark, tmp_path):
+    records, arrays = tmp_path / "records", tmp_path / "arrays"
+    for i, text in enumerate(["1.50", "12345678901234567890.123", "1e5"]):
+        for folder, document in ((records, f'[{{"A":{text},"B":"x"}},\n {{"A":{text}}}]\n'), (arrays, f'{{"A":[{text},{text}],\n"B":["x",null]}}')):
+            folder.mkdir(exist_ok=True)
+            write(folder / f"{i}.json", document)
+    want = sorted((t, b) for t in ("1.50", "12345678901234567890.123", "1e5") for b in ("x", "-"))
+    for folder in (records, arrays):
+        found = files.read_json(spark, str(folder))
+        assert sorted((r["A"], r["B"] or "-") for r in found.collect()) == want
+        assert found.columns == ["A", "B"]
+
+
+def test_json_records_that_are_not_flat_keep_their_inferred_shape(spark, tmp_path):
+    cases = {"nested": '[{"A":{"x":1}}]', "malformed": '[{"A":1},{"B":', "text": '[{"A":"{not"}]', "number": '[1,{"A":2}]'}
+    shapes = {}
+    for name, text in cases.items():
+        path = write(tmp_path / f"{name}.json", text)
+        shapes[name] = [f.dataType.simpleString() for f in files.read_json(spark, path).schema.fields]
+        inferred = spark.read.option("multiLine", True).option("primitivesAsString", True).json(path)
+        assert files.read_json(spark, path).schema == inferred.schema, name
+    assert shapes["nested"] == ["struct<x:string>"]
+
+
+def test_a_workbook_is_built_from_one_document_at_a_time(spark):
+    from derrick.plans.queries_files import _documents, _workbooks
+
+    raw = spark.range(500).select(F.lit("2020-01-02").alias("DATEPRD"), F.concat(F.lit("W-"), F.col("id") % 50).alias("WELL_BORE_CODE"), F.lit("t").alias("WELL_TYPE"), F.col("id").cast("double").alias("BORE_OIL_VOL"), F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"))
+    books = _workbooks(_documents(raw, 100).coalesce(1))
+    assert "MapInArrow" in books._jdf.queryExecution().executedPlan().toString()
+    assert sorted(float(r["BORE_OIL_VOL"]) for r in files.workbook_rows(books).collect()) == [float(i) for i in range(500)]
+
+
 def test_json_dictionary_of_arrays(spark, tmp_path):
     path = write(tmp_path / "a.json", json.dumps({"A": [1, 2], "B": ["x", None]}))
     assert [tuple(r) for r in files.read_file(spark, path).collect()] == [("1", "x"), ("2", None)]
