@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,8 +92,8 @@ def _workbooks(documents: DataFrame) -> DataFrame:
 
     def build(batches):
         for batch in batches:
-            found = []
-            for well, part, rows in zip(batch["WELL_BORE_CODE"], batch["part"], batch["rows"], strict=True):
+            for i in range(batch.num_rows):  # one document at a time as Python objects
+                well, part, rows = (batch.column(c)[i].as_py() for c in ("WELL_BORE_CODE", "part", "rows"))
                 titles = SHAPE if part % 2 else SHAPE[::-1]
                 cells = []
                 for row in rows:
@@ -103,10 +103,10 @@ def _workbooks(documents: DataFrame) -> DataFrame:
                         day = row["DATEPRD"]
                     values = {**row, "DATEPRD": day}
                     cells.append([values[c] for c in titles])
-                found.append((f"{well}-{part}.xlsx", workbook_bytes([titles, *cells])))
-            yield pd.DataFrame(found, columns=["path", "content"])
+                book = [f"{well}-{part}.xlsx"], [workbook_bytes([titles, *cells])]
+                yield pa.RecordBatch.from_arrays([pa.array(book[0], pa.string()), pa.array(book[1], pa.binary())], names=["path", "content"])
 
-    return documents.mapInPandas(build, "path string, content binary")
+    return documents.mapInArrow(build, "path string, content binary")
 
 
 @query("s5_workbook_scan", LANDED)
