@@ -18,6 +18,7 @@ from derrick.plans.oracle import over
 from derrick.plans.registry import query
 from derrick.plans.wells import SEQUENCE, clean_wells, production, raw_view, read_table
 from derrick.schema import DESCRIPTORS, KEY, NUMERICS, READINGS, TARGETS, TEXTS, VOLUMES
+from derrick.session import cut_lineage
 from derrick.sources.tables import point_lookup, run_sql
 
 
@@ -391,7 +392,8 @@ def k4(spark, folder):
     ),
 )
 def k5(spark, folder):
-    base = clean.tag_rows(daily_sums(spark, folder), id_model="f1", model_type="FORECAST")
+    # A row per day, read for the base and for every update: derived once.
+    base = clean.tag_rows(cut_lineage(daily_sums(spark, folder)), id_model="f1", model_type="FORECAST")
     names = ["id_model", "model_type", "DAYTIME", *TARGETS]
     later = base.withColumn("DAYTIME", F.date_add("DAYTIME", 30)).select(*names)
     # Two updates of every key; the second one counts.

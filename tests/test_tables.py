@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from derrick.operators import relate
 from derrick.schema import MODEL_AI, VERSION, VERSION_TYPE
+from derrick.session import cut_lineage
 from derrick.sinks import export, runs, snapshots, upsert
 
 DAY = dt.date(2020, 1, 1)
@@ -211,3 +212,34 @@ def test_an_unnamed_folder_is_an_error_on_a_cluster(spark):
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             shared_folder(session(master))
         assert shared_folder(session(master, "hdfs://x/y/")) == "hdfs://x/y"
+
+
+def test_updates_are_ranked_after_they_are_dealt_and_older_ones_rewrite_nothing(spark, tmp_path, monkeypatch):
+    home = str(tmp_path)
+    plans = []
+
+    def kept(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut_lineage(df)
+
+    monkeypatch.setattr(upsert, "cut_lineage", kept)
+    upsert.upsert(spark, home, "pwell_data", wells(spark, [(DAY, "w", "new", 1, 20, 1)]))
+    # Read from the bottom: a rank below the exchange would sort the wide rows where they are read.
+    assert "WindowGroupLimit" not in plans[0][plans[0].rindex("Exchange") :]
+    before = snapshots.snapshot(spark, home).tables["pwell_data"]
+    upsert.upsert(spark, home, "pwell_data", wells(spark, [(DAY, "w", "old", 2, 10, 1)]))
+    assert snapshots.snapshot(spark, home).tables["pwell_data"] == before
+    assert [r.FLOW_KIND for r in upsert.read_table(spark, home, "pwell_data").collect()] == ["new"]
+
+
+def test_lines_are_ranked_before_the_columns_of_a_well_are_derived(spark, tmp_path):
+    from derrick.plans import wells as plans
+
+    day = F.lit("2020-01-01").cast("timestamp")
+    lines = spark.createDataFrame([(1, None, 5.0), (2, None, 6.0), (3, 7, 7.0), (97, 7, 8.0)], "l_orderkey long, l_suppkey long, l_quantity double")
+    rest = {c: F.lit(1.0) for c in ("l_extendedprice", "l_discount", "l_tax")} | {c: F.lit("F") for c in ("l_returnflag", "l_linestatus")}
+    lines.withColumns(rest | {"l_partkey": F.lit(1), "l_linenumber": F.lit(1), "l_shipdate": day}).write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = plans.production(spark, str(tmp_path))
+    assert sorted((r.WELL_BORE_CODE or "", float(r.BORE_OIL_VOL)) for r in found.collect()) == [("", 6.0), ("W-7", 7.0)]
+    deal = next(line for line in plans.last_lines(lines.withColumns(rest | {"l_partkey": F.lit(1), "l_linenumber": F.lit(1), "l_shipdate": day}))._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in line)
+    assert "WELL_BORE_CODE" not in deal and "l_suppkey" in deal
