@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from derrick.functions.nearest import CellIndex
+from derrick.functions.nearest import CellIndex, CellTree, block_nearest
 from derrick.operators import impute
 from derrick.operators.impute import knn_impute, knn_pairs
 
@@ -165,3 +165,51 @@ def test_open_cells_are_passed_over_only_when_safe():
         for point in nearest:
             home = next(k for k, c in enumerate(cells) if any(np.array_equal(point, x, equal_nan=True) for x in c))
             assert seen[home]
+
+
+def searched(rows: int, patterns: int, target: int = 64, k: int = 3):
+    """Points with gaps, their tree and index, and for each receiver its bound from the home cells."""
+    rng = np.random.default_rng(rows)
+    points = rng.random((rows, 3)) * [100, 60, 30]
+    gaps = rng.random(rows)
+    points[gaps < 0.1, 2] = np.nan
+    points[gaps > 0.95, 0] = np.nan
+    masks = np.array([[True, True, True], [True, True, False], [False, True, True]])[:patterns]  # others are in the open cell
+    tree = CellTree(points[::2], masks, rows, target, 4096)
+    place = tree.place(points)
+    leaves, which = np.unique(place, return_inverse=True)
+    cells = [points[which == i] for i in range(len(leaves))]
+    low, high = (np.array([f(np.where(np.isnan(c), e, c), axis=0) for c in cells]) for f, e in ((np.min, np.inf), (np.max, -np.inf)))
+    low[np.isinf(low)] = high[np.isinf(high)] = np.nan
+    low, high, sizes = tree.boxes(leaves, low, high, np.array([len(c) for c in cells]))
+    index = CellIndex(low, high, tree.opened, points[:20], np.zeros(3), k, vars(tree), sizes)
+    receivers = points[np.isnan(points).any(axis=1)][:200]
+    known = np.full(receivers.shape, np.nan)
+    for r, home in zip(*index.homes(receivers), strict=True):
+        for column, _, _, distance in block_nearest(receivers[r : r + 1], points[place == home], k, np.zeros(3)):
+            known[r, column] = np.fmin(known[r, column], distance[-1] if len(distance) == k else np.nan)
+    return points, place, index, receivers, known
+
+
+@pytest.mark.parametrize("patterns", [3, 2])
+def test_a_receiver_visits_few_cells_of_a_larger_table_and_misses_none(patterns):
+    visits = {}
+    for rows in (4000, 32000):
+        points, place, index, receivers, known = searched(rows, patterns)
+        assert np.isfinite(known[np.isnan(receivers)]).mean() > 0.9
+        row, cell = index.pairs(receivers, known)
+        visits[rows] = len(row) / len(receivers)
+        met = set(zip(row.tolist(), cell.tolist()))
+        for column, r, donor, _ in block_nearest(receivers, points, 3, np.zeros(3)):
+            assert {(int(i), int(place[d])) for i, d in zip(r, donor, strict=True)} <= met
+    # Eight times the rows; some donors share a single column with a receiver, so more than one cell is near.
+    assert visits[32000] < 3 * visits[4000] < 60, visits
+    assert visits[32000] < 0.25 * index.visits(receivers).sum() / len(receivers)
+
+
+def test_known_bounds_leave_the_nearest_as_they_are():
+    points, _, _, receivers, known = searched(4000, 2)
+    free, bound = ({c: x for c, *x in block_nearest(receivers, points, 3, np.zeros(3), b)} for b in (None, known))
+    assert free.keys() == bound.keys()
+    for column in free:
+        assert all(np.array_equal(a, b) for a, b in zip(free[column], bound[column], strict=True))
