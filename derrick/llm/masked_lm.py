@@ -162,19 +162,30 @@ class Network:
         return (self.w["embed"] * self.w["place"][:, None, :]).reshape(-1, WIDTH)
 
     def _hidden(self, placed: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        out = placed[keys[:, 0]]
+        out = placed.take(keys[:, 0], axis=0)
         for k in range(1, keys.shape[1]):
-            out += placed[keys[:, k]]
+            out += placed.take(keys[:, k], axis=0)
         return np.tanh(out, out=out)
 
+    def _of_words(self, rows: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Gradients of ``embed`` and ``place`` from those of the hidden layer, over the words that occur."""
+        sums, found = _sum_by_key(rows, keys)
+        embed, place = np.zeros_like(self.w["embed"]), np.zeros_like(self.w["place"])
+        cuts = np.searchsorted(found, np.arange(len(place) + 1) * (WORDS + 1))
+        for k, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            words = found[low:high] - k * (WORDS + 1)
+            place[k] = (sums[low:high] * self.w["embed"].take(words, axis=0)).sum(0)
+            embed[words] += sums[low:high] * self.w["place"][k]
+        return embed, place
+
     def log_probs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         out, w, placed = np.empty(len(target)), self.w, self._placed()
         for at in range(0, len(target), BATCH):
             high, low = np.divmod(target[at : at + BATCH], SIDE)
             hidden = self._hidden(placed, context[at : at + BATCH] + PLACES)
-            inner = hidden + w["given"][high]
+            inner = hidden + w["given"].take(high, axis=0)
             first, second = hidden @ w["first"] + w["first_bias"], np.tanh(inner, out=inner) @ w["second"]
-            second += w["second_bias"][high]
+            second += w["second_bias"].take(high, axis=0)
             out[at : at + BATCH] = _log_softmax_at(first, high) + _log_softmax_at(second, low)
         return out
 
@@ -183,7 +194,7 @@ class Network:
         w, n = self.w, len(target)
         # In the order of the first digit, so that what belongs to one of its values is a run.
         order = np.argsort((target // SIDE).astype(np.uint8), kind="stable")
-        keys, (high, low) = context[order] + PLACES, np.divmod(target[order], SIDE)
+        keys, (high, low) = context.take(order, axis=0) + PLACES, np.divmod(target[order], SIDE)
         firsts = _firsts(high)
         present, size = high[firsts], np.diff(np.append(firsts, n))
         hidden = self._hidden(self._placed(), keys)
@@ -193,15 +204,15 @@ class Network:
         d_second = _error(inner @ w["second"] + np.repeat(w["second_bias"][present], size, axis=0), low)
         d_inner = (d_second @ w["second"].T) * (1 - inner**2)
         d_hidden = (d_inner + d_first @ w["first"].T) * (1 - hidden**2)
-        placed = _sum_by_key(d_hidden, keys)
+        embed, place = self._of_words(d_hidden, keys)
         grads = {
             "second": inner.T @ d_second,
             "second_bias": _sum_runs(d_second, firsts, present, SIDE),
             "given": _sum_runs(d_inner, firsts, present, SIDE),
             "first": hidden.T @ d_first,
             "first_bias": d_first.sum(0),
-            "place": (placed * w["embed"]).sum(1),
-            "embed": (placed * w["place"][:, None, :]).sum(0),
+            "place": place,
+            "embed": embed,
         }
         grads["embed"][BLANK] = 0
         for name, g in grads.items():
@@ -211,18 +222,25 @@ class Network:
 
 
 PLACES = np.arange(2 * REACH) * (WORDS + 1)
+LARGEST = 80.0  # up to here exp stays within single precision, both ways
+
+
+def _in_range(x: np.ndarray) -> None:
+    """Shifts each row by its largest value if its exponentials could leave the range of single precision."""
+    if not (x.size and -LARGEST < x.min() and x.max() < LARGEST):
+        x -= x.max(1, keepdims=True)
 
 
 def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Logarithm of the softmax of each row at one of its columns; overwrites ``x``."""
-    x -= x.max(1, keepdims=True)
+    _in_range(x)
     hit = x[np.arange(len(x)), at]
     return hit - np.log(np.exp(x, out=x) @ np.ones(SIDE, np.float32))
 
 
 def _error(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     """One at the hit column of each row, less the softmax of the row; overwrites ``x``."""
-    x -= x.max(1, keepdims=True)
+    _in_range(x)
     np.exp(x, out=x)
     x /= -(x @ np.ones((SIDE, 1), np.float32))
     x[np.arange(len(x)), at] += 1
@@ -241,14 +259,16 @@ def _sum_runs(rows: np.ndarray, firsts: np.ndarray, at: np.ndarray, n: int) -> n
     return out
 
 
-def _sum_by_key(rows: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Sum of the rows per place and word, by a radix sort of the keys (below 2^16)."""
+def _sum_by_key(rows: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the rows per place and word that occur, and their keys in order, by a radix sort of the keys (below 2^16)."""
     flat = keys.ravel().astype(np.uint16)
     order = np.argsort(flat, kind="stable")
     ranked = flat[order]
     firsts = _firsts(ranked)
-    n = keys.shape[1] * (WORDS + 1)
-    return _sum_runs(rows[order // keys.shape[1]], firsts, ranked[firsts], n).reshape(keys.shape[1], WORDS + 1, -1)
+    found = ranked[firsts].astype(np.int64)
+    if not len(found):
+        return np.zeros((0, rows.shape[1]), np.float32), found
+    return np.add.reduceat(rows.take(order // keys.shape[1], axis=0), firsts, axis=0), found
 
 
 def contexts(ids: np.ndarray, bounds: np.ndarray, at: np.ndarray) -> np.ndarray:

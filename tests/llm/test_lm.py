@@ -136,3 +136,26 @@ def test_one_document_longer_than_a_chunk(spark):
 def test_empty_table(spark):
     none = empty(spark)
     assert masked_lm.pseudo_likelihood(none).count() == 0
+
+
+def test_gradients_of_words_are_sums_over_those_that_occur():
+    rng = np.random.default_rng(4)
+    net = masked_lm.Network.fresh(np.ones(masked_lm.WORDS))
+    rows = rng.normal(size=(500, masked_lm.WIDTH)).astype(np.float32)
+    context = rng.choice([3, 70, 4000, masked_lm.BLANK], (500, 2 * masked_lm.REACH))
+    embed, place = net._of_words(rows, context + masked_lm.PLACES)
+    plain = np.zeros((2 * masked_lm.REACH, masked_lm.WORDS + 1, masked_lm.WIDTH))
+    for k in range(2 * masked_lm.REACH):
+        np.add.at(plain[k], context[:, k], rows)
+    assert np.allclose(place, (plain * net.w["embed"]).sum(1), atol=1e-4)
+    assert np.allclose(embed, (plain * net.w["place"][:, None, :]).sum(0), atol=1e-4)
+    assert [len(x) for x in masked_lm._sum_by_key(rows[:0], context[:0])] == [0, 0]
+
+
+def test_log_probabilities_of_large_outputs_stay_finite():
+    for top in (5.0, 1000.0):
+        x = np.array([[top] + [0.0] * 63, [-top] * 64], np.float32)
+        found = masked_lm._log_softmax_at(x.copy(), np.array([1, 5]))
+        assert np.allclose(found, [-np.log(np.exp(min(top, 700)) + 63) if top < 700 else -top, -np.log(64)], rtol=1e-5)
+        error = masked_lm._error(x.copy(), np.array([0, 5]))
+        assert np.isfinite(error).all() and np.allclose(error.sum(1), 0, atol=1e-5)
