@@ -184,7 +184,8 @@ class Network:
             high, low = np.divmod(target[at : at + BATCH], SIDE)
             hidden = self._hidden(placed, context[at : at + BATCH] + PLACES)
             inner = hidden + w["given"].take(high, axis=0)
-            first, second = hidden @ w["first"] + w["first_bias"], np.tanh(inner, out=inner) @ w["second"]
+            first, second = hidden @ w["first"], np.tanh(inner, out=inner) @ w["second"]
+            first += w["first_bias"]
             second += w["second_bias"].take(high, axis=0)
             out[at : at + BATCH] = _log_softmax_at(first, high) + _log_softmax_at(second, low)
         return out
@@ -202,8 +203,11 @@ class Network:
         inner = hidden + np.repeat(w["given"][present], size, axis=0)
         np.tanh(inner, out=inner)
         d_second = _error(inner @ w["second"] + np.repeat(w["second_bias"][present], size, axis=0), low)
-        d_inner = (d_second @ w["second"].T) * (1 - inner**2)
-        d_hidden = (d_inner + d_first @ w["first"].T) * (1 - hidden**2)
+        d_inner = d_second @ w["second"].T
+        d_inner *= 1 - inner**2
+        d_hidden = d_first @ w["first"].T
+        d_hidden += d_inner
+        d_hidden *= 1 - hidden**2
         embed, place = self._of_words(d_hidden, keys)
         grads = {
             "second": inner.T @ d_second,
@@ -222,25 +226,18 @@ class Network:
 
 
 PLACES = np.arange(2 * REACH) * (WORDS + 1)
-LARGEST = 80.0  # up to here exp stays within single precision, both ways
-
-
-def _in_range(x: np.ndarray) -> None:
-    """Shifts each row by its largest value if its exponentials could leave the range of single precision."""
-    if not (x.size and -LARGEST < x.min() and x.max() < LARGEST):
-        x -= x.max(1, keepdims=True)
 
 
 def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Logarithm of the softmax of each row at one of its columns; overwrites ``x``."""
-    _in_range(x)
+    x -= x.max(1, keepdims=True)
     hit = x[np.arange(len(x)), at]
     return hit - np.log(np.exp(x, out=x) @ np.ones(SIDE, np.float32))
 
 
 def _error(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     """One at the hit column of each row, less the softmax of the row; overwrites ``x``."""
-    _in_range(x)
+    x -= x.max(1, keepdims=True)
     np.exp(x, out=x)
     x /= -(x @ np.ones((SIDE, 1), np.float32))
     x[np.arange(len(x)), at] += 1
@@ -273,14 +270,13 @@ def _sum_by_key(rows: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def contexts(ids: np.ndarray, bounds: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Ids of the neighbours of the positions ``at``; blanks beyond the ends of their documents."""
-    doc = np.searchsorted(bounds, at, "right") - 1
-    low, high = bounds[doc], bounds[doc + 1]
-    out = np.empty((len(at), 2 * REACH), np.int64)
-    for k, step in enumerate([*range(-REACH, 0), *range(1, REACH + 1)]):
-        near = at + step
-        inside = (near >= low) & (near < high)
-        out[:, k] = np.where(inside, ids[np.where(inside, near, 0)], BLANK)
-    return out
+    size = np.diff(bounds)
+    # Blanks stand between the documents, so that a place near the end of one has them as neighbours.
+    moved = np.arange(len(ids)) + np.repeat(REACH * np.arange(1, len(size) + 1), size)
+    spaced = np.full(len(ids) + REACH * (len(size) + 1), BLANK)
+    spaced[moved] = ids
+    steps = np.array([*range(-REACH, 0), *range(1, REACH + 1)])
+    return spaced.take(moved.take(at)[:, None] + steps)
 
 
 def _coded(words: Vocabulary):
