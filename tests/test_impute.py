@@ -1,6 +1,7 @@
 """Nearest-neighbour imputation against a plain comparison of all rows."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -213,3 +214,37 @@ def test_known_bounds_leave_the_nearest_as_they_are():
     assert free.keys() == bound.keys()
     for column in free:
         assert all(np.array_equal(a, b) for a, b in zip(free[column], bound[column], strict=True))
+
+
+def test_donors_that_lack_the_same_columns_are_compared_as_any_others():
+    """An extra donor without a common column takes the general way and changes nothing."""
+    rng = np.random.default_rng(5)
+    donors = np.round(rng.normal(size=(300, 5)) * [50, 9, 3, 1, 2], 1)
+    donors[:, 1] = np.nan
+    receivers = np.round(rng.normal(size=(80, 5)) * [50, 9, 3, 1, 2], 1)
+    receivers[rng.random(receivers.shape) < 0.4] = np.nan
+    mixed = np.vstack([donors, np.full((1, 5), np.nan)])
+    known = np.where(np.isnan(receivers), rng.choice([4.0, 30.0, np.nan], receivers.shape), np.nan)
+    for bound in (None, known):
+        for k in (1, 3, 400):
+            even, general = ({c: x for c, *x in block_nearest(receivers, d, k, np.full(5, 0.5), bound)} for d in (donors, mixed))
+            assert even.keys() <= general.keys() and 1 not in even
+            for column, found in general.items():
+                for mine, theirs in zip(even.get(column, [()] * 3), found, strict=True):
+                    np.testing.assert_array_equal(mine, theirs)
+
+
+def test_results_leave_a_task_in_few_batches():
+    ones = [pa.RecordBatch.from_arrays([pa.array([i]), pa.array([[{"a": float(i)}]])], names=["i", "recv"]) for i in range(500)]
+    out = list(impute._gathered(iter(ones)))
+    assert len(out) == 1 and out[0].column("i").to_pylist() == list(range(500))
+    assert out[0].column("recv").to_pylist()[7] == [{"a": 7.0}]
+    assert list(impute._gathered(iter([]))) == []
+
+
+def test_comparing_is_spread_however_few_bytes_meet(spark):
+    rows = spark.range(400).select((F.col("id") % 50).cast("int").alias("_cell"), (F.col("id") % 2).cast("int").alias("_chunk"), "id")
+    other = rows.groupBy("_cell", "_chunk").agg(F.count("id").alias("n"))
+    met = impute._dealt(rows, 12).hint("merge").join(impute._dealt(other, 12), impute.MEETING)
+    assert met.select(F.spark_partition_id()).distinct().count() > 6
+    assert met.count() == 400
