@@ -70,17 +70,17 @@ class Vocabulary:
     def find(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
         """The id of every word of a chunk, and its place in the list (-1: not listed)."""
         hashes = chunk.word_hashes
-        rare = rare_id(chunk)
         if not len(self.hashes):
-            return rare, np.full(len(rare), -1)
+            return rare_id(chunk), np.full(len(hashes), -1)
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        listed = self.hashes[at] == hashes
-        return np.where(listed, self.ids[at], rare), np.where(listed, at, -1)
+        ids, others = self.ids[at], np.flatnonzero(self.hashes[at] != hashes)
+        ids[others], at[others] = rare_id(chunk, others), -1
+        return ids, at
 
 
-def rare_id(chunk: Chunk) -> np.ndarray:
-    """The id that a word shares with others of the same last two bytes and about the same length."""
-    starts, ends = chunk.words
+def rare_id(chunk: Chunk, at=slice(None)) -> np.ndarray:
+    """The id that a word, or the words ``at`` some places, shares with others of the same last two bytes and about the same length."""
+    starts, ends = (x[at] for x in chunk.words)
     size = ends - starts
     last = chunk.data[ends - 1].astype(np.uint64)
     second = np.where(size > 1, chunk.data[np.maximum(ends - 2, 0)], 0).astype(np.uint64)
@@ -90,14 +90,18 @@ def rare_id(chunk: Chunk) -> np.ndarray:
 
 def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hashes, rare = [], []
+        found = []
         for chunk in chunks(batch.column("text")):
-            hashes.append(chunk.word_hashes)
-            rare.append(rare_id(chunk))
-        if hashes:
-            words, first, n = np.unique(np.concatenate(hashes), return_index=True, return_counts=True)
-            rare_of = np.concatenate(rare)[first]
-            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(rare_of), pa.array(n)], names=["word", "rare", "n"])
+            # First within a chunk, which a core's cache holds, so that fewer words are sorted together.
+            words, first, n = np.unique(chunk.word_hashes, return_index=True, return_counts=True)
+            found.append((words, rare_id(chunk, first), n))
+        if found:
+            hashes, rare, times = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.argsort(hashes, kind="stable")
+            ranked = hashes[order]
+            firsts = _firsts(ranked)
+            sums = np.add.reduceat(times[order], firsts) if len(firsts) else times
+            yield pa.RecordBatch.from_arrays([pa.array(ranked[firsts].view(np.int64)), pa.array(rare[order[firsts]]), pa.array(sums)], names=["word", "rare", "n"])
 
 
 def word_counts(docs: DataFrame) -> DataFrame:

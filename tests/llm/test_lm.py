@@ -159,3 +159,26 @@ def test_log_probabilities_of_large_outputs_stay_finite():
         assert np.allclose(found, [-np.log(np.exp(min(top, 700)) + 63) if top < 700 else -top, -np.log(64)], rtol=1e-5)
         error = masked_lm._error(x.copy(), np.array([0, 5]))
         assert np.isfinite(error).all() and np.allclose(error.sum(1), 0, atol=1e-5)
+
+
+def test_counts_and_ids_of_several_chunks_equal_plain_ones():
+    """Words are counted per chunk first; shared ids are made only for the words that need one."""
+    texts = ["ab cd ab", "", None, "cd xyz é", " ".join(f"w{i % 997}x" for i in range(200_000)), "ab é zz"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    parts = list(chunks(batch.column("text")))
+    assert len(parts) > 1
+    words, first, n = np.unique(np.concatenate([c.word_hashes for c in parts]), return_index=True, return_counts=True)
+    rare = np.concatenate([masked_lm.rare_id(c) for c in parts])
+    (found,) = masked_lm._counted([batch])
+    for name, want in (("word", words.view(np.int64)), ("rare", rare[first]), ("n", n)):
+        np.testing.assert_array_equal(found.column(name).to_numpy(), want)
+    known = masked_lm.Vocabulary(words[::2], np.arange(len(words[::2])), np.zeros(masked_lm.WORDS), n[::2])
+    for chunk in parts:
+        places = np.arange(len(chunk.word_hashes))[::3]
+        np.testing.assert_array_equal(masked_lm.rare_id(chunk, places), masked_lm.rare_id(chunk)[::3])
+        ids, at = known.find(chunk)
+        listed = np.isin(chunk.word_hashes, known.hashes)
+        np.testing.assert_array_equal(known.hashes[at[listed]], chunk.word_hashes[listed])
+        np.testing.assert_array_equal(ids[listed], at[listed])
+        np.testing.assert_array_equal(ids[~listed], masked_lm.rare_id(chunk)[~listed])
+        assert (at[~listed] == -1).all()
