@@ -248,3 +248,14 @@ def test_comparing_is_spread_however_few_bytes_meet(spark):
     met = impute._dealt(rows, 12).hint("merge").join(impute._dealt(other, 12), impute.MEETING)
     assert met.select(F.spark_partition_id()).distinct().count() > 6
     assert met.count() == 400
+
+
+def test_blocks_of_a_chunk_meet_its_donors_together(spark, monkeypatch):
+    monkeypatch.setattr(impute, "BLOCK_ROWS", 30)
+    rows = [(cell, 0, [(float(cell * 1000 + 10 * i + j),) for j in range(10)]) for cell in range(3) for i in range(20)]
+    met = spark.createDataFrame(rows, "_cell int, _chunk int, recv array<struct<a: double>>")
+    merged = impute._merged(impute._dealt(met, 4)).collect()
+    assert len(merged) == 21  # seven blocks of at most 30 receivers for each cell
+    assert all(len(r.recv) <= 40 for r in merged)
+    found = sorted((r._cell, p.a) for r in merged for p in r.recv)
+    assert found == sorted((cell, p[0]) for cell, _, points in rows for p in points)
