@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,7 @@ REACH = 2
 WIDTH = 24
 ROUNDS = 2
 BATCH = 4096
+SHORT = 8
 RATE = 0.1
 BLOCK = 4096  # weights per row when averages are summed
 BLANK = WORDS
@@ -67,12 +69,30 @@ class Vocabulary:
         """The id of every word of a chunk."""
         return self.find(chunk)[0]
 
+    @cached_property
+    def _index(self) -> tuple[int, np.ndarray, np.ndarray]:
+        """Bits to drop from a hash, the first place of every value of the rest, and the hashes with the largest behind them."""
+        bits = min(len(self.hashes).bit_length() + 2, 21)
+        drop = 64 - bits
+        size = np.bincount((self.hashes >> np.uint64(drop)).astype(np.int64), minlength=1 << bits)
+        return drop, (np.cumsum(size) - size).astype(np.int32), np.append(self.hashes, np.uint64(2**64 - 1))
+
+    def _place(self, hashes: np.ndarray) -> np.ndarray:
+        """``np.searchsorted(self.hashes, hashes)``: the hashes' first bits give a place from which it is a step or two."""
+        drop, starts, known = self._index
+        at = starts.take((hashes >> np.uint64(drop)).astype(np.int64)).astype(np.int64)
+        behind = np.flatnonzero(known.take(at) < hashes)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[known.take(at.take(behind)) < hashes.take(behind)]
+        return at
+
     def find(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
         """The id of every word of a chunk, and its place in the list (-1: not listed)."""
         hashes = chunk.word_hashes
         if not len(self.hashes):
             return rare_id(chunk), np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        at = np.minimum(self._place(hashes), len(self.hashes) - 1)
         ids, others = self.ids[at], np.flatnonzero(self.hashes[at] != hashes)
         ids[others], at[others] = rare_id(chunk, others), -1
         return ids, at
@@ -93,8 +113,10 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
         for chunk in chunks(batch.column("text")):
             # First within a chunk, which a core's cache holds, so that fewer words are sorted together.
-            words, first, n = np.unique(chunk.word_hashes, return_index=True, return_counts=True)
-            found.append((words, rare_id(chunk, first), n))
+            order = np.argsort(chunk.word_hashes)
+            ranked = chunk.word_hashes.take(order)
+            firsts = _firsts(ranked)
+            found.append((ranked.take(firsts), rare_id(chunk, order.take(firsts)), np.diff(np.append(firsts, len(ranked)))))
         if found:
             hashes, rare, times = (np.concatenate(x) for x in zip(*found, strict=True))
             order = np.argsort(hashes, kind="stable")
@@ -162,13 +184,13 @@ class Network:
         return net
 
     def _placed(self) -> np.ndarray:
-        """What each word adds to the hidden layer from each place, as one table of places x words."""
-        return (self.w["embed"] * self.w["place"][:, None, :]).reshape(-1, WIDTH)
+        """What each word adds to the hidden layer from each place."""
+        return self.w["embed"] * self.w["place"][:, None, :]
 
-    def _hidden(self, placed: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        out = placed.take(keys[:, 0], axis=0)
-        for k in range(1, keys.shape[1]):
-            out += placed.take(keys[:, k], axis=0)
+    def _hidden(self, placed: np.ndarray, context: np.ndarray) -> np.ndarray:
+        out = placed[0].take(context[:, 0], axis=0)
+        for k in range(1, len(placed)):
+            out += placed[k].take(context[:, k], axis=0)
         return np.tanh(out, out=out)
 
     def _of_words(self, rows: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -179,14 +201,14 @@ class Network:
         for k, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
             words = found[low:high] - k * (WORDS + 1)
             place[k] = (sums[low:high] * self.w["embed"].take(words, axis=0)).sum(0)
-            embed[words] += sums[low:high] * self.w["place"][k]
+            embed[words] = embed.take(words, axis=0) + sums[low:high] * self.w["place"][k]
         return embed, place
 
     def log_probs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         out, w, placed = np.empty(len(target)), self.w, self._placed()
         for at in range(0, len(target), BATCH):
             high, low = np.divmod(target[at : at + BATCH], SIDE)
-            hidden = self._hidden(placed, context[at : at + BATCH] + PLACES)
+            hidden = self._hidden(placed, context[at : at + BATCH])
             inner = hidden + w["given"].take(high, axis=0)
             first, second = hidden @ w["first"], np.tanh(inner, out=inner) @ w["second"]
             first += w["first_bias"]
@@ -199,20 +221,26 @@ class Network:
         w, n = self.w, len(target)
         # In the order of the first digit, so that what belongs to one of its values is a run.
         order = np.argsort((target // SIDE).astype(np.uint8), kind="stable")
-        keys, (high, low) = context.take(order, axis=0) + PLACES, np.divmod(target[order], SIDE)
+        context, (high, low) = context.take(order, axis=0), np.divmod(target[order], SIDE)
         firsts = _firsts(high)
-        present, size = high[firsts], np.diff(np.append(firsts, n))
-        hidden = self._hidden(self._placed(), keys)
-        d_first = _error(hidden @ w["first"] + w["first_bias"], high)
-        inner = hidden + np.repeat(w["given"][present], size, axis=0)
+        present = high[firsts]
+        size = np.diff(np.append(firsts, n))
+        hidden = self._hidden(self._placed(), context)
+        d_first = hidden @ w["first"]
+        d_first += w["first_bias"]
+        _error(d_first, high)
+        inner = np.repeat(w["given"][present], size, axis=0)
+        inner += hidden
         np.tanh(inner, out=inner)
-        d_second = _error(inner @ w["second"] + np.repeat(w["second_bias"][present], size, axis=0), low)
+        d_second = inner @ w["second"]
+        d_second += np.repeat(w["second_bias"][present], size, axis=0)
+        _error(d_second, low)
         d_inner = d_second @ w["second"].T
         d_inner *= 1 - inner**2
         d_hidden = d_first @ w["first"].T
         d_hidden += d_inner
         d_hidden *= 1 - hidden**2
-        embed, place = self._of_words(d_hidden, keys)
+        embed, place = self._of_words(d_hidden, context + PLACES)
         grads = {
             "second": inner.T @ d_second,
             "second_bias": _sum_runs(d_second, firsts, present, SIDE),
@@ -232,16 +260,21 @@ class Network:
 PLACES = np.arange(2 * REACH) * (WORDS + 1)
 
 
+def _largest(x: np.ndarray) -> np.ndarray:
+    """``x.max(1, keepdims=True)`` of outputs, as maxima of runs, which numpy calls up faster for short rows."""
+    return np.maximum.reduceat(x.reshape(-1), np.arange(len(x)) * SIDE)[:, None] if len(x) else x[:, :1]
+
+
 def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Logarithm of the softmax of each row at one of its columns; overwrites ``x``."""
-    x -= x.max(1, keepdims=True)
-    hit = x[np.arange(len(x)), at]
+    x -= _largest(x)
+    hit = x.take(np.arange(len(x)) * SIDE + at)
     return hit - np.log(np.exp(x, out=x) @ np.ones(SIDE, np.float32))
 
 
 def _error(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     """One at the hit column of each row, less the softmax of the row; overwrites ``x``."""
-    x -= x.max(1, keepdims=True)
+    x -= _largest(x)
     np.exp(x, out=x)
     x /= -(x @ np.ones((SIDE, 1), np.float32))
     x[np.arange(len(x)), at] += 1
@@ -260,16 +293,32 @@ def _sum_runs(rows: np.ndarray, firsts: np.ndarray, at: np.ndarray, n: int) -> n
     return out
 
 
+def _sum_short_runs(rows: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Sums of runs of rows of which most are short: those of up to ``SHORT`` rows are added up side by side, longer ones run by run."""
+    sums, size = rows.take(firsts, axis=0), np.diff(np.append(firsts, len(rows)))
+    long = np.flatnonzero(size > SHORT)
+    if len(long):
+        ends = np.cumsum(size[long])
+        within = np.arange(ends[-1]) + np.repeat(firsts[long] - ends + size[long], size[long])
+        sums[long] = np.add.reduceat(rows.take(within, axis=0), ends - size[long], axis=0)
+    short = np.flatnonzero((size > 1) & (size <= SHORT))
+    short = short[np.argsort(-size[short], kind="stable")]
+    if len(short):
+        begin, reach = firsts[short], np.searchsorted(-size[short], -np.arange(SHORT + 1), "right")
+        rest = rows.take(begin + 1, axis=0)
+        for k in range(2, size[short[0]]):
+            rest[: reach[k + 1]] += rows.take(begin[: reach[k + 1]] + k, axis=0)
+        sums[short] = sums.take(short, axis=0) + rest
+    return sums
+
+
 def _sum_by_key(rows: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sums of the rows per place and word that occur, and their keys in order, by a radix sort of the keys (below 2^16)."""
     flat = keys.ravel().astype(np.uint16)
     order = np.argsort(flat, kind="stable")
     ranked = flat[order]
     firsts = _firsts(ranked)
-    found = ranked[firsts].astype(np.int64)
-    if not len(found):
-        return np.zeros((0, rows.shape[1]), np.float32), found
-    return np.add.reduceat(rows.take(order // keys.shape[1], axis=0), firsts, axis=0), found
+    return _sum_short_runs(rows.take(order // keys.shape[1], axis=0), firsts), ranked[firsts].astype(np.int64)
 
 
 def contexts(ids: np.ndarray, bounds: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -295,9 +344,10 @@ def _coded(words: Vocabulary):
                 own = np.zeros(len(ids), np.int64)
                 own[shared & (listed >= 0)] = logs[listed[shared & (listed >= 0)]]
                 at = np.flatnonzero(shared & (listed < 0))
-                doc = np.searchsorted(bounds, at, "right") - 1
-                order = np.lexsort((chunk.word_hashes[at], doc))
-                doc, hashes = doc[order], chunk.word_hashes[at][order]
+                doc, hashes = np.repeat(np.arange(chunk.n), np.diff(bounds)).take(at), chunk.word_hashes.take(at)
+                order = np.argsort(hashes)
+                order = order.take(np.argsort(doc.take(order).astype(np.min_scalar_type(chunk.n)), kind="stable"))
+                doc, hashes = doc.take(order), hashes.take(order)
                 first = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (hashes[1:] != hashes[:-1]))) if len(at) else np.zeros(0, int)
                 cuts = pa.array(np.searchsorted(doc[first], np.arange(chunk.n + 1)), pa.int32())
                 lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (hashes[first].view(np.int64), np.diff(np.append(first, len(at))))]
@@ -438,10 +488,12 @@ def scored(coded_rows: DataFrame, words: Vocabulary, net: Network, counts: DataF
     schema = "row long, doc_id long, listed long, n_words long, log_prob double, totals double"
     rows = coded_rows.select("row", "doc_id", "listed", "ids").mapInArrow(_scored(words, net.flat), schema)
     if counts is not None:
-        others = coded_rows.select("row", F.explode(F.arrays_zip("others", "times")).alias("s")).select("row", F.col("s.others").alias("word"), "s.times")
-        # A word the corpus doesn't have counts as UNSEEN.
-        share = F.col("times") * F.round(F.log(F.coalesce(F.col("n").cast("double"), F.lit(UNSEEN))) * POINT).cast("long")
-        own = others.join(counts.select("word", "n"), "word", "left").groupBy("row").agg(F.sum(share).alias("own"))
+        others = coded_rows.select("row", "times", F.posexplode("others").alias("at", "word")).select("row", "word", F.get("times", "at").alias("times"))
+        # Once per word of the corpus, not per place; a word the corpus doesn't have counts as UNSEEN. The table of counts has a word once and none
+        # that is frequent comes to the join, so its parts are even and small enough to be hashed.
+        share, unseen = (F.round(F.log(n) * POINT).cast("long") for n in (F.col("n").cast("double"), F.lit(UNSEEN)))
+        known = counts.select("word", share.alias("share")).hint("shuffle_hash")
+        own = others.join(known, "word", "left").groupBy("row").agg(F.sum(F.col("times") * F.coalesce("share", unseen)).alias("own"))
         shares = (F.coalesce("own", F.lit(0)) + F.col("listed")) / POINT
         rows = rows.join(own, "row", "left").withColumn("log_prob", F.col("log_prob") + shares - F.col("totals"))
     mean = F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words"))

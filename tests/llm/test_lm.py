@@ -182,3 +182,40 @@ def test_counts_and_ids_of_several_chunks_equal_plain_ones():
         np.testing.assert_array_equal(ids[listed], at[listed])
         np.testing.assert_array_equal(ids[~listed], masked_lm.rare_id(chunk)[~listed])
         assert (at[~listed] == -1).all()
+
+
+def test_places_by_first_bits_equal_a_binary_search():
+    rng = np.random.default_rng(6)
+    for n in (1, 2, 70, 5000):
+        # Some share their first bits; the smallest and the largest hash are listed or not.
+        known = np.unique(np.concatenate([rng.integers(0, 2**64, n, np.uint64), np.arange(5, 5 + n // 10, dtype=np.uint64)]))
+        for listed in (known, np.unique(np.append(known, np.array([0, 2**64 - 1], np.uint64)))):
+            words = masked_lm.Vocabulary(listed, np.zeros(len(listed), np.int64), np.zeros(masked_lm.WORDS))
+            asked = np.concatenate([listed, listed + np.uint64(1), listed - np.uint64(1), rng.integers(0, 2**64, 300, np.uint64)])
+            np.testing.assert_array_equal(words._place(asked), np.searchsorted(listed, asked))
+
+
+def test_sums_of_short_and_long_runs_equal_plain_ones():
+    rng = np.random.default_rng(7)
+    for sizes in (rng.permutation(np.repeat(np.arange(1, 40), 3)), [1], [9], [300, 1, 2], [8] * 5):
+        firsts = np.cumsum(sizes) - sizes
+        rows = rng.normal(size=(np.sum(sizes), masked_lm.WIDTH)).astype(np.float32)
+        np.testing.assert_allclose(masked_lm._sum_short_runs(rows, firsts), np.add.reduceat(rows, firsts, axis=0), rtol=1e-5, atol=1e-5)
+    assert masked_lm._sum_short_runs(rows[:0], firsts[:0]).shape == (0, masked_lm.WIDTH)
+
+
+def test_shares_of_words_need_no_sort_and_one_logarithm_per_word(spark):
+    """Words met by a hash join, with their logarithm taken before it; one that the counts don't have is UNSEEN."""
+    docs = frame(spark, [(1, "ab cd ab"), (2, "cd"), (3, None), (None, "ab")])
+    counts = masked_lm.word_counts(docs)
+    none = masked_lm.Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.full(masked_lm.WORDS, 3.0))  # all words are shared and unlisted
+    net = masked_lm.Network.fresh(none.counts)
+    rows = masked_lm.score(docs, none, net, counts.filter("n > 2"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    before_join, after_join = plan.split("ShuffledHashJoin", 1)
+    assert "ln(" not in before_join.lower() and "log(" not in before_join.lower() and ("ln(" in after_join.lower() or "log(" in after_join.lower())
+    plain = {r.doc_id: r.log_prob for r in masked_lm.score(docs, none, net).collect()}
+    found = {r.doc_id: (r.n_words, r.log_prob) for r in rows.collect()}
+    ab, cd, total = np.log(3), np.log(masked_lm.UNSEEN), np.log(3 + masked_lm.UNSEEN)
+    want = {1: (3, plain[1] + 2 * ab + cd - 3 * total), 2: (1, plain[2] + cd - total), 3: (0, 0.0), None: (1, plain[None] + ab - total)}
+    assert found.keys() == want.keys() and all(found[k][0] == n and np.isclose(found[k][1], p, atol=1e-6) for k, (n, p) in want.items())
