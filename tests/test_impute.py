@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from derrick import session
 from derrick.functions.nearest import CellIndex, CellTree, block_nearest
 from derrick.operators import impute
 from derrick.operators.impute import knn_impute, knn_pairs
@@ -259,3 +260,25 @@ def test_blocks_of_a_chunk_meet_its_donors_together(spark, monkeypatch):
     assert all(len(r.recv) <= 40 for r in merged)
     found = sorted((r._cell, p.a) for r in merged for p in r.recv)
     assert found == sorted((cell, p[0]) for cell, _, points in rows for p in points)
+
+
+def test_rounds_give_the_same_rows_and_leave_only_the_values_found(spark, tmp_path, monkeypatch):
+    """Receivers searched for in several rounds; all tables of the search are gone, those of the values found lie in the given folder."""
+    rng = np.random.default_rng(3)
+    values = np.round(rng.normal(size=(400, 4)) * [50, 9, 3, 1], 1)
+    values[rng.random(values.shape) < 0.2] = np.nan
+    values[7] = np.nan
+    rows = [(i, *[None if np.isnan(v) else float(v) for v in row]) for i, row in enumerate(values)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, c double, d double")
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path / "shared"))
+    monkeypatch.setattr(impute, "CELL_ROWS", 40)
+    found = []
+    for most in (1 << 23, 60):
+        monkeypatch.setattr(impute, "ROUND_RECEIVERS", most)
+        kept = tmp_path / f"kept{most}"
+        found.append(sorted(impute.knn_impute(df, list("abcd"), ["id"], 3, within=str(kept)).collect()))
+        assert list((tmp_path / "shared").iterdir()) == []
+        tables = len(list(kept.iterdir()))
+        assert tables == 1 if most > 400 else tables > 2
+    assert found[0] == found[1] and len(found[0]) == 400
+    assert all(v is not None for row in found[0] for v in row)
